@@ -59,8 +59,6 @@ def boosting(n: int) -> GBTClassifier:
         labelCol="label",
         weightCol="weight",
         predictionCol="gb_pred",
-        probabilityCol="gb_vec",
-        rawPredictionCol="gb_raw",
         maxDepth=3,
         stepSize=0.05,
         subsamplingRate=0.8,
@@ -69,7 +67,7 @@ def boosting(n: int) -> GBTClassifier:
         maxIter=min(200, max(50, n // 3)),
         validationIndicatorCol="is_holdout",
         seed=SEED,
-    )
+    ).setProbabilityCol("gb_vec").setRawPredictionCol("gb_raw")
 
 
 def forest(n: int) -> RandomForestClassifier:

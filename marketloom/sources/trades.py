@@ -23,6 +23,11 @@ TRADE_EVENT = "aggTrade"
 TRADE_SOURCE = "binance_websocket"
 
 _MESSAGE = "e string, s string, p string, q string, T string, E string, m string, _corrupt string"
+# Column names ignore case, so the parsed struct is renamed by position: e and E would clash.
+_NAMED = (
+    "struct<event: string, symbol: string, price: string, quantity: string, trade_ms: string,"
+    " event_ms: string, maker: string, corrupt: string>"
+)
 
 
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
@@ -33,16 +38,22 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     """
     body = F.coalesce(F.get_json_object(value, "$.data"), F.col(value))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = raw.withColumn("msg", F.from_json(body, _MESSAGE, options))
+    parsed = raw.withColumn("msg", F.from_json(body, _MESSAGE, options).cast(_NAMED))
     msg = F.col("msg")
 
     def ill(name: str, dtype: str) -> Column:
         return msg[name].isNotNull() & msg[name].try_cast(dtype).isNull()
 
-    ill_typed = ill("p", "double") | ill("q", "double") | ill("T", "bigint") | ill("E", "bigint") | ill("m", "boolean")
+    ill_typed = (
+        ill("price", "double")
+        | ill("quantity", "double")
+        | ill("trade_ms", "bigint")
+        | ill("event_ms", "bigint")
+        | ill("maker", "boolean")
+    )
     problem = (
-        F.when(msg.isNull() | msg["_corrupt"].isNotNull(), "malformed")
-        .when(~msg["e"].eqNullSafe(F.lit(TRADE_EVENT)), "other_event")
+        F.when(msg.isNull() | msg["corrupt"].isNotNull(), "malformed")
+        .when(~msg["event"].eqNullSafe(F.lit(TRADE_EVENT)), "other_event")
         .when(ill_typed, "ill_typed")
     )
     return parsed.withColumn("problem", problem)
@@ -55,17 +66,17 @@ def normalise(parsed: DataFrame, ingested_at: Column) -> DataFrame:
     def field(name: str, dtype: str, default) -> Column:
         return F.coalesce(msg[name].try_cast(dtype), F.lit(default).cast(dtype))
 
-    symbol = F.coalesce(msg["s"], F.lit(""))
+    symbol = F.coalesce(msg["symbol"], F.lit(""))
     return parsed.select(
         lookup_or_self(F.lower(symbol), PAIR_TO_ASSET).alias("coin_id"),
         symbol.alias("symbol"),
-        field("p", "double", 0.0).alias("price_usd"),
-        field("q", "double", 0.0).alias("quantity"),
-        field("T", "bigint", 0).alias("trade_time_ms"),
-        field("E", "bigint", 0).alias("event_time_ms"),
+        field("price", "double", 0.0).alias("price_usd"),
+        field("quantity", "double", 0.0).alias("quantity"),
+        field("trade_ms", "bigint", 0).alias("trade_time_ms"),
+        field("event_ms", "bigint", 0).alias("event_time_ms"),
         ingested_at.cast("string").alias("ingested_at"),
         F.lit(TRADE_SOURCE).alias("source"),
-        field("m", "boolean", False).alias("is_buyer_maker"),
+        field("maker", "boolean", False).alias("is_buyer_maker"),
     )
 
 

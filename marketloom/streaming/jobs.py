@@ -6,6 +6,8 @@ A topic connector is not bundled; its options are the documented ones.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -109,11 +111,13 @@ def score_sink(
     checkpoint: str,
     score,
     lookback_rows: int = 120,
+    lookback: timedelta = timedelta(hours=6),
     available_now: bool = False,
     trigger: str = "30 seconds",
 ) -> StreamingQuery:
     """Start a job that scores every new bar with the newest ``lookback_rows`` bars of its asset.
 
+    Only bars of the last ``lookback`` are read, as a filter that skips older row groups.
     ``score(window, new)`` maps the bars needed and the keys of the new ones to predictions. The
     output is partitioned by micro-batch and overwritten on a repeat, so no bar is scored twice.
     """
@@ -124,8 +128,10 @@ def score_sink(
         spark = batch.sparkSession
         new = batch.select("coin_id", "window_start", "close", "total_volume")
         assets = new.groupBy("coin_id").agg(F.min("window_start").alias("_first"))
+        oldest = new.agg(F.min("window_start").alias("m")).first()["m"] - lookback
         past = spark.read.parquet(history).select("coin_id", "window_start", "close", "total_volume")
-        before = past.join(assets, "coin_id").filter(F.col("window_start") < F.col("_first")).drop("_first")
+        recent = past.filter(F.col("window_start") >= F.lit(oldest))
+        before = recent.join(assets, "coin_id").filter(F.col("window_start") < F.col("_first")).drop("_first")
         window = newest_per_key(before, ["coin_id"], [F.col("window_start").desc()], lookback_rows).unionByName(new)
         scored = score(window, new.select("coin_id", "window_start"))
         scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
