@@ -17,7 +17,14 @@ def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int =
 
 
 def dedup_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    return newest_per_key(df, keys, order, 1)
+    """The row of each key with the greatest ``order`` values, compared from left to right.
+
+    A max_by over the row: every input task sends one row per key, and neither a rank nor an
+    order-wide sort is needed. Select the needed columns first, the row travels as a whole.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
 def newest(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -24,25 +24,27 @@ def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return target.join(updates.select(*keys).distinct(), keys, "left_anti").unionByName(updates)
 
 
+def laid_out(df: DataFrame, partition_by: list[str], sort_by: list[str] | None) -> DataFrame:
+    """Rows clustered by table partition and sorted inside each writer task.
+
+    A rebalance, not a repartition: adaptive execution splits a large partition over several
+    writers and packs small ones, so no table partition has to fit into one task.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    return df.sortWithinPartitions(*partition_by, *sort_by) if sort_by else df
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: list[str],
     sort_by: list[str] | None = None,
     mode: str = "overwrite",
-    spread: int = 1,
 ) -> None:
-    """Write partitioned Parquet, clustered by partition and sorted inside files.
-
-    ``spread`` cuts a large partition over that many writer tasks, so that one hot partition
-    does not become one task.
-    """
-    if partition_by:
-        salt = [F.pmod(F.xxhash64(*[F.col(c) for c in (sort_by or partition_by)]), F.lit(spread))] if spread > 1 else []
-        df = df.repartition(*[F.col(c) for c in partition_by], *salt)
-    if sort_by:
-        df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(mode).option("compression", "zstd").option("partitionOverwriteMode", "static")
+    """Write partitioned, compressed Parquet."""
+    writer = laid_out(df, partition_by, sort_by).write.mode(mode).option("compression", "zstd")
+    writer = writer.option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -62,51 +64,48 @@ def upsert(
     keys: list[str],
     partition_by: list[str],
     sort_by: list[str] | None = None,
-    spread: int = 1,
 ) -> None:
     """MERGE ``updates`` (one row per key) into the table at ``path``.
 
     Partition columns must be functions of the key, so that a key never moves between
-    partitions.
+    partitions. The updates are staged first: they are computed once, and they may derive from
+    the table itself.
     """
     if not path_exists(spark, path):
-        write_table(updates, path, partition_by, sort_by, "errorifexists", spread)
+        write_table(updates, path, partition_by, sort_by, "errorifexists")
         return
-    staged_updates = scratch_path(spark, "updates")
-    staged = scratch_path(spark, "merge")
+    staged_updates, staged_rows = scratch_path(spark, "updates"), scratch_path(spark, "merge")
     updates.write.parquet(staged_updates)
     fresh = spark.read.schema(updates.schema).parquet(staged_updates)
     target = spark.read.schema(updates.schema).parquet(path)
-    result = merged(_touched(target, fresh, partition_by), fresh, keys)
-    result.write.parquet(staged)
-    _replace_partitions(spark.read.schema(updates.schema).parquet(staged), path, partition_by, sort_by, spread)
+    touched = _touched(target, fresh, partition_by)
+    if touched is not None:
+        merged(touched, fresh, keys).write.parquet(staged_rows)
+        _replace_partitions(spark.read.schema(updates.schema).parquet(staged_rows), path, partition_by, sort_by)
+        drop_path(spark, staged_rows)
     drop_path(spark, staged_updates)
-    drop_path(spark, staged)
 
 
-def _touched(target: DataFrame, updates: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Target rows of the partitions that occur in the updates.
+def _touched(target: DataFrame, updates: DataFrame, partition_by: list[str]) -> DataFrame | None:
+    """Target rows of the partitions that occur in the updates; None when there are no updates.
 
     A short list of partition values becomes a literal filter, which prunes directories; a
     longer one stays a semi join.
     """
     parts = updates.select(*partition_by).distinct()
     listed = parts.limit(MAX_PARTITION_LIST + 1).collect()
+    if not listed:
+        return None
     if len(listed) > MAX_PARTITION_LIST:
         return target.join(parts, partition_by, "left_semi")
     tests = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in listed]
-    return target.filter(reduce(lambda a, b: a | b, tests, F.lit(False)))
+    return target.filter(reduce(lambda a, b: a | b, tests))
 
 
-def _replace_partitions(
-    df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None, spread: int
-) -> None:
-    salt = [F.pmod(F.xxhash64(*[F.col(c) for c in (sort_by or partition_by)]), F.lit(spread))] if spread > 1 else []
-    shaped = df.repartition(*[F.col(c) for c in partition_by], *salt)
-    if sort_by:
-        shaped = shaped.sortWithinPartitions(*partition_by, *sort_by)
+def _replace_partitions(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None) -> None:
     (
-        shaped.write.mode("overwrite")
+        laid_out(df, partition_by, sort_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*partition_by)
@@ -197,7 +196,6 @@ def compact(
     partition_by: list[str],
     sort_by: list[str],
     min_input_files: int = 5,
-    files_per_partition: int = 1,
 ) -> DataFrame:
     """Rewrite partitions made of at least ``min_input_files`` files; returns the file counts before.
 
@@ -215,6 +213,6 @@ def compact(
     counts.write.parquet(counted)
     table.join(crowded.select(*partition_by), partition_by, "left_semi").write.parquet(staged)
     rewritten = spark.read.schema(table.schema).parquet(staged)
-    _replace_partitions(rewritten, path, partition_by, sort_by, files_per_partition)
+    _replace_partitions(rewritten, path, partition_by, sort_by)
     drop_path(spark, staged)
     return spark.read.parquet(counted)

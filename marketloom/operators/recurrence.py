@@ -13,10 +13,10 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.operators.series import CHUNK, POS
+from marketloom.operators.series import CHUNK, POS, chunk_window
 
 _VANISHED = 1e-40
-_MAX_SCALE_LOG10 = 250.0
+_MAX_SCALE_LOG10 = 280.0
 
 
 def linear_recurrence(
@@ -57,6 +57,34 @@ def linear_recurrence(
     )
 
 
+def halo_rows(a: float, tolerance: float = 1e-20) -> int:
+    """Rows after which a start value has lost its weight in double precision."""
+    return math.ceil(math.log(tolerance) / math.log(a))
+
+
+def recurrence_over_halo(
+    outputs: dict[str, tuple[Column, float]], keys: list[str], chunk_rows: int, halo: int, after: int = 0
+) -> dict[str, Column]:
+    """The recurrences as window columns over chunks whose halo is long enough to need no carry.
+
+    With at least :func:`halo_rows` rows of the previous chunk in front, what lies before them
+    weighs less than the rounding of a double, so one window pass solves the recurrence. Rows of
+    the halo itself hold unfinished values and are to be dropped.
+    """
+    span = chunk_rows + halo + after
+    for name, (_, a) in outputs.items():
+        if halo < halo_rows(a):
+            raise ValueError(f"{name}: the halo needs {halo_rows(a)} rows")
+        if -math.log10(a) * span > _MAX_SCALE_LOG10:
+            raise ValueError(f"{name}: groups of {span} rows overflow a^-rows; use shorter chunks")
+    step = (F.col(POS) - F.col(CHUNK) * chunk_rows + halo).cast("double")
+    running = chunk_window(keys).rowsBetween(Window.unboundedPreceding, 0)
+    return {
+        o: F.pow(F.lit(a), step) * F.sum(u * F.pow(F.lit(1.0 / a), step)).over(running)
+        for o, (u, a) in outputs.items()
+    }
+
+
 def _carry(end: Column, a: float, chunk_rows: int, by_chunk) -> Column:
     weight = a**chunk_rows
     depth = 1 + max(0, math.ceil(math.log(_VANISHED) / math.log(weight))) if weight > 0 else 1

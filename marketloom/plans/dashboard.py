@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from marketloom.functions.labels import change_class, matrix_signal, reliability, sentiment_band
 from marketloom.operators.latest import newest_per_key
 from marketloom.plans.features import smoothed
+from marketloom.session import staged
 
 
 def rebase(prices: DataFrame, keys: list[str] | None = None, base: float = 100.0) -> DataFrame:
     """Each price relative to the first of its series.
 
-    The first price is a grouped min_by joined back, one row per series.
+    The first prices, one row per series, are staged so that the planner knows their size.
     """
     keys = keys or ["coin_id"]
-    first = prices.groupBy(*keys).agg(F.min_by("price_usd", "price_date").alias("_first"))
+    first = staged(prices.groupBy(*keys).agg(F.min_by("price_usd", "price_date").alias("_first")), "first")
     normalized = F.try_divide(F.col("price_usd"), F.col("_first")) * base
     return prices.join(first, keys).withColumn("normalized", normalized).drop("_first")
 

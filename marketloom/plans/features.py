@@ -5,12 +5,19 @@ All windows run over (series, chunk) groups of a few hundred rows, see ``operato
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import clip, finite, relative_return, sentiment_norm
 from marketloom.functions.times import hour_cycle
-from marketloom.operators.recurrence import ema_input, ema_of_difference, linear_recurrence, wilder_input
+from marketloom.operators.recurrence import (
+    ema_input,
+    ema_of_difference,
+    halo_rows,
+    linear_recurrence,
+    recurrence_over_halo,
+    wilder_input,
+)
 from marketloom.operators.series import (
     CHUNK,
     LENGTH,
@@ -20,7 +27,7 @@ from marketloom.operators.series import (
     with_position,
     without_halo,
 )
-from marketloom.session import scratch_path
+from marketloom.session import staged
 
 # The feature order.
 FEATURES = [
@@ -54,8 +61,11 @@ BOLLINGER_ROWS, BOLLINGER_WIDTH = 20, 2.0
 VOLUME_ROWS = [5, 10]
 MOMENTUM_LAGS = [5, 10]
 
-CHUNK_ROWS = 512
-REACH = 32  # rows of the previous chunk that the longest nested frame needs
+CHUNK_ROWS = 2048
+# Rows of the previous chunk: the slowest smoothing needs them to forget its start, and they
+# cover the longest nested frame (20 rows of one-row returns) many times over.
+REACH = max(halo_rows((max(RSI_PERIODS) - 1) / max(RSI_PERIODS)), halo_rows(1 - 2 / (MACD_SPANS[1] + 1)))
+SCAN_ROWS = 512
 MIN_ROWS = 60
 NEUTRAL = 50
 
@@ -98,22 +108,18 @@ def positions(
     price: str,
     volume: str,
     min_rows: int = MIN_ROWS,
-    stage: SparkSession | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """Positioned series of at least ``min_rows`` rows with their mean price.
 
-    With ``stage`` the result is written to the shared working folder and read back, so that the
-    several passes over it neither recompute the bars nor depend on lost executors.
+    With ``stage`` the result is written to the shared working folder and read back, for callers
+    that pass over it several times.
     """
     base = bars.select(
         *keys, F.col(ts).alias("ts"), F.col(price).alias("price"), F.coalesce(volume, F.lit(0.0)).alias("volume")
     ).filter(F.col("price").isNotNull())
     placed = with_position(base, keys, "ts", totals={"_mean_price": "price"}).filter(F.col(LENGTH) >= min_rows)
-    if stage is None:
-        return placed
-    path = scratch_path(stage, "positions")
-    placed.write.parquet(path)
-    return stage.read.schema(placed.schema).parquet(path)
+    return staged(placed, "positions") if stage else placed
 
 
 def short_series(bars: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> DataFrame:
@@ -122,9 +128,18 @@ def short_series(bars: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) ->
 
 
 def window_features(
-    placed: DataFrame, keys: list[str], warmup: str = "backfill", horizon: int = 3
+    placed: DataFrame,
+    keys: list[str],
+    warmup: str = "backfill",
+    horizon: int = 3,
+    macd_scale: str = "series",
 ) -> DataFrame:
-    """Features with bounded frames, the forward price, trend inputs and recurrence inputs, one window pass."""
+    """All features of a positioned series, the forward price and the trend inputs.
+
+    One exchange and one sort by (series, chunk): bounded frames, warm-up fills and the
+    recurrences of RSI and MACD read the same rows. ``macd_scale`` 'series' divides by the mean
+    price of the whole series (which looks ahead), 'price' by the row's own price.
+    """
     f = _Frames(keys, warmup)
     df = with_chunks(placed, CHUNK_ROWS, before=REACH, after=horizon)
     price, volume, pos = F.col("price"), F.col("volume"), F.col(POS)
@@ -144,8 +159,8 @@ def window_features(
             "_bb_std": F.stddev_pop("price").over(f.trailing(BOLLINGER_ROWS)),
             **{f"_vavg_{w}": F.avg("volume").over(f.ordered.rowsBetween(-w, -1)) for w in VOLUME_ROWS},
             "future_price": F.lead("price", horizon).over(f.ordered),
-            "sma_5": F.avg("price").over(f.trailing(5)),
-            "sma_10": F.avg("price").over(f.trailing(10)),
+            "_sma_5": F.avg("price").over(f.trailing(5)),
+            "_sma_10": F.avg("price").over(f.trailing(10)),
         }
     )
     half = F.lit(BOLLINGER_WIDTH) * F.col("_bb_std")
@@ -154,6 +169,9 @@ def window_features(
     def mean_return(k: int) -> Column:
         return F.when(pos + 1 >= k, F.avg("return_1").over(f.trailing(k))).otherwise(F.lit(0.0))
 
+    def first_mean(col: str, n: int) -> Column:
+        return F.when(pos == n, F.avg(col).over(f.trailing(n)))
+
     df = df.withColumns(
         {
             **{f"_vol_{w}": F.stddev_pop("return_1").over(f.trailing(w)) for w in VOLATILITY_ROWS},
@@ -162,52 +180,40 @@ def window_features(
                 f"_vr_{w}": F.when(F.col(f"_vavg_{w}") > 0, volume / F.col(f"_vavg_{w}")).otherwise(F.lit(1.0))
                 for w in VOLUME_ROWS
             },
-            **{f"_gseed_{n}": F.avg("_gain").over(f.trailing(n)) for n in RSI_PERIODS},
-            **{f"_lseed_{n}": F.avg("_loss").over(f.trailing(n)) for n in RSI_PERIODS},
+            **{f"_gseed_{n}": first_mean("_gain", n) for n in RSI_PERIODS},
+            **{f"_lseed_{n}": first_mean("_loss", n) for n in RSI_PERIODS},
             "trend_momentum": F.lit(0.5) * mean_return(3) + F.lit(0.3) * mean_return(5) + F.lit(0.2) * mean_return(10),
-            "recent_vol": F.when(pos + 1 >= 10, F.stddev_pop("return_1").over(f.trailing(10))).otherwise(F.lit(0.001)),
         }
     )
+    fast, slow, span = MACD_SPANS
+    rest, a_fast, a_slow = ema_of_difference(price, fast, slow, span)
+    smooth = {"ema_fast": ema_input(price, fast), "ema_slow": ema_input(price, slow), "_rest": rest}
+    for n in RSI_PERIODS:
+        smooth[f"_up_{n}"] = wilder_input(F.col("_gain"), F.col(f"_gseed_{n}"), n)
+        smooth[f"_down_{n}"] = wilder_input(F.col("_loss"), F.col(f"_lseed_{n}"), n)
     df = df.withColumns(
         {
+            **recurrence_over_halo(smooth, keys, CHUNK_ROWS, REACH, horizon),
             **{f"volatility_{w}": f.warm(f"_vol_{w}", w, 0.0, positive=True) for w in VOLATILITY_ROWS},
+            "recent_vol": F.when(pos + 1 >= 10, F.col("_vol_10")).otherwise(F.lit(0.001)),
             "bb_position": f.warm("_bb", BOLLINGER_ROWS),
             **{f"volume_ratio_{w}": clip(f.warm(f"_vr_{w}", w), 0.0, 5.0) / 5.0 for w in VOLUME_ROWS},
             **{f"momentum_{k}": clip(f.warm(f"_mom_{k}", k), -0.5, 0.5) for k in MOMENTUM_LAGS},
-            "sma_5": f.warm("sma_5", 4),
-            "sma_10": f.warm("sma_10", 9),
+            "sma_5": f.warm("_sma_5", 4),
+            "sma_10": f.warm("_sma_10", 9),
         }
     )
-    return without_halo(df)
-
-
-def smoothed_features(df: DataFrame, keys: list[str], macd_scale: str = "series") -> DataFrame:
-    """RSI and MACD from one recurrence pass.
-
-    ``macd_scale`` 'series' divides by the mean price of the whole series (which looks ahead),
-    'price' by the row's own price.
-    """
-    price, pos = F.col("price"), F.col(POS)
-    fast, slow, span = MACD_SPANS
-    rest, a_fast, a_slow = ema_of_difference(price, fast, slow, span)
-    outputs = {"_ema_fast": ema_input(price, fast), "_ema_slow": ema_input(price, slow), "_rest": rest}
-    for n in RSI_PERIODS:
-        outputs[f"_gain_{n}"] = wilder_input(F.coalesce("_gain", F.lit(0.0)), F.col(f"_gseed_{n}"), n)
-        outputs[f"_loss_{n}"] = wilder_input(F.coalesce("_loss", F.lit(0.0)), F.col(f"_lseed_{n}"), n)
-    solved = linear_recurrence(df, keys, outputs, CHUNK_ROWS)
-    line = F.col("_ema_fast") - F.col("_ema_slow")
-    signal = F.lit(a_fast) * F.col("_ema_fast") - F.lit(a_slow) * F.col("_ema_slow") + F.col("_rest")
+    line = F.col("ema_fast") - F.col("ema_slow")
+    signal = F.lit(a_fast) * F.col("ema_fast") - F.lit(a_slow) * F.col("ema_slow") + F.col("_rest")
     mean = F.col("_mean_price") if macd_scale == "series" else price
     scale = F.when(mean > 0, mean).otherwise(F.lit(1.0))
 
     def rsi(n: int) -> Column:
-        strength = F.col(f"_gain_{n}") / (F.col(f"_loss_{n}") + F.lit(1e-10))
+        strength = F.col(f"_up_{n}") / (F.col(f"_down_{n}") + F.lit(1e-10))
         return F.when(pos > n, F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength))
 
-    return solved.withColumns(
+    return without_halo(df).withColumns(
         {
-            "ema_fast": F.col("_ema_fast"),
-            "ema_slow": F.col("_ema_slow"),
             "macd": clip(line / scale, -0.1, 0.1),
             "macd_signal": clip(signal / scale, -0.1, 0.1),
             "macd_hist": clip((line - signal) / scale, -0.1, 0.1),
@@ -228,7 +234,7 @@ def build_features(
     warmup: str = "backfill",
     horizon: int = 3,
     min_rows: int = MIN_ROWS,
-    stage: SparkSession | None = None,
+    stage: bool = False,
 ) -> DataFrame:
     """The feature matrix as columns, with price, position, forward price and trend inputs.
 
@@ -237,7 +243,7 @@ def build_features(
     """
     keys = keys or ["coin_id"]
     placed = positions(bars, keys, ts, price, volume, min_rows, stage)
-    df = smoothed_features(window_features(placed, keys, warmup, horizon), keys, macd_scale)
+    df = window_features(placed, keys, warmup, horizon, macd_scale)
     if sentiment is None:
         df = df.withColumn("fear_greed_norm", F.lit(0.0))
     else:
@@ -281,7 +287,7 @@ def with_sequences(
     """Add the previous ``steps`` feature rows as one flat array; rows without enough history are dropped."""
     keys = keys or ["coin_id"]
     last = 0 if include_current else -1
-    placed = with_chunks(features, CHUNK_ROWS, before=steps)
+    placed = with_chunks(features, SCAN_ROWS, before=steps)
     frame = chunk_window(keys).rowsBetween(last - steps + 1, last)
     rows = placed.withColumn("_row", F.array(*FEATURES))
     rows = rows.withColumn("sequence", F.flatten(F.collect_list("_row").over(frame))).drop("_row")
@@ -290,11 +296,15 @@ def with_sequences(
 
 
 def min_max_scaled(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Min-max normalised columns; extremes come from a grouped aggregate joined back."""
+    """Min-max normalised columns.
+
+    The extremes, one row per series, are staged: the planner then knows their size and need not
+    shuffle the rows by their few series to join them.
+    """
     ranges = df.groupBy(*keys).agg(
         *[F.min(c).alias(f"_lo_{c}") for c in columns], *[F.max(c).alias(f"_hi_{c}") for c in columns]
     )
-    joined = df.join(ranges, keys)
+    joined = df.join(staged(ranges, "ranges"), keys)
     scaled = {}
     for c in columns:
         span = F.col(f"_hi_{c}") - F.col(f"_lo_{c}")
@@ -319,7 +329,7 @@ def sentiment_vote(value: Column) -> Column:
 
 def smoothed(df: DataFrame, keys: list[str], ts: str, column: str, span: int, out: str) -> DataFrame:
     """Exponential mean of one column along each series."""
-    placed = with_chunks(with_position(df, keys, ts), CHUNK_ROWS).drop("_halo")
-    return linear_recurrence(placed, keys, {out: ema_input(F.col(column), span)}, CHUNK_ROWS).drop(
+    placed = with_chunks(with_position(df, keys, ts), SCAN_ROWS).drop("_halo")
+    return linear_recurrence(placed, keys, {out: ema_input(F.col(column), span)}, SCAN_ROWS).drop(
         POS, CHUNK, LENGTH
     )

@@ -62,8 +62,14 @@ def latest_sentiment(bronze: DataFrame) -> DataFrame:
 
 def sentiment_history(bronze: DataFrame) -> DataFrame:
     """One reading per day, the latest, ascending."""
-    dated = bronze.withColumn("date_str", seconds_label(F.col("timestamp")))
-    order = [F.col("timestamp").desc(), F.to_timestamp("_ingested_at").desc(), F.col("value").desc()]
+    dated = bronze.select(
+        "value",
+        "classification",
+        "timestamp",
+        seconds_label(F.col("timestamp")).alias("date_str"),
+        F.to_timestamp("_ingested_at").alias("ingested"),
+    )
+    order = [F.col("timestamp"), F.col("ingested"), F.col("value")]
     return (
         dedup_latest(dated, ["date_str"], order)
         .select("value", "classification", "timestamp", "date_str")

@@ -24,9 +24,16 @@ def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     The ISO ingestion time is parsed, so differing offsets still order rightly; the price itself
     breaks ties.
     """
-    dated = bronze.withColumn("price_date", ms_to_date(F.col("timestamp_ms")))
-    order = [F.to_timestamp("_ingested_at").desc(), F.col("timestamp_ms").desc(), F.col("price_usd").desc()]
-    latest = dedup_latest(dated, PRICE_KEY, order)
+    dated = bronze.select(
+        "coin_id",
+        ms_to_date(F.col("timestamp_ms")).alias("price_date"),
+        "timestamp_ms",
+        "price_usd",
+        "market_cap_usd",
+        "volume_24h_usd",
+        F.to_timestamp("_ingested_at").alias("ingested"),
+    )
+    latest = dedup_latest(dated, PRICE_KEY, [F.col("ingested"), F.col("timestamp_ms"), F.col("price_usd")])
     cleaned = latest.filter(F.col("price_usd") > 0).select(
         "coin_id",
         "price_date",
@@ -39,9 +46,14 @@ def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
 
 def daily_sentiment(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest ingested reading per calendar day; the key is the date, as in the merge."""
-    dated = bronze.withColumn("index_date", seconds_to_date(F.col("timestamp")))
-    order = [F.to_timestamp("_ingested_at").desc(), F.col("timestamp").desc(), F.col("value").desc()]
-    latest = dedup_latest(dated, SENTIMENT_KEY, order)
+    dated = bronze.select(
+        seconds_to_date(F.col("timestamp")).alias("index_date"),
+        "timestamp",
+        "value",
+        "classification",
+        F.to_timestamp("_ingested_at").alias("ingested"),
+    )
+    latest = dedup_latest(dated, SENTIMENT_KEY, [F.col("ingested"), F.col("timestamp"), F.col("value")])
     return _stamped(latest.select(F.col("value").alias("fear_greed_value"), "classification", "index_date"), as_of)
 
 

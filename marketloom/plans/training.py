@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.series import LENGTH, POS
 from marketloom.plans.features import FEATURES, training_samples, with_sequences
 from marketloom.plans.forecast import adaptive_weights, choose_threshold, threshold_table
-from marketloom.session import scratch_path, work_root
+from marketloom.session import staged, work_root
 
 SEED = 42
 SEQUENCE_STEPS = 10
@@ -107,11 +107,9 @@ def fit_voters(spark: SparkSession, samples: DataFrame) -> tuple[PipelineModel,
     again and a recomputation after a lost executor would repeat the whole feature plan.
     """
     spark.sparkContext.setCheckpointDir(work_root(spark))
-    path = scratch_path(spark, "samples")
-    samples.write.parquet(path)
-    staged = spark.read.schema(samples.schema).parquet(path)
-    train = staged.filter("is_train")
-    weights = class_weights(train).select("label", "weight")
+    stored = staged(samples, "samples")
+    train = stored.filter("is_train")
+    weights = staged(class_weights(train).select("label", "weight"), "weights")
     holdout = F.pmod(F.xxhash64("coin_id", POS), F.lit(100)) < 15
     train = train.join(weights, "label").withColumn("is_holdout", holdout)
     n = train.count()
@@ -122,7 +120,7 @@ def fit_voters(spark: SparkSession, samples: DataFrame) -> tuple[PipelineModel,
         scaler,
         network().fit(scaler.transform(train)),
     ]
-    return PipelineModel(stages), staged
+    return PipelineModel(stages), stored
 
 
 def vote(model: PipelineModel, rows: DataFrame) -> DataFrame:

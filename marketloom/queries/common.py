@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom.operators.bars import vwap_bars
 from marketloom.plans import features as feat
 from marketloom.plans import forecast, gold, silver
+from marketloom.session import staged
 from marketloom.sources import stand_ins
 
 # The day after the last order and the hour after the last event of the test tables.
@@ -41,10 +42,9 @@ def bars(spark: SparkSession, sf: str, width: str = "30 seconds") -> DataFrame:
     return vwap_bars(stand_ins.ticks(spark, sf), width)
 
 
-def features(spark: SparkSession, sf: str, staged: bool = True, **options) -> DataFrame:
-    return feat.build_features(
-        bars(spark, sf), sentiment(spark, sf), stage=spark if staged else None, **options
-    )
+def features(spark: SparkSession, sf: str, **options) -> DataFrame:
+    daily = staged(sentiment(spark, sf), "sentiment")
+    return feat.build_features(bars(spark, sf), daily, **options)
 
 
 def rule_votes(features_: DataFrame) -> DataFrame:

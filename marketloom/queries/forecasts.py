@@ -202,8 +202,8 @@ def choose_threshold(spark, sf):
 def train_voters(spark, sf):
     """Fit the voters on the first 80% of every series, weigh them on the rest, list what matters."""
     samples = training.training_set(common.features(spark, sf))
-    model, staged = training.fit_voters(spark, samples)
-    votes = training.vote(model, staged.filter(~F.col("is_train")))
+    model, stored = training.fit_voters(spark, samples)
+    votes = training.vote(model, stored.filter(~F.col("is_train")))
     weights = fc.adaptive_weights(training.voter_accuracy(votes))
     top = training.feature_importance(model, spark)
     return weights.select(F.lit("weight").alias("kind"), F.col("voter").alias("name"), F.col("weight").alias("value")).unionByName(

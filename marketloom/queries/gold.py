@@ -428,7 +428,7 @@ def latest_single(spark, sf):
 )
 def keep_last(spark, sf):
     rows = common.prices(spark, sf).select("coin_id", "price_usd", "price_date")
-    return latest.dedup_latest(rows, ["coin_id", "price_usd"], [F.desc("price_date")])
+    return latest.dedup_latest(rows, ["coin_id", "price_usd"], [F.col("price_date")])
 
 
 @query(

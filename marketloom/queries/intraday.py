@@ -89,8 +89,8 @@ def rsi_macd(spark, sf):
 )
 def ema(spark, sf):
     keys = ["coin_id"]
-    placed = feat.positions(common.bars(spark, sf), keys, "window_start", "close", "total_volume", stage=spark)
-    rows = feat.smoothed_features(feat.window_features(placed, keys), keys)
+    placed = feat.positions(common.bars(spark, sf), keys, "window_start", "close", "total_volume")
+    rows = feat.window_features(placed, keys)
     return common.rounded(rows.select("coin_id", "ts", "ema_fast", "ema_slow"), 6, "ema_fast", "ema_slow")
 
 

@@ -93,7 +93,7 @@ def stream_scoring(spark, sf):
     sentiment = common.sentiment(spark, sf)
 
     def score(window: DataFrame, new: DataFrame) -> DataFrame:
-        made = fc.trend_forecast(fc.blend(common.rule_votes(feat.build_features(window, sentiment, stage=spark))))
+        made = fc.trend_forecast(fc.blend(common.rule_votes(feat.build_features(window, sentiment))))
         rows = made.withColumnRenamed("ts", "window_start")
         return rows.join(new, ["coin_id", "window_start"], "left_semi").select(
             "coin_id", "window_start", "predicted_return", "sentiment_bias"

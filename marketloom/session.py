@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Window stages are heavy on CPU and light on bytes: keep them spread over the cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
@@ -51,6 +53,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def staged(df: DataFrame, label: str = "staged") -> DataFrame:
+    """The rows written once below the shared folder and read back.
+
+    Cuts lineage in a way that survives lost executors. It also gives the planner the true size
+    of a small result, so that it broadcasts it when it is below the threshold and shuffles it
+    when it is not.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())

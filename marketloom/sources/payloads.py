@@ -6,27 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schemas import PRICE_HISTORY_PAYLOAD, SENTIMENT_PAYLOAD
+from marketloom.session import staged
 
 PRICE_SOURCE = "coingecko"
 SENTIMENT_SOURCE = "alternative.me"
 
 
 def price_history_rows(payloads: DataFrame, value: str = "value", carry: list[str] | None = None) -> DataFrame:
-    """One row per price point; capitalisation and volume are taken by position, short arrays give NULL."""
+    """One row per price point; capitalisation and volume are taken by position, short arrays give NULL.
+
+    The arrays are zipped before the explode, so an exploded row carries its own point only.
+    """
     carry = carry or ["coin_id"]
     doc = payloads.select(*carry, F.from_json(value, PRICE_HISTORY_PAYLOAD).alias("d"))
-    points = doc.select(*carry, "d.market_caps", "d.total_volumes", F.posexplode("d.prices").alias("pos", "point"))
-    at = F.col("pos") + 1
-
-    def second(array: str):
-        return F.try_element_at(F.try_element_at(F.col(array), at), F.lit(2))
-
+    none = F.array().cast("array<array<double>>")
+    zipped = F.arrays_zip(
+        F.col("d.prices").alias("p"),
+        F.coalesce("d.market_caps", none).alias("c"),
+        F.coalesce("d.total_volumes", none).alias("v"),
+    )
+    points = doc.select(*carry, F.explode(F.slice(zipped, F.lit(1), F.size("d.prices"))).alias("z"))
     return points.select(
         *carry,
-        F.try_element_at("point", F.lit(1)).cast("bigint").alias("timestamp_ms"),
-        F.try_element_at("point", F.lit(2)).alias("price_usd"),
-        second("market_caps").alias("market_cap_usd"),
-        second("total_volumes").alias("volume_24h_usd"),
+        F.try_element_at("z.p", F.lit(1)).cast("bigint").alias("timestamp_ms"),
+        F.try_element_at("z.p", F.lit(2)).alias("price_usd"),
+        F.try_element_at("z.c", F.lit(2)).alias("market_cap_usd"),
+        F.try_element_at("z.v", F.lit(2)).alias("volume_24h_usd"),
     )
 
 
@@ -62,4 +67,4 @@ def sentiment_rows(payloads: DataFrame, value: str = "value") -> DataFrame:
 def long_enough(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
     """Rows of the series that have at least ``min_rows`` rows (counts joined back, no full window)."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
-    return df.join(sizes.select(*keys), keys, "left_semi")
+    return df.join(staged(sizes.select(*keys), "series"), keys, "left_semi")

@@ -22,23 +22,25 @@ PAIR_TO_ASSET = {
 TRADE_EVENT = "aggTrade"
 TRADE_SOURCE = "binance_websocket"
 
-_MESSAGE = "e string, s string, p string, q string, T string, E string, m string, _corrupt string"
-# Column names ignore case, so the parsed struct is renamed by position: e and E would clash.
-_NAMED = (
-    "struct<event: string, symbol: string, price: string, quantity: string, trade_ms: string,"
-    " event_ms: string, maker: string, corrupt: string>"
-)
+_FIELDS = "e string, s string, p string, q string, T string, E string, m string"
+_MESSAGE = f"data struct<{_FIELDS.replace(' string', ': string')}>, {_FIELDS}, _corrupt string"
+# Column names ignore case, so parsed structs are renamed by position: e and E would clash.
+_TRADE = ["event", "symbol", "price", "quantity", "trade_ms", "event_ms", "maker"]
+_NAMES = ", ".join(f"{name}: string" for name in _TRADE)
+_NAMED = f"struct<envelope: struct<{_NAMES}>, {_NAMES}, corrupt: string>"
 
 
 def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Unwrap an optional {"data": ...} envelope and parse the trade fields.
+    """Parse the trade fields, plain or inside a {"data": ...} envelope, in one pass over the JSON.
 
     Adds ``msg`` and ``problem``: NULL for a usable trade, else why it is set aside
     (not JSON, another event type, or a field of the wrong type).
     """
-    body = F.coalesce(F.get_json_object(value, "$.data"), F.col(value))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = raw.withColumn("msg", F.from_json(body, _MESSAGE, options).cast(_NAMED))
+    parsed = raw.withColumn("doc", F.from_json(value, _MESSAGE, options).cast(_NAMED))
+    doc = F.col("doc")
+    plain = F.struct(*[doc[name].alias(name) for name in _TRADE])
+    parsed = parsed.withColumn("msg", F.coalesce(doc["envelope"], plain))
     msg = F.col("msg")
 
     def ill(name: str, dtype: str) -> Column:
@@ -52,11 +54,11 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
         | ill("maker", "boolean")
     )
     problem = (
-        F.when(msg.isNull() | msg["corrupt"].isNotNull(), "malformed")
+        F.when(doc.isNull() | doc["corrupt"].isNotNull(), "malformed")
         .when(~msg["event"].eqNullSafe(F.lit(TRADE_EVENT)), "other_event")
         .when(ill_typed, "ill_typed")
     )
-    return parsed.withColumn("problem", problem)
+    return parsed.withColumn("problem", problem).drop("doc")
 
 
 def normalise(parsed: DataFrame, ingested_at: Column) -> DataFrame:

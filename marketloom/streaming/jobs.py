@@ -15,7 +15,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from marketloom.operators.bars import trade_ticks, vwap_bars
 from marketloom.operators.latest import newest_per_key
-from marketloom.operators.merge import upsert
+from marketloom.operators.merge import create_if_missing, upsert
+from marketloom.session import staged
 from marketloom.sources.ingest import stamp
 from marketloom.sources.trades import from_topic
 
@@ -91,15 +92,14 @@ def upsert_sink(
     micro-batch merges the same keys again, which leaves the table as it was.
     """
 
+    spark = bars.sparkSession
+    keyed = bars.withColumn("bar_day", F.to_date("window_start"))
+    create_if_missing(spark, path, keyed.schema, ["bar_day"])
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        rows = batch.withColumn("bar_day", F.to_date("window_start"))
-        upsert(
-            batch.sparkSession, path, rows, ["coin_id", "window_start"], ["bar_day"], ["coin_id", "window_start"]
-        )
+        upsert(spark, path, batch, ["coin_id", "window_start"], ["bar_day"], ["coin_id", "window_start"])
 
-    writer = bars.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge)
+    writer = keyed.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
     return writer.start()
 
@@ -123,10 +123,10 @@ def score_sink(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         spark = batch.sparkSession
-        new = batch.select("coin_id", "window_start", "close", "total_volume")
+        new = staged(batch.select("coin_id", "window_start", "close", "total_volume"), "new-bars")
+        if new.isEmpty():
+            return
         assets = new.groupBy("coin_id").agg(F.min("window_start").alias("_first"))
         oldest = new.agg(F.min("window_start").alias("m")).first()["m"] - lookback
         past = spark.read.parquet(history).select("coin_id", "window_start", "close", "total_volume")
