@@ -37,10 +37,15 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
     (not JSON, another event type, or a field of the wrong type).
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = raw.withColumn("doc", F.from_json(value, _MESSAGE, options).cast(_NAMED))
-    doc = F.col("doc")
-    plain = F.struct(*[doc[name].alias(name) for name in _TRADE])
-    parsed = parsed.withColumn("msg", F.coalesce(doc["envelope"], plain))
+    doc = F.from_json(value, _MESSAGE, options).cast(_NAMED)
+
+    def unwrap(d: Column) -> Column:
+        plain = F.struct(*[d[name].alias(name) for name in _TRADE])
+        bad = d.isNull() | d["corrupt"].isNotNull()
+        return F.struct(F.coalesce(d["envelope"], plain).alias("msg"), bad.alias("bad"))
+
+    # A generator over one element: the document is parsed once, not once per field used below.
+    parsed = raw.select("*", F.inline(F.transform(F.array(doc), unwrap)))
     msg = F.col("msg")
 
     def ill(name: str, dtype: str) -> Column:
@@ -54,11 +59,11 @@ def parse_messages(raw: DataFrame, value: str = "value") -> DataFrame:
         | ill("maker", "boolean")
     )
     problem = (
-        F.when(doc.isNull() | doc["corrupt"].isNotNull(), "malformed")
+        F.when(F.col("bad"), "malformed")
         .when(~msg["event"].eqNullSafe(F.lit(TRADE_EVENT)), "other_event")
         .when(ill_typed, "ill_typed")
     )
-    return parsed.withColumn("problem", problem).drop("doc")
+    return parsed.withColumn("problem", problem).drop("bad")
 
 
 def normalise(parsed: DataFrame, ingested_at: Column) -> DataFrame:
