@@ -2,21 +2,23 @@
 
 Inside a chunk the solution is a running sum, y[k] = a^k * (a * carry + sum(u[j] * a^-j)), so
 it needs only a window function. The carry into a chunk is the last value of the chunk before
-it: a weighted sum per chunk (a partial aggregation), combined over the few earlier chunks
-whose weight a^(rows) has not vanished in double precision.
+it: a weighted sum per chunk (a partial aggregation), combined over the earlier chunks whose
+weight a^(rows) has not vanished in double precision.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from marketloom.operators.series import CHUNK, POS, chunk_window
 
 _VANISHED = 1e-40
 _MAX_SCALE_LOG10 = 280.0
+_MAX_DEPTH = 8
+_MAX_LEVEL_ROWS = 1024
 
 
 def linear_recurrence(
@@ -40,18 +42,15 @@ def linear_recurrence(
             for o, (_, a) in outputs.items()
         ]
     )
-    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
-    carries = ends.select(
-        *keys, CHUNK, *[_carry(F.col(f"_end_{o}"), a, chunk_rows, by_chunk).alias(f"_c_{o}") for o, (_, a) in outputs.items()]
-    )
+    carries = _carries(ends, keys, {o: a**chunk_rows for o, (_, a) in outputs.items()})
     running = Window.partitionBy(*keys, CHUNK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     solved = {
         o: F.pow(F.lit(a), step)
-        * (F.lit(a) * F.col(f"_c_{o}") + F.sum(F.col(f"_u_{o}") * F.pow(F.lit(1.0 / a), step)).over(running))
+        * (F.lit(a) * F.coalesce(f"_c_{o}", F.lit(0.0)) + F.sum(F.col(f"_u_{o}") * F.pow(F.lit(1.0 / a), step)).over(running))
         for o, (_, a) in outputs.items()
     }
     return (
-        inputs.join(carries, [*keys, CHUNK])
+        inputs.join(carries, [*keys, CHUNK], "left")
         .withColumns(solved)
         .drop(*[f"_u_{o}" for o in outputs], *[f"_c_{o}" for o in outputs])
     )
@@ -85,13 +84,40 @@ def recurrence_over_halo(
     }
 
 
-def _carry(end: Column, a: float, chunk_rows: int, by_chunk) -> Column:
-    weight = a**chunk_rows
-    depth = 1 + max(0, math.ceil(math.log(_VANISHED) / math.log(weight))) if weight > 0 else 1
-    total = F.coalesce(F.lag(end, 1).over(by_chunk), F.lit(0.0))
-    for back in range(2, depth + 1):
-        total = total + F.lit(weight ** (back - 1)) * F.coalesce(F.lag(end, back).over(by_chunk), F.lit(0.0))
-    return total
+def _carries(ends: DataFrame, keys: list[str], weights: dict[str, float]) -> DataFrame:
+    """The value before each chunk, from the chunk ends and the weight a^rows of a whole chunk.
+
+    Where that weight vanishes within a few chunks, the few ends are added up. A slower one is a
+    recurrence over the chunk ends themselves and is solved the same way, one level up.
+    """
+    quick = {o: w for o, w in weights.items() if _depth(w) <= _MAX_DEPTH}
+    slow = {o: w for o, w in weights.items() if o not in quick}
+    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
+    carries = ends.select(
+        *keys, CHUNK, *[_weighted_ends(F.col(f"_end_{o}"), w, by_chunk).alias(f"_c_{o}") for o, w in quick.items()]
+    )
+    if not slow:
+        return carries
+    rows = min(_MAX_LEVEL_ROWS, *[int(_MAX_SCALE_LOG10 / -math.log10(w)) for w in slow.values()])
+    level = ends.select(*keys, F.col(CHUNK).alias(POS), *[f"_end_{o}" for o in slow])
+    level = level.withColumn(CHUNK, F.floor(F.col(POS) / rows))
+    solved = linear_recurrence(level, keys, {f"_y_{o}": (F.col(f"_end_{o}"), w) for o, w in slow.items()}, rows)
+    shifted = solved.select(
+        *keys, (F.col(POS) + 1).alias(CHUNK), *[F.col(f"_y_{o}").alias(f"_c_{o}") for o in slow]
+    )
+    return carries.join(shifted, [*keys, CHUNK], "left")
+
+
+def _depth(weight: float) -> int:
+    """Chunks until a carry has vanished."""
+    return 1 if weight <= 0.0 else 1 + math.ceil(math.log(_VANISHED) / math.log(weight))
+
+
+def _weighted_ends(end: Column, weight: float, by_chunk: WindowSpec) -> Column:
+    return sum(
+        (F.lit(weight**back) * F.coalesce(F.lag(end, back + 1).over(by_chunk), F.lit(0.0)) for back in range(1, _depth(weight))),
+        F.coalesce(F.lag(end, 1).over(by_chunk), F.lit(0.0)),
+    )
 
 
 def ema_input(x: Column, span: int) -> tuple[Column, float]:
@@ -100,14 +126,17 @@ def ema_input(x: Column, span: int) -> tuple[Column, float]:
     return F.when(F.col(POS) == 0, x).otherwise(F.lit(alpha) * x), 1.0 - alpha
 
 
-def wilder_input(x: Column, seed: Column, period: int) -> tuple[Column, float]:
-    """Wilder smoothing: the seed at row ``period``, then x/period with factor 1 - 1/period."""
-    u = (
-        F.when(F.col(POS) < period, F.lit(0.0))
-        .when(F.col(POS) == period, seed)
-        .otherwise(x / F.lit(float(period)))
-    )
-    return u, (period - 1.0) / period
+def wilder_input(x: Column, period: int) -> tuple[Column, float]:
+    """Wilder smoothing: the mean of rows 1..period at row ``period``, then x/period with factor 1 - 1/period.
+
+    The starting mean needs no window of its own: rows up to ``period`` enter with the weight
+    that the recurrence takes off again by then.
+    """
+    a = (period - 1.0) / period
+    pos = F.col(POS)
+    early = F.pow(F.lit(a), (pos - period).cast("double")) * x
+    u = F.when(pos == 0, F.lit(0.0)).when(pos <= period, early).otherwise(x) / F.lit(float(period))
+    return u, a
 
 
 def ema_of_difference(

@@ -29,7 +29,8 @@ def with_position(
 
     ``ts`` must be unique per series. ``totals`` maps an output name to a column whose mean
     over the whole series is wanted. Only the counts per (series, bucket) are ordered per
-    series, one row per bucket; the rows themselves are ranked inside their bucket.
+    series, one row per bucket; the rows themselves are ranked inside their bucket. The ranked
+    rows are already partitioned and sorted for a merge join with the offsets.
     """
     totals = totals or {}
     tagged = df.withColumn("_bucket", F.date_trunc(bucket, ts))
@@ -48,7 +49,7 @@ def with_position(
     inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(ts))
     return (
         tagged.withColumn("_in_bucket", inside)
-        .join(offsets, [*keys, "_bucket"])
+        .join(offsets.hint("merge"), [*keys, "_bucket"])
         .withColumn(POS, F.col("_offset") + F.col("_in_bucket") - 1)
         .drop("_bucket", "_offset", "_in_bucket")
     )

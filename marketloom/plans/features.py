@@ -169,9 +169,6 @@ def window_features(
     def mean_return(k: int) -> Column:
         return F.when(pos + 1 >= k, F.avg("return_1").over(f.trailing(k))).otherwise(F.lit(0.0))
 
-    def first_mean(col: str, n: int) -> Column:
-        return F.when(pos == n, F.avg(col).over(f.trailing(n)))
-
     df = df.withColumns(
         {
             **{f"_vol_{w}": F.stddev_pop("return_1").over(f.trailing(w)) for w in VOLATILITY_ROWS},
@@ -180,8 +177,6 @@ def window_features(
                 f"_vr_{w}": F.when(F.col(f"_vavg_{w}") > 0, volume / F.col(f"_vavg_{w}")).otherwise(F.lit(1.0))
                 for w in VOLUME_ROWS
             },
-            **{f"_gseed_{n}": first_mean("_gain", n) for n in RSI_PERIODS},
-            **{f"_lseed_{n}": first_mean("_loss", n) for n in RSI_PERIODS},
             "trend_momentum": F.lit(0.5) * mean_return(3) + F.lit(0.3) * mean_return(5) + F.lit(0.2) * mean_return(10),
         }
     )
@@ -189,8 +184,8 @@ def window_features(
     rest, a_fast, a_slow = ema_of_difference(price, fast, slow, span)
     smooth = {"ema_fast": ema_input(price, fast), "ema_slow": ema_input(price, slow), "_rest": rest}
     for n in RSI_PERIODS:
-        smooth[f"_up_{n}"] = wilder_input(F.col("_gain"), F.col(f"_gseed_{n}"), n)
-        smooth[f"_down_{n}"] = wilder_input(F.col("_loss"), F.col(f"_lseed_{n}"), n)
+        smooth[f"_up_{n}"] = wilder_input(F.col("_gain"), n)
+        smooth[f"_down_{n}"] = wilder_input(F.col("_loss"), n)
     df = df.withColumns(
         {
             **recurrence_over_halo(smooth, keys, CHUNK_ROWS, REACH, horizon),

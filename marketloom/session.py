@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Wide window plans generate more classes than the default cache of 100 holds.
+    "spark.sql.codegen.cache.maxEntries": "1000",
     "spark.ui.enabled": "false",
 }
 
