@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.session import drop_path, path_exists, scratch_path
+from marketloom.session import drop_path, path_exists, scratch_path, staged
 
 MAX_PARTITION_LIST = 500
 
@@ -162,6 +162,8 @@ def refresh_touched(
     source: DataFrame,
     build: Callable[[DataFrame], DataFrame],
     period: dict[str, Column],
+    start: str,
+    not_before: Callable[[Column], Column],
     loaded: Column,
     keys: list[str],
     partition_by: list[str],
@@ -171,7 +173,9 @@ def refresh_touched(
 
     ``loaded`` is the load time of a source row. Every built row stores the load time it was
     built through, so the next run knows which source rows are new; their periods are rebuilt
-    from all their rows and merged.
+    from all their rows and merged. ``start`` names the period column that holds its first
+    instant, and ``not_before`` turns the earliest one into a source filter, so that older data
+    is skipped by the scan.
     """
     through = source.agg(F.max(loaded).alias("t")).first()["t"]
 
@@ -183,10 +187,13 @@ def refresh_touched(
         return
     seen = spark.read.parquet(path).agg(F.max("loaded_through").alias("t")).first()["t"]
     new = source if seen is None else source.filter(loaded > F.lit(seen))
-    touched = new.select(*[c.alias(n) for n, c in period.items()]).distinct()
-    marked = source.withColumns({f"_p_{n}": c for n, c in period.items()})
-    touched = touched.withColumnsRenamed({n: f"_p_{n}" for n in period})
-    rows = marked.join(touched, [f"_p_{n}" for n in period], "left_semi").drop(*[f"_p_{n}" for n in period])
+    touched = staged(new.select(*[c.alias(f"_p_{n}") for n, c in period.items()]).distinct(), "touched")
+    earliest = touched.agg(F.min(f"_p_{start}").alias("t")).first()["t"]
+    if earliest is None:
+        return
+    names = [f"_p_{n}" for n in period]
+    marked = source.filter(not_before(F.lit(earliest))).withColumns({f"_p_{n}": c for n, c in period.items()})
+    rows = marked.join(touched, names, "left_semi").drop(*names)
     upsert(spark, path, built(rows), keys, partition_by, sort_by)
 
 
@@ -199,20 +206,15 @@ def compact(
 ) -> DataFrame:
     """Rewrite partitions made of at least ``min_input_files`` files; returns the file counts before.
 
-    Files are counted by a Spark aggregation over the file name, not by listing on the driver.
+    The counts come from a listing as a table, one row per file; no data is read for them.
     """
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    counts = staged(listing.groupBy(*partition_by).agg(F.count("path").alias("files")), "file-counts")
     table = spark.read.parquet(path)
-    counts = (
-        table.select(*partition_by, F.input_file_name().alias("_file"))
-        .groupBy(*partition_by)
-        .agg(F.count_distinct("_file").alias("files"))
-    )
-    crowded = counts.filter(F.col("files") >= min_input_files)
-    staged = scratch_path(spark, "compact")
-    counted = scratch_path(spark, "compact-counts")
-    counts.write.parquet(counted)
-    table.join(crowded.select(*partition_by), partition_by, "left_semi").write.parquet(staged)
-    rewritten = spark.read.schema(table.schema).parquet(staged)
-    _replace_partitions(rewritten, path, partition_by, sort_by)
-    drop_path(spark, staged)
-    return spark.read.parquet(counted)
+    crowded = _touched(table, counts.filter(F.col("files") >= min_input_files), partition_by)
+    if crowded is not None:
+        kept = scratch_path(spark, "compact")
+        crowded.write.parquet(kept)
+        _replace_partitions(spark.read.schema(table.schema).parquet(kept), path, partition_by, sort_by)
+        drop_path(spark, kept)
+    return counts

@@ -205,6 +205,10 @@ def _loaded() -> Column:
     return F.to_timestamp("ingested_at")
 
 
+def _traded_from(start: Column) -> Column:
+    return F.col("trade_time_ms") >= F.unix_millis(start.cast("timestamp"))
+
+
 def load_hourly(spark: SparkSession, path: str, trades: DataFrame) -> None:
     """Rebuild the (asset, hour) groups that newly ingested trades fall into, late ones included."""
 
@@ -213,7 +217,7 @@ def load_hourly(spark: SparkSession, path: str, trades: DataFrame) -> None:
 
     hour = F.date_trunc("hour", F.timestamp_millis("trade_time_ms"))
     refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "hour": hour}, _loaded(),
+        spark, path, trades, build, {"coin_id": F.col("coin_id"), "hour": hour}, "hour", _traded_from, _loaded(),
         ["coin_id", "price_hour"], ["price_day"], ["coin_id", "price_hour"],
     )
 
@@ -226,7 +230,7 @@ def load_ohlc(spark: SparkSession, path: str, trades: DataFrame) -> None:
 
     day = ms_to_date(F.col("trade_time_ms"))
     refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "day": day}, _loaded(),
+        spark, path, trades, build, {"coin_id": F.col("coin_id"), "day": day}, "day", _traded_from, _loaded(),
         ["coin_id", "bucket_start", "timeframe"], ["timeframe", "bucket_day"], ["coin_id", "bucket_start"],
     )
 

@@ -10,6 +10,7 @@ from marketloom.operators import merge, profile
 from marketloom.plans import gold, silver
 from marketloom.plans import quality as dq
 from marketloom.queries import common
+from marketloom.queries.oracle import BAND
 from marketloom.queries.registry import query
 from marketloom.schemas import BRONZE_PRICES
 from marketloom.session import scratch_path
@@ -67,13 +68,10 @@ def stamp_and_conform(spark, sf):
     return ingest.stamp(rows, common.as_of_time()).drop("_ingested_at")
 
 
-_POINTS = """(SELECT coin_id, page, n, timestamp_ms, price_usd, market_cap_usd,
- CASE WHEN page % 2 = 1 AND rn = n THEN NULL ELSE volume END AS volume_24h_usd
- FROM (SELECT o_orderpriority AS coin_id, o_orderkey // 400 AS page, epoch_ms(o_orderdate) AS timestamp_ms,
-   o_totalprice AS price_usd, c_acctbal AS market_cap_usd, CAST(o_custkey AS DOUBLE) AS volume,
-   row_number() OVER (PARTITION BY o_orderpriority, o_orderkey // 400 ORDER BY o_orderkey) AS rn,
-   count(*) OVER (PARTITION BY o_orderpriority, o_orderkey // 400) AS n
-   FROM orders JOIN customer ON o_custkey = c_custkey))"""
+_POINTS = """(SELECT o_orderpriority AS coin_id, 8 + o_orderkey % 5 AS n, epoch_ms(o_orderdate) + i * 3600000 AS timestamp_ms,
+ o_totalprice + i AS price_usd, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_custkey * 1000 + i AS DOUBLE) END AS market_cap_usd,
+ CASE WHEN o_orderkey % 2 = 1 AND i = 7 + o_orderkey % 5 THEN NULL ELSE CAST(o_orderkey % 100 + i AS DOUBLE) END AS volume_24h_usd
+ FROM (SELECT *, unnest(range(8 + o_orderkey % 5)) AS i FROM orders))"""
 
 
 @query(
@@ -95,7 +93,8 @@ def hourly_training_rows(spark, sf):
 
 @query(
     "s10_sentiment_payload_rows",
-    """SELECT value, classification, "timestamp", '43200' AS time_until_update FROM sent_raw""",
+    f"""SELECT value, {BAND.format(v='value')} AS classification, "timestamp", '43200' AS time_until_update FROM
+ (SELECT value, "timestamp" FROM sent_raw UNION ALL SELECT 100 - value, "timestamp" + 43200 FROM sent_raw)""",
 )
 def sentiment_payload_rows(spark, sf):
     return payloads.sentiment_rows(stand_ins.sentiment_payloads(spark, sf))

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.labels import CLASSES
 from marketloom.functions.times import ms_to_date
-from marketloom.plans import gold
+from marketloom.plans import gold, lake
 from marketloom.plans import quality as dq
 from marketloom.queries import common
 from marketloom.queries.registry import query
 from marketloom.schemas import CONTRACTS
+from marketloom.session import scratch_path
 from marketloom.sources import stand_ins
 
 _KEEP = ["check_name", "table_name", "status", "metric_value"]
@@ -293,3 +294,27 @@ def ingestion_lag(spark, sf):
         "silver": (common.bars(spark, sf), F.col("window_end")),
     }
     return dq.ingestion_lag(tables, common.as_of_time()).drop("latest")
+
+
+@query(
+    "q14_s23_daily_run_checks",
+    _rows(
+        *_price_rules("s_prices"),
+        _row("value_range_0_100", "fear_greed", "count(*) FILTER (fear_greed_value NOT BETWEEN 0 AND 100)", "s_sent"),
+        _row("valid_classifications", "fear_greed", "count(*) FILTER (classification IS NULL)", "s_sent"),
+        _row("unique_pk_coin_id", "dim_coins", "count(*) - count(DISTINCT coin_id)", "coins"),
+        _row("no_date_gaps", "dim_dates", "max(date_day) - min(date_day) + 1 - count(*)", "dates", bad="'warning'"),
+        _row("has_rows", "fact_market_daily", "count(*)", "fact", "m >= 1"),
+        _row("fk_coin_id", "fact_market_daily", "count(*)", "(SELECT * FROM fact WHERE coin_id NOT IN (SELECT coin_id FROM coins))"),
+        _row("fk_price_date", "fact_market_daily", "count(*)", "(SELECT * FROM fact WHERE price_date NOT IN (SELECT date_day FROM dates))"),
+    ),
+)
+def daily_run_checks(spark, sf):
+    """The whole daily run into an empty lake, two loads, then its checks."""
+    root = scratch_path(spark, "lake")
+    prices, sentiment = stand_ins.bronze_prices(spark, sf), stand_ins.bronze_sentiment(spark, sf)
+    as_of = common.as_of_day().cast("timestamp")
+    early = F.col("timestamp_ms") < F.unix_millis(F.lit("2001-01-01").cast("timestamp"))
+    lake.load(spark, root, prices.filter(early), sentiment, None, as_of)
+    lake.load(spark, root, prices, sentiment, stand_ins.bronze_trades(spark, sf), as_of)
+    return lake.check(spark, root, as_of).select(*_KEEP)

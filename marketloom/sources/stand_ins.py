@@ -1,7 +1,7 @@
 """Bronze tables derived from the TPC-H-like test tables.
 
-The assets are the order priorities and the event types. Everything is a whole-table query;
-payload pages are cut by key range so that no page grows with the table.
+The assets are the order priorities and the event types. Everything is a whole-table query, and
+every payload is made from one row, so that none grows with the table.
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from marketloom.functions.labels import sentiment_band
 from marketloom.operators.bars import trade_ticks
 
-PRICE_PAGE_KEYS = 400
-SENTIMENT_PAGE_KEYS = 40
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -115,49 +112,41 @@ def trade_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price-history payloads: one page per asset and range of order keys.
+    """Price-history payloads: one per order with 8 to 12 hourly points.
 
-    The volume array of odd pages lacks its last point, so that short arrays occur.
+    Odd orders lack the last volume and every seventh has no capitalisations, so that short and
+    missing arrays occur.
     """
     orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    page = F.floor(F.col("o_orderkey") / PRICE_PAGE_KEYS)
-    rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        F.col("o_orderpriority").alias("coin_id"),
-        page.alias("page"),
-        F.struct(
-            "o_orderkey",
-            F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("double").alias("ms"),
-            "o_totalprice",
-            "c_acctbal",
-            F.col("o_custkey").cast("double").alias("volume"),
-        ).alias("r"),
-    )
-    pages = rows.groupBy("coin_id", "page").agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    key = F.col("o_orderkey")
+    start = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    hours = F.sequence(F.lit(0).cast("bigint"), 7 + key % 5)
 
-    def points(name: str) -> Column:
-        return F.transform("rs", lambda r: F.array(r["ms"], r[name]))
+    def points(of) -> Column:
+        return F.transform(hours, lambda i: F.array((start + i * 3600000).cast("double"), of(i).cast("double")))
 
-    n = F.size("rs")
-    volumes = points("volume")
-    short = F.slice(volumes, F.lit(1), F.when(F.col("page") % 2 == 1, n - 1).otherwise(n))
+    prices = points(lambda i: F.col("o_totalprice") + i)
+    caps = F.when(key % 7 > 0, points(lambda i: F.col("o_custkey") * 1000 + i))
+    volumes = points(lambda i: key % 100 + i)
+    short = F.slice(volumes, F.lit(1), F.size(volumes) - (key % 2).cast("int"))
     payload = F.to_json(
-        F.struct(points("o_totalprice").alias("prices"), points("c_acctbal").alias("market_caps"), short.alias("total_volumes"))
+        F.struct(prices.alias("prices"), caps.alias("market_caps"), short.alias("total_volumes"))
     )
-    return pages.select("coin_id", "page", payload.alias("value"))
+    return orders.select(F.col("o_orderpriority").alias("coin_id"), payload.alias("value"))
 
 
 def sentiment_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sentiment payloads: one page per range of order keys, numbers as strings."""
-    line = table(spark, sf_dir, "lineitem")
+    """Sentiment payloads: one per order line with two readings half a day apart, numbers as strings."""
     value = F.round(F.col("l_discount") * 1000).cast("int")
-    reading = F.struct(
-        value.cast("string").alias("value"),
-        sentiment_band(value).alias("value_classification"),
-        F.unix_seconds(F.col("l_shipdate").cast("timestamp")).cast("string").alias("timestamp"),
-        F.lit("43200").alias("time_until_update"),
-    )
-    page = F.floor(F.col("l_orderkey") / SENTIMENT_PAGE_KEYS)
-    return line.groupBy(page.alias("page")).agg(
-        F.to_json(F.struct(F.collect_list(reading).alias("data"))).alias("value")
-    )
+    at = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
+
+    def reading(v: Column, seconds: Column) -> Column:
+        return F.struct(
+            v.cast("string").alias("value"),
+            sentiment_band(v).alias("value_classification"),
+            seconds.cast("string").alias("timestamp"),
+            F.lit("43200").alias("time_until_update"),
+        )
+
+    both = F.array(reading(value, at), reading(100 - value, at + 43200))
+    return table(spark, sf_dir, "lineitem").select(F.to_json(F.struct(both.alias("data"))).alias("value"))
