@@ -9,7 +9,7 @@ from marketloom.schemas import PRICE_HISTORY_PAYLOAD, SENTIMENT_PAYLOAD
 from marketloom.session import staged
 
 PRICE_SOURCE = "coingecko"
-SENTIMENT_SOURCE = "alternative.me"
+SENTIMENT_SOURCE = "fear_greed_index"
 
 
 def price_history_rows(payloads: DataFrame, value: str = "value", carry: list[str] | None = None) -> DataFrame:

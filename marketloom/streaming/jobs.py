@@ -146,19 +146,25 @@ def match_stream(
 ) -> DataFrame:
     """Predictions with the bars that fall into their evaluation range, as a stream-stream join.
 
-    Both sides are watermarked and the range bounds the join, so state expires by itself; each
-    prediction meets at most the bars of one range. ``first_match`` keeps the earliest of them.
+    Both sides are keyed by asset and time bucket, as wide as the range: a prediction probes two
+    buckets instead of all buffered bars of its asset. Both are watermarked and the range bounds
+    the join, so state expires by itself. ``first_match`` keeps the earliest bar of a prediction.
     """
+    width = max_age_s - min_age_s
+    first = F.floor((F.unix_seconds("ts") + min_age_s) / width)
     p = predictions.select("model", "coin_id", "ts", "predicted_price", "current_price").withWatermark("ts", watermark)
+    p = p.withColumn("probe", F.explode(F.array(first, first + 1)))
     b = bars.select(
         F.col("coin_id").alias("bar_coin"), F.col("window_start").alias("bar_ts"), F.col("close").alias("bar_close")
     ).withWatermark("bar_ts", watermark)
+    b = b.withColumn("bucket", F.floor(F.unix_seconds("bar_ts") / width))
     in_range = (
         (F.col("coin_id") == F.col("bar_coin"))
+        & (F.col("probe") == F.col("bucket"))
         & (F.col("bar_ts") >= F.col("ts") + F.expr(f"interval {min_age_s} seconds"))
         & (F.col("bar_ts") <= F.col("ts") + F.expr(f"interval {max_age_s} seconds"))
     )
-    return p.join(b, in_range).drop("bar_coin")
+    return p.join(b, in_range).drop("bar_coin", "probe", "bucket")
 
 
 def first_match(pairs: DataFrame) -> DataFrame:
