@@ -21,29 +21,33 @@ def first_in_range(
 
     Both sides are joined by equality on (keys, time bucket) with buckets as wide as the range,
     so a left row meets at most two buckets. ``right`` must hold one row per key and time (bars),
-    which bounds the candidates of a left row by the bars in two buckets. The earliest one is a
-    partial aggregation; left rows without a match are kept with NULL values.
+    which bounds the candidates of a left row by the bars in two buckets. One aggregation by
+    ``left_id``, which must be unique, takes the earliest and puts the two probes of a left row
+    back together; left rows without a match keep NULL values.
     """
     width = float(high_s - low_s)
 
-    def bucket(seconds: Column) -> Column:
-        return F.floor(seconds / F.lit(width))
+    def seconds(ts: str) -> Column:
+        return F.unix_micros(F.col(ts)) / F.lit(1e6)
 
-    at = F.unix_micros(F.col(left_ts)) / F.lit(1e6)
-    first = bucket(at + F.lit(float(low_s)))
-    probes = left.withColumn("_b", F.explode(F.array(first, first + 1)))
+    first = F.floor((seconds(left_ts) + F.lit(float(low_s))) / F.lit(width))
+    probes = left.withColumn("_probe", F.explode(F.array(first, first + 1)))
     bars = right.select(
-        *keys,
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col(right_ts).alias("_rts"),
         *[F.col(v).alias(f"_r_{v}") for v in values],
-        bucket(F.unix_micros(F.col(right_ts)) / F.lit(1e6)).alias("_b"),
+        F.floor(seconds(right_ts) / F.lit(width)).alias("_bucket"),
     )
     gap = (F.unix_micros("_rts") - F.unix_micros(F.col(left_ts))) / F.lit(1e6)
-    hits = probes.join(bars, [*keys, "_b"]).filter(gap.between(low_s, high_s))
-    best = hits.groupBy(*left_id).agg(
-        F.min("_rts").alias("matched_ts"), *[F.min_by(f"_r_{v}", "_rts").alias(f"matched_{v}") for v in values]
+    same = (F.col("_probe") == F.col("_bucket")) & gap.between(low_s, high_s)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    rest = [c for c in left.columns if c not in left_id]
+    return probes.join(bars, same, "left").groupBy(*left_id).agg(
+        *[F.any_value(c).alias(c) for c in rest],
+        F.min("_rts").alias("matched_ts"),
+        *[F.min_by(f"_r_{v}", "_rts").alias(f"matched_{v}") for v in values],
     )
-    return left.join(best, left_id, "left")
 
 
 def lookup_or_self(value: Column, table: dict[str, str]) -> Column:

@@ -11,6 +11,7 @@ from marketloom.functions.labels import bias
 from marketloom.functions.numbers import clip
 from marketloom.operators.latest import newest_per_key
 from marketloom.operators.match import first_in_range
+from marketloom.session import staged
 
 VOTERS = ["gb", "rf", "lstm"]
 # Default voter weights and confidence thresholds.
@@ -26,7 +27,7 @@ def adaptive_weights(accuracies: DataFrame) -> DataFrame:
     ``accuracies`` has one row per voter: voter, accuracy.
     """
     raw = F.when(F.col("accuracy") > 0.5, F.pow(F.col("accuracy") - 0.5, F.lit(2.0))).otherwise(F.lit(0.0))
-    scored = accuracies.withColumn("raw", raw)
+    scored = staged(accuracies.withColumn("raw", raw), "accuracies")
     total = scored.agg(F.sum("raw").alias("t")).scalar()
     even = F.create_map(*[F.lit(x) for item in EVEN_WEIGHTS.items() for x in item])
     weight = F.when(total > 0, F.col("raw") / total).otherwise(F.try_element_at(even, F.col("voter")))

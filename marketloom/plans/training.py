@@ -34,7 +34,7 @@ def hash_split(samples: DataFrame, keys: list[str], share: float = TRAIN_SHARE,
 
 def class_weights(samples: DataFrame) -> DataFrame:
     """n / (2 n_c) per class."""
-    counts = samples.groupBy("label").agg(F.count(F.lit(1)).alias("n_class"))
+    counts = staged(samples.groupBy("label").agg(F.count(F.lit(1)).alias("n_class")), "classes")
     total = counts.agg(F.sum("n_class").alias("t")).scalar()
     return counts.withColumn("weight", total / (F.lit(2.0) * F.col("n_class")))
 

@@ -42,9 +42,14 @@ def bars(spark: SparkSession, sf: str, width: str = "30 seconds") -> DataFrame:
     return vwap_bars(stand_ins.ticks(spark, sf), width)
 
 
-def features(spark: SparkSession, sf: str, **options) -> DataFrame:
+def silver_bars(spark: SparkSession, sf: str) -> DataFrame:
+    """The bar table: computed from the trades once and written, as the lake has it."""
+    return staged(bars(spark, sf), "bars")
+
+
+def features(spark: SparkSession, sf: str, bar_table: DataFrame | None = None, **options) -> DataFrame:
     daily = staged(sentiment(spark, sf), "sentiment")
-    return feat.build_features(bars(spark, sf), daily, **options)
+    return feat.build_features(bar_table if bar_table is not None else silver_bars(spark, sf), daily, **options)
 
 
 def rule_votes(features_: DataFrame) -> DataFrame:
@@ -58,25 +63,36 @@ def rule_votes(features_: DataFrame) -> DataFrame:
     )
 
 
-def forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.trend_forecast(forecast.blend(rule_votes(features(spark, sf))))
+def forecasts(spark: SparkSession, sf: str, bar_table: DataFrame | None = None) -> DataFrame:
+    return forecast.trend_forecast(forecast.blend(rule_votes(features(spark, sf, bar_table))))
 
 
-def predictions(spark: SparkSession, sf: str) -> DataFrame:
+def predictions(spark: SparkSession, sf: str, bar_table: DataFrame | None = None) -> DataFrame:
     """Two models' predictions for every bar: the blended forecast and the five-bar mean."""
-    made = forecasts(spark, sf)
-    common = ["predicted_price", F.col("price").alias("current_price")]
-    ensemble = made.select(F.lit("ensemble").alias("model"), "coin_id", "ts", *common, "confidence", "sentiment_bias")
-    legacy = made.select(
-        F.lit("legacy").alias("model"),
+    price, mean = F.col("price"), F.col("sma_5")
+
+    def model(name: str, predicted: Column, confidence: Column, bias: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("model"),
+            predicted.alias("predicted_price"),
+            confidence.alias("confidence"),
+            bias.alias("sentiment_bias"),
+        )
+
+    both = F.array(
+        model("ensemble", F.col("predicted_price"), F.col("confidence"), F.col("sentiment_bias")),
+        model("legacy", mean, F.lit(0.5), F.when(mean > price, "Bullish").otherwise("Bearish")),
+    )
+    rows = forecasts(spark, sf, bar_table).select("coin_id", "ts", "price", F.explode(both).alias("m"))
+    return rows.select(
+        "m.model",
         "coin_id",
         "ts",
-        F.col("sma_5").alias("predicted_price"),
+        "m.predicted_price",
         F.col("price").alias("current_price"),
-        F.lit(0.5).alias("confidence"),
-        F.when(F.col("sma_5") > F.col("price"), "Bullish").otherwise("Bearish").alias("sentiment_bias"),
+        "m.confidence",
+        "m.sentiment_bias",
     )
-    return ensemble.unionByName(legacy)
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

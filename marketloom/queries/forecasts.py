@@ -25,8 +25,9 @@ def _report(spark, sf):
 
 
 def _errors(spark, sf):
-    bars = common.bars(spark, sf).select("coin_id", F.col("window_start").alias("ts"), "close")
-    return fc.prediction_errors(fc.match_predictions(common.predictions(spark, sf), bars))
+    table = common.silver_bars(spark, sf)
+    bars = table.select("coin_id", F.col("window_start").alias("ts"), "close")
+    return fc.prediction_errors(fc.match_predictions(common.predictions(spark, sf, table), bars))
 
 
 @query(
@@ -127,9 +128,10 @@ def forecast_curve(spark, sf):
 def forecast_line(spark, sf):
     from marketloom.operators.latest import newest_per_key
 
-    last = newest_per_key(common.forecasts(spark, sf), ["coin_id"], [F.col("ts").desc()])
+    table = common.silver_bars(spark, sf)
+    last = newest_per_key(common.forecasts(spark, sf, table), ["coin_id"], [F.col("ts").desc()])
     curve = fc.forecast_curve(last, ["coin_id"]).select("coin_id", "horizon_seconds", "predicted_price")
-    return dashboard.forecast_line(common.bars(spark, sf), curve)
+    return dashboard.forecast_line(table, curve)
 
 
 @query(
@@ -246,8 +248,9 @@ def forecast_delta(spark, sf):
     """SELECT model, coin_id, ts FROM preds WHERE ts >= (SELECT min(window_start) FROM bars30 WHERE window_start >= TIMESTAMP '2024-01-20')""",
 )
 def within_bars(spark, sf):
-    shown = common.bars(spark, sf).filter(F.col("window_start") >= F.lit("2024-01-20").cast("timestamp"))
-    return dashboard.within_bars(common.predictions(spark, sf), shown).select("model", "coin_id", "ts")
+    table = common.silver_bars(spark, sf)
+    shown = table.filter(F.col("window_start") >= F.lit("2024-01-20").cast("timestamp"))
+    return dashboard.within_bars(common.predictions(spark, sf, table), shown).select("model", "coin_id", "ts")
 
 
 @query(

@@ -259,7 +259,7 @@ def rebase_all(spark, sf):
 )
 def rolling_chunked(spark, sf):
     measures = {"avg_30": ("avg", "close", 30), "std_7": ("stddev", "close", 7), "prev_close": ("lag", "close", 1)}
-    base = common.bars(spark, sf).select("coin_id", "window_start", "close")
+    base = common.silver_bars(spark, sf).select("coin_id", "window_start", "close")
     rolled = rolling(base, ["coin_id"], "window_start", measures, chunk_rows=512)
     return common.rounded(rolled, 6, "avg_30", "std_7").drop("close")
 

@@ -64,7 +64,7 @@ _WINDOW_NAMES = [
 
 @query("f1_f2_f6_f7_f8_p21_window_features", f"SELECT {_WINDOWED} FROM windowed")
 def window_features(spark, sf):
-    placed = feat.positions(common.bars(spark, sf), ["coin_id"], "window_start", "close", "total_volume")
+    placed = feat.positions(common.silver_bars(spark, sf), ["coin_id"], "window_start", "close", "total_volume")
     rows = feat.window_features(placed, ["coin_id"]).select("coin_id", "ts", *_WINDOW_NAMES)
     return common.rounded(rows, 6, *_WINDOW_NAMES)
 
@@ -89,7 +89,7 @@ def rsi_macd(spark, sf):
 )
 def ema(spark, sf):
     keys = ["coin_id"]
-    placed = feat.positions(common.bars(spark, sf), keys, "window_start", "close", "total_volume")
+    placed = feat.positions(common.silver_bars(spark, sf), keys, "window_start", "close", "total_volume")
     rows = feat.window_features(placed, keys)
     return common.rounded(rows.select("coin_id", "ts", "ema_fast", "ema_slow"), 6, "ema_fast", "ema_slow")
 

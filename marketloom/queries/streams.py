@@ -75,9 +75,9 @@ def stream_bars_upsert(spark, sf):
     return common.rounded(rows, 9, "vwap", "avg_price", "stddev_price", "z_score")
 
 
-def _bar_files(spark, sf) -> str:
+def _bar_files(spark, bars) -> str:
     path = scratch_path(spark, "silver-bars")
-    common.bars(spark, sf).write.parquet(path)
+    bars.write.parquet(path)
     return path
 
 
@@ -88,7 +88,7 @@ def _bar_files(spark, sf) -> str:
 )
 def stream_scoring(spark, sf):
     """Every new bar scored once, micro-batch by micro-batch."""
-    history = _bar_files(spark, sf)
+    history = _bar_files(spark, common.bars(spark, sf))
     out, marks = scratch_path(spark, "scores"), scratch_path(spark, "marks")
     sentiment = common.sentiment(spark, sf)
 
@@ -110,8 +110,8 @@ def stream_scoring(spark, sf):
 )
 def stream_match(spark, sf):
     """Predictions joined to later bars as two streams, the earliest bar kept per prediction."""
-    bars_path, preds_path = _bar_files(spark, sf), scratch_path(spark, "preds")
-    common.predictions(spark, sf).write.parquet(preds_path)
+    bars_path, preds_path = _bar_files(spark, common.bars(spark, sf)), scratch_path(spark, "preds")
+    common.predictions(spark, sf, spark.read.parquet(bars_path)).write.parquet(preds_path)
     out, marks = scratch_path(spark, "pairs"), scratch_path(spark, "marks")
     preds = jobs.file_source(spark, preds_path, spark.read.parquet(preds_path).schema)
     bars = jobs.file_source(spark, bars_path, spark.read.parquet(bars_path).schema)
