@@ -32,13 +32,13 @@ def clip(x: Column, low: float, high: float) -> Column:
 
 def finite(x: Column) -> Column:
     """NULL and NaN become 0, +inf 0.5 and -inf -0.5."""
-    inf = float("inf")
-    return (
-        F.when(x.isNull() | F.isnan(x), F.lit(0.0))
-        .when(x == F.lit(inf), F.lit(0.5))
-        .when(x == F.lit(-inf), F.lit(-0.5))
-        .otherwise(x)
-    )
+    bounded = F.when(F.abs(x) == F.lit(float("inf")), F.signum(x) * 0.5).otherwise(x)
+    return zero_if_missing(bounded)
+
+
+def zero_if_missing(x: Column) -> Column:
+    """NULL and NaN become 0: what ``finite`` leaves to do on bounded values."""
+    return F.coalesce(F.nanvl(x, F.lit(0.0)), F.lit(0.0))
 
 
 def relative_return(now: Column, before: Column) -> Column:

@@ -9,7 +9,7 @@ then partition by (series, chunk), whose size is known in advance.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 POS = "_pos"

@@ -89,7 +89,7 @@ def forecast_line(bars: DataFrame, curve: DataFrame) -> DataFrame:
     ahead = curve.join(last, "coin_id").select(
         "coin_id",
         "horizon_seconds",
-        F.timestamp_micros(F.unix_micros("_last") + F.col("horizon_seconds") * 1000000).alias("ts"),
+        F.timestamp_micros(F.unix_micros("_last") + F.col("horizon_seconds").cast("bigint") * 1000000).alias("ts"),
         F.col("predicted_price").alias("price"),
     )
     return anchor.unionByName(ahead)

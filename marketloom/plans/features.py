@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.functions.numbers import clip, finite, relative_return, sentiment_norm
+from marketloom.functions.numbers import clip, relative_return, sentiment_norm, zero_if_missing
 from marketloom.functions.times import hour_cycle
 from marketloom.operators.recurrence import (
     ema_input,
@@ -248,7 +248,10 @@ def build_features(
         df = df.withColumn("fear_greed_norm", sentiment_norm(value))
     sin, cos = hour_cycle(F.col("ts"))
     df = df.withColumns({"hour_sin": sin, "hour_cos": cos})
-    wrap = finite if warmup == "backfill" else (lambda c: c)
+    # Every feature is clipped or bounded, so only missing values are left to replace. Twenty of
+    # these end up in one generated method; the longer general form would keep it from being
+    # compiled by the JVM.
+    wrap = zero_if_missing if warmup == "backfill" else (lambda c: c)
     return df.select(
         *keys,
         "ts",

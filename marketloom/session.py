@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Wide window plans generate more classes than the default cache of 100 holds.
     "spark.sql.codegen.cache.maxEntries": "1000",
+    # Methods above 8000 bytes are never compiled by the JVM: better not to fuse such a stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
