@@ -43,7 +43,8 @@ def training_set(features: DataFrame, lookback: int = 30, horizon: int = 3) -> D
     """Samples of all assets with vector columns for the tabular and the sequence voters."""
     samples = training_samples(with_sequences(features, steps=SEQUENCE_STEPS), lookback, horizon)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    return time_split(vectors.transform(samples).withColumn("window", array_to_vector("sequence")))
+    rows = vectors.transform(samples).withColumn("window", array_to_vector("sequence")).drop("sequence")
+    return time_split(rows)
 
 
 def samples_by_asset(samples: DataFrame) -> DataFrame:

@@ -200,8 +200,15 @@ def silver_suite(spark, sf):
 
 @query(
     "q15_suite_status",
-    """SELECT 'fact_market_daily' AS table_name, 1.0 AS success_rate, 'PASS' AS status
- UNION ALL SELECT 'daily_prices', round(5 / 6, 3), 'PASS' UNION ALL SELECT 'historical_prices', 0.8, 'FAIL'""",
+    f"""SELECT table_name, round(met / total, 3) AS success_rate, CASE WHEN met / total > 0.8 THEN 'PASS' ELSE 'FAIL' END AS status FROM
+ (SELECT 'historical_prices' AS table_name, 5 AS total, 2 + CAST(count(coin_id) = count(*) AS INTEGER)
+   + CAST(count(price_usd) = count(*) AS INTEGER) + CAST(count(*) FILTER (price_usd < 0) = 0 AS INTEGER) AS met FROM {_RAW}
+  UNION ALL SELECT 'daily_prices', 6, 2 + CAST(count(coin_id) = count(*) AS INTEGER) + CAST(count(price_usd) = count(*) AS INTEGER)
+   + CAST(count(*) FILTER (price_usd < 0) = 0 AS INTEGER)
+   + (SELECT CAST(coalesce(sum(CASE WHEN n = 1 THEN 1 END), 0) / sum(n) >= 0.01 AS INTEGER) FROM
+      (SELECT count(*) AS n FROM s_prices GROUP BY coin_id)) FROM s_prices
+  UNION ALL SELECT 'fact_market_daily', 3, CAST(count(coin_id) = count(*) AS INTEGER) + CAST(count(price_usd) = count(*) AS INTEGER)
+   + CAST(count(*) FILTER (price_usd < 0.00000001) = 0 AS INTEGER) FROM fact)""",
 )
 def suite_status(spark, sf):
     parts = [
