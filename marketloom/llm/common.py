@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.session import drop_path, scratch_path
@@ -42,3 +43,12 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
     while wanted.lower() in lower:
         wanted = "_" + wanted
     return wanted
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, if it is not installed."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    if root not in environment.get("PYTHONPATH", "").split(":"):
+        environment["PYTHONPATH"] = ":".join(filter(None, [environment.get("PYTHONPATH"), root]))
+    return spark

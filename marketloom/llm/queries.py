@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup
+from marketloom.llm import exact_dedup, packing
+from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query(
@@ -41,6 +42,20 @@ def exact_dedup_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def byte_bpe() -> str:
+    """The public byte-level vocabulary, installed on the driver and all executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op7_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), byte_bpe())
+    digests = cut.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
