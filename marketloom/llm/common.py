@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,8 +46,27 @@ def free_name(taken: Sequence[str], wanted: str) -> str:
     return wanted
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows in the jobs run inside, for rows that are large."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it, if it is not installed."""
+    """Let Python workers import this package from where the driver has it, if it is not installed.
+
+    Texts come in batches of at most 1,000, a tenth of the default, which bounds a worker's memory.
+    """
+    if int(spark.conf.get(BATCH_ROWS)) > 1000:
+        spark.conf.set(BATCH_ROWS, "1000")
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(":"):
