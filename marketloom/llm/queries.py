@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, packing, topk
+from marketloom.llm import exact_dedup, near_dedup, packing, topk
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +81,9 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+@query("op9_near_dedup")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.groups(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
