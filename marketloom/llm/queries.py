@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, near_dedup, packing, topk
+from marketloom.llm import exact_dedup, near_dedup, packing, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,15 +75,23 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests)
 
 
+@query("op9_near_dedup")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.groups(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op5_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.fit(docs, table(spark, sf_dir, "labels")).score(docs)
+    held_out = (toxicity.fold("doc_id") == toxicity.HELD_OUT).alias("held_out")
+    return scored.select("doc_id", held_out, "score", toxicity.predicted().alias("predicted"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
-
-
-@query("op9_near_dedup")
-def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dedup.groups(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
-    return found.withColumnRenamed("id", "doc_id")
