@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, near_dedup, packing, pii, topk, toxicity
+from marketloom.llm import exact_dedup, html_text, near_dedup, packing, pii, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +98,12 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(pii.joined(base), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+@query("op8_html_text")
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
