@@ -86,6 +86,8 @@ class Page:
         while at < n:
             m = TAG.search(source, at) if at <= last else None
             piece = source[at : m.start() if m else n]
+            if not m:
+                piece = piece.partition("<!--")[0]
             if piece:
                 parts.append(piece)
                 linked += len(piece) if links else 0

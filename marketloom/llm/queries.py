@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, html_text, near_dedup, packing, pii, topk, toxicity
+from marketloom.llm import exact_dedup, fixity, html_text, licences, near_dedup, packing, pii, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +104,41 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+SEGMENT = 4096  # pages in a volume: two levels of nodes above the records
+
+
+@query(
+    "op1_merkle_fixity",
+    """
+    WITH p AS (
+        SELECT CAST(page_id // 4096 AS VARCHAR) AS volume, page_id % 4096 AS pos, 1 AS a,
+               CASE WHEN page_id % 89 = 5 THEN 0 WHEN page_id % 83 = 7 THEN 2 ELSE 1 END AS b, page_id % 97 = 3 AS changed
+        FROM pages
+    ), nodes AS (
+        SELECT level::INT AS level, volume, pos >> (6 * level) AS node, sum(a) AS a, sum(b) AS b, bool_or(b <> 1 OR changed) AS differs
+        FROM p, (SELECT unnest([0, 1, 2]) AS level) GROUP BY ALL
+    )
+    SELECT level, volume, node << (6 * level) AS first_offset, ((node + 1) << (6 * level)) - 1 AS last_offset,
+           CASE WHEN b = 0 THEN 'missing' ELSE 'changed' END AS status, a::BIGINT AS records_a, b::BIGINT AS records_b
+    FROM nodes WHERE differs
+    """,
+)
+def merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as an archive against a replica with changed, lost and repeated records."""
+    keys = {"volume": F.floor(F.col("page_id") / SEGMENT).cast("string"), "pos": F.col("page_id") % SEGMENT}
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").withColumns(keys)
+    damaged = F.when(F.col("page_id") % 97 == 3, F.concat(F.coalesce("html", F.lit("")), F.lit("!"))).otherwise(F.col("html"))
+    copies = F.when(F.col("page_id") % 83 == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    replica = pages.filter(F.coalesce(F.col("page_id") % 89 != 5, F.lit(True))).withColumn("html", damaged)
+    replica = replica.withColumn("copy", F.explode(copies)).drop("copy")
+    return fixity.audit(pages, replica, "volume", "pos", ["url", "html"], height=2)
+
+
+@query("op10_licences")
+def licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
