@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, fixity, html_text, licences, near_dedup, packing, pii, topk, toxicity
+from marketloom.llm import exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +139,22 @@ def licence_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def piece_bpe() -> str:
+    """The public SentencePiece vocabulary, installed on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op3_piece_lattice")
+def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to the text (the word mark read as a space)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = lattice.decode(lattice.encode(docs, piece_bpe()), piece_bpe())
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), lattice.MARK, " ")
+    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), same.alias("round_trip"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
