@@ -8,15 +8,19 @@ partitions by dynamic overwrite, so no path is read and overwritten in the same
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketloom.operators.latest import newest_per_key
 from marketloom.session import drop_path, path_exists, scratch_path, staged
 
-MAX_PARTITION_LIST = 500
+# How far back of the last load time rows are taken again: writers that run side by side may
+# commit in another order than they stamped their rows.
+OVERLAP = timedelta(minutes=10)
 
 
 def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -89,17 +93,27 @@ def upsert(
 def _touched(target: DataFrame, updates: DataFrame, partition_by: list[str]) -> DataFrame | None:
     """Target rows of the partitions that occur in the updates; None when there are no updates.
 
-    A short list of partition values becomes a literal filter, which prunes directories; a
-    longer one stays a semi join.
+    The values of each partition column, as many as the write makes directories, become a
+    literal filter that prunes directories, the NULL one included. With several columns a
+    null-safe semi join picks the combinations out of what is left.
     """
-    parts = updates.select(*partition_by).distinct()
-    listed = parts.limit(MAX_PARTITION_LIST + 1).collect()
-    if not listed:
+    seen = updates.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.collect_set(c).alias(f"v_{c}") for c in partition_by],
+        *[F.max(F.col(c).isNull()).alias(f"n_{c}") for c in partition_by],
+    ).first()
+    if not seen["rows"]:
         return None
-    if len(listed) > MAX_PARTITION_LIST:
-        return target.join(parts, partition_by, "left_semi")
-    tests = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by]) for r in listed]
-    return target.filter(reduce(lambda a, b: a | b, tests))
+    tests = []
+    for c in partition_by:
+        listed = F.col(c).isin(seen[f"v_{c}"]) if seen[f"v_{c}"] else F.lit(False)
+        tests.append(listed | F.col(c).isNull() if seen[f"n_{c}"] else listed)
+    pruned = target.filter(reduce(lambda a, b: a & b, tests))
+    if len(partition_by) == 1:
+        return pruned
+    parts = updates.select(*[F.col(c).alias(f"_p_{c}") for c in partition_by]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_p_{c}")) for c in partition_by])
+    return pruned.join(parts, same, "left_semi")
 
 
 def _replace_partitions(df: DataFrame, path: str, partition_by: list[str], sort_by: list[str] | None) -> None:
@@ -120,40 +134,29 @@ def newer_than(source: DataFrame, target: DataFrame, watermark: str, source_colu
     return source.filter(high.isNull() | (F.col(column) > high))
 
 
-def incremental(
-    spark: SparkSession,
-    path: str,
-    source: DataFrame,
-    build: Callable[[DataFrame], DataFrame],
-    keys: list[str],
-    partition_by: list[str],
-    watermark: str,
-    source_column: str | None = None,
-    lookback: Callable[[DataFrame, Column], DataFrame] | None = None,
-    keep: Callable[[Column], Column] | None = None,
-    sort_by: list[str] | None = None,
-) -> None:
-    """Build only what is new since the target's highest watermark and merge it by key.
+def changed(source: DataFrame, target: DataFrame, keys: list[str], fingerprint: str) -> DataFrame:
+    """Keys of source rows that the target lacks or was built from another version of.
 
-    ``lookback(source, high)`` returns the source rows the build needs, earlier rows for
-    rolling frames included; ``keep(high)`` then selects the built rows to merge. Without them
-    the source is filtered to ``source_column >= high``, which also rebuilds the open period.
-    The first run builds everything.
+    Both sides carry ``fingerprint``, a hash of what the target row is built from. No clock and no
+    highest key is involved, so late, restated and lagging rows are all found.
     """
-    if not path_exists(spark, path):
-        write_table(build(source), path, partition_by, sort_by, "errorifexists")
-        return
-    target = spark.read.parquet(path)
-    high_value = target.agg(F.max(watermark).alias("high")).first()["high"]
-    if high_value is None:
-        upsert(spark, path, build(source), keys, partition_by, sort_by)
-        return
-    high = F.lit(high_value)
-    column = source_column or watermark
-    recent = lookback(source, high) if lookback else source.filter(F.col(column) >= high)
-    built = build(recent)
-    fresh = built.filter(keep(high)) if keep else built
-    upsert(spark, path, fresh, keys, partition_by, sort_by)
+    known = target.select(*keys, F.col(fingerprint).alias("_known"))
+    differs = ~F.col(fingerprint).eqNullSafe(F.col("_known"))
+    return source.join(known, keys, "left").filter(differs).select(*keys)
+
+
+def around_changes(source: DataFrame, changes: DataFrame, series: list[str], order: str, reach: int) -> DataFrame:
+    """Source rows from the first to the last change of each series, and ``reach`` rows on either side.
+
+    ``_rebuild`` marks the rows whose frames of ``reach`` earlier rows can hold a change.
+    """
+    span = staged(changes.groupBy(*series).agg(F.min(order).alias("_first"), F.max(order).alias("_last")), "changes")
+    rows = source.join(span, series)
+    before = newest_per_key(rows.filter(F.col(order) < F.col("_first")), series, [F.col(order).desc()], reach)
+    after = newest_per_key(rows.filter(F.col(order) > F.col("_last")), series, [F.col(order).asc()], reach)
+    within = rows.filter(F.col(order).between(F.col("_first"), F.col("_last")))
+    every = before.unionByName(within).unionByName(after)
+    return every.withColumn("_rebuild", F.col(order) >= F.col("_first")).drop("_first", "_last")
 
 
 def refresh_touched(
@@ -168,33 +171,44 @@ def refresh_touched(
     keys: list[str],
     partition_by: list[str],
     sort_by: list[str] | None = None,
+    load_day: str | None = None,
+    overlap: timedelta = OVERLAP,
 ) -> None:
     """Rebuild exactly the periods that newly loaded rows fall into, late rows included.
 
-    ``loaded`` is the load time of a source row. Every built row stores the load time it was
-    built through, so the next run knows which source rows are new; their periods are rebuilt
-    from all their rows and merged. ``start`` names the period column that holds its first
-    instant, and ``not_before`` turns the earliest one into a source filter, so that older data
-    is skipped by the scan.
+    ``loaded`` is the time at which a source row was written. Every built row stores the load
+    time it was built through; the next run takes the rows loaded since, those of the last load
+    time and of ``overlap`` before it again, because a repeat rebuilds the same periods from all
+    their rows and changes nothing. ``load_day`` names the partition column with the day of
+    ``loaded``, which lets both reads skip directories. ``start`` names the period column that
+    holds its first instant, and ``not_before`` turns the earliest one into a source filter.
     """
-    through = source.agg(F.max(loaded).alias("t")).first()["t"]
+    names = [f"_p_{n}" for n in period]
+
+    def since(rows: DataFrame, time) -> DataFrame:
+        return rows if load_day is None else rows.filter(F.col(load_day) >= F.to_date(F.lit(time)))
 
-    def built(rows: DataFrame) -> DataFrame:
+    def built(rows: DataFrame, through) -> DataFrame:
         return build(rows).withColumn("loaded_through", F.lit(through).cast("timestamp"))
 
-    if not path_exists(spark, path):
-        write_table(built(source), path, partition_by, sort_by, "errorifexists")
+    seen = None
+    if path_exists(spark, path):
+        seen = spark.read.parquet(path).agg(F.max("loaded_through").alias("t")).first()["t"]
+    if seen is None:
+        through = source.agg(F.max(loaded).alias("t")).first()["t"]
+        write_table(built(source, through), path, partition_by, sort_by)
         return
-    seen = spark.read.parquet(path).agg(F.max("loaded_through").alias("t")).first()["t"]
-    new = source if seen is None else source.filter(loaded > F.lit(seen))
-    touched = staged(new.select(*[c.alias(f"_p_{n}") for n, c in period.items()]).distinct(), "touched")
-    earliest = touched.agg(F.min(f"_p_{start}").alias("t")).first()["t"]
-    if earliest is None:
+    new = since(source, seen - overlap).filter(loaded >= F.lit(seen - overlap))
+    touched = new.groupBy(*[c.alias(f"_p_{n}") for n, c in period.items()]).agg(F.max(loaded).alias("_loaded"))
+    touched = staged(touched, "touched")
+    latest = touched.agg(F.min(f"_p_{start}").alias("earliest"), F.max("_loaded").alias("through")).first()
+    if latest["earliest"] is None:
         return
-    names = [f"_p_{n}" for n in period]
-    marked = source.filter(not_before(F.lit(earliest))).withColumns({f"_p_{n}": c for n, c in period.items()})
-    rows = marked.join(touched, names, "left_semi").drop(*names)
-    upsert(spark, path, built(rows), keys, partition_by, sort_by)
+    # A row is loaded after its trade, so older load days hold nothing of the touched periods.
+    marked = since(source, latest["earliest"]).filter(not_before(F.lit(latest["earliest"])))
+    marked = marked.withColumns({f"_p_{n}": c for n, c in period.items()})
+    rows = marked.join(touched.drop("_loaded"), names, "left_semi").drop(*names)
+    upsert(spark, path, built(rows, max(seen, latest["through"])), keys, partition_by, sort_by)
 
 
 def compact(

@@ -15,8 +15,9 @@ from marketloom.functions.numbers import pct_change, share_pct
 from marketloom.functions.times import calendar_columns, ms_to_date
 from marketloom.operators.bars import hourly_prices, market_ohlc, trade_ticks
 from marketloom.operators.latest import newest, newest_per_key, rank_recency
-from marketloom.operators.merge import incremental, refresh_touched, write_table
+from marketloom.operators.merge import around_changes, changed, refresh_touched, upsert, write_table
 from marketloom.operators.series import rolling
+from marketloom.session import path_exists, staged
 
 FACT_KEY = ["coin_id", "price_date"]
 LOOKBACK_ROWS = 29
@@ -106,10 +107,11 @@ def fact_market_daily(
     prices: DataFrame,
     sentiment: DataFrame | None = None,
     signal_mode: str = "tri",
+    fingerprint: bool = False,
 ) -> DataFrame:
     """Daily facts: change, rolling indicators, sentiment and signals, one row per asset and day.
 
-    'tri' rounds the indicators and compares the price with the rounded mean; 'binary' keeps
+    ``fingerprint`` adds ``source_hash``, a hash of the day's inputs. 'tri' rounds the indicators and compares the price with the rounded mean; 'binary' keeps
     them unrounded and adds the sentiment score. Without a sentiment table its columns are NULL.
     """
     day = Window.partitionBy("coin_id").orderBy("price_date")
@@ -160,49 +162,65 @@ def fact_market_daily(
         "fear_greed_value",
         "market_sentiment",
         *last,
+        *([source_hash().alias("source_hash")] if fingerprint else []),
     )
 
 
-def fact_lookback(source: DataFrame, high: Column) -> DataFrame:
-    """New days plus the 29 rows per asset that their rolling frames reach back to."""
-    new = source.filter(F.col("price_date") > high)
-    old = newest_per_key(
-        source.filter(F.col("price_date") <= high), ["coin_id"], [F.col("price_date").desc()], LOOKBACK_ROWS
-    )
-    return new.unionByName(old)
+def source_hash() -> Column:
+    """What a fact row takes from its own day; its frames take the same from earlier days."""
+    return F.xxhash64("price_usd", "market_cap_usd", "volume_24h_usd", "fear_greed_value", "market_sentiment")
+
+
+def _fact_rows(prices: DataFrame, sentiment: DataFrame | None, signal_mode: str) -> DataFrame:
+    fact = fact_market_daily(prices, sentiment, signal_mode, fingerprint=True)
+    return fact.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
 
 
 def load_fact(
     spark: SparkSession, path: str, prices: DataFrame, sentiment: DataFrame | None = None, signal_mode: str = "tri"
 ) -> None:
-    """Incremental fact load whose result equals a full refresh."""
+    """Incremental fact load whose result equals a full refresh.
 
-    def build(rows: DataFrame) -> DataFrame:
-        fact = fact_market_daily(rows, sentiment, signal_mode)
-        return fact.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
-
-    incremental(
-        spark,
-        path,
-        prices,
-        build,
-        FACT_KEY,
-        ["price_month"],
-        watermark="price_date",
-        lookback=fact_lookback,
-        keep=lambda high: F.col("price_date") > high,
-        sort_by=["coin_id", "price_date"],
+    Days whose inputs differ from those that the stored fact was built from (new, late or
+    restated prices of any asset, new or changed sentiment) are found by their fingerprints, which
+    reads keys and hashes only. Each asset is rebuilt from its first changed day to 29 rows after
+    its last one, with the 29 rows before for the frames. Rows never leave silver, so none leave
+    the fact; ``refresh_fact`` drops rows.
+    """
+    if not path_exists(spark, path):
+        refresh_fact(path, prices, sentiment, signal_mode)
+        return
+    columns = ["coin_id", "price_date", "price_usd", "market_cap_usd", "volume_24h_usd"]
+    rows = prices.select(*columns)
+    if sentiment is None:
+        none = {"fear_greed_value": F.lit(None).cast("int"), "market_sentiment": F.lit(None).cast("string")}
+        inputs = rows.withColumns(none)
+    else:
+        inputs = int_market_enriched(rows, sentiment)
+    stored = spark.read.parquet(path)
+    changes = changed(inputs.withColumn("source_hash", source_hash()), stored, FACT_KEY, "source_hash")
+    needed = staged(around_changes(rows, changes, ["coin_id"], "price_date", LOOKBACK_ROWS), "fact-rows")
+    fresh = _fact_rows(needed.drop("_rebuild"), sentiment, signal_mode)
+    upsert(
+        spark, path, fresh.join(needed.filter("_rebuild").select(*FACT_KEY), FACT_KEY, "left_semi"),
+        FACT_KEY, ["price_month"], ["coin_id", "price_date"],
     )
 
 
 def refresh_fact(path: str, prices: DataFrame, sentiment: DataFrame | None = None, signal_mode: str = "tri") -> None:
-    fact = fact_market_daily(prices, sentiment, signal_mode)
-    rows = fact.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
-    write_table(rows, path, ["price_month"], ["coin_id", "price_date"])
+    write_table(_fact_rows(prices, sentiment, signal_mode), path, ["price_month"], ["coin_id", "price_date"])
 
 
-def _loaded() -> Column:
-    return F.to_timestamp("ingested_at")
+def _loads(trades: DataFrame) -> dict:
+    """When rows were written: the writer's stamp and its day partition where the table has them.
+
+    The producer's own time is whole seconds and may run behind, so it is only the substitute.
+    """
+    stamp = "_spark_ingested_at"
+    return {
+        "loaded": F.col(stamp).cast("timestamp") if stamp in trades.columns else F.to_timestamp("ingested_at"),
+        "load_day": "ingest_date" if "ingest_date" in trades.columns else None,
+    }
 
 
 def _traded_from(start: Column) -> Column:
@@ -217,8 +235,8 @@ def load_hourly(spark: SparkSession, path: str, trades: DataFrame) -> None:
 
     hour = F.date_trunc("hour", F.timestamp_millis("trade_time_ms"))
     refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "hour": hour}, "hour", _traded_from, _loaded(),
-        ["coin_id", "price_hour"], ["price_day"], ["coin_id", "price_hour"],
+        spark, path, trades, build, {"coin_id": F.col("coin_id"), "hour": hour}, "hour", _traded_from,
+        keys=["coin_id", "price_hour"], partition_by=["price_day"], sort_by=["coin_id", "price_hour"], **_loads(trades),
     )
 
 
@@ -230,8 +248,9 @@ def load_ohlc(spark: SparkSession, path: str, trades: DataFrame) -> None:
 
     day = ms_to_date(F.col("trade_time_ms"))
     refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "day": day}, "day", _traded_from, _loaded(),
-        ["coin_id", "bucket_start", "timeframe"], ["timeframe", "bucket_day"], ["coin_id", "bucket_start"],
+        spark, path, trades, build, {"coin_id": F.col("coin_id"), "day": day}, "day", _traded_from,
+        keys=["coin_id", "bucket_start", "timeframe"], partition_by=["timeframe", "bucket_day"],
+        sort_by=["coin_id", "bucket_start"], **_loads(trades),
     )
 
 

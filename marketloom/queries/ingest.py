@@ -13,7 +13,7 @@ from marketloom.queries import common
 from marketloom.queries.oracle import BAND
 from marketloom.queries.registry import query
 from marketloom.schemas import BRONZE_PRICES
-from marketloom.session import scratch_path
+from marketloom.session import scratch_path, staged
 from marketloom.sources import ingest, payloads, scan, stand_ins, trades
 
 # The usable messages of the stand-in topic, restated over the events.
@@ -193,7 +193,65 @@ def incremental_fact(spark, sf):
     prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
     for end in ("2001-07-01", "2001-07-15", "2002-01-01"):
         gold.load_fact(spark, path, prices.filter(F.col("price_date") < F.lit(end).cast("date")), sentiment)
-    return spark.read.parquet(path).drop("price_month")
+    return spark.read.parquet(path).drop("price_month", "source_hash")
+
+
+def _loaded_fact(spark, *loads):
+    """The fact after one incremental load of each (prices, sentiment)."""
+    path = scratch_path(spark, "fact")
+    for prices, sentiment in loads:
+        gold.load_fact(spark, path, staged(prices, "prices"), staged(sentiment, "sentiment"))
+    return spark.read.parquet(path).drop("price_month", "source_hash")
+
+
+@query("s19_lagging_asset", "SELECT * FROM fact")
+def lagging_asset(spark, sf):
+    """One asset is months ahead of the others in the first load; the rest arrives later."""
+    prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
+    ahead = (F.col("coin_id") == "1-URGENT") | (F.col("price_date") < F.lit("2001-03-01").cast("date"))
+    return _loaded_fact(spark, (prices.filter(ahead), sentiment), (prices, sentiment))
+
+
+@query("s19_restated_day", "SELECT * FROM fact")
+def restated_day(spark, sf):
+    """Old days are loaded with wrong prices, missing days and wrong volumes, then corrected."""
+    prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
+    third = F.dayofmonth("price_date") == 3
+    wrong = prices.filter(F.dayofmonth("price_date") != 17).withColumns(
+        {
+            "price_usd": F.when(third, F.col("price_usd") * 2).otherwise(F.col("price_usd")),
+            "volume_24h_usd": F.when(F.dayofmonth("price_date") == 9, F.lit(None)).otherwise(F.col("volume_24h_usd")),
+        }
+    )
+    return _loaded_fact(spark, (wrong, sentiment), (prices, sentiment))
+
+
+@query("s19_changed_sentiment_day", "SELECT * FROM fact")
+def changed_sentiment_day(spark, sf):
+    """Sentiment of loaded days arrives late or changes."""
+    prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
+    fifth = F.dayofmonth("index_date") == 5
+    early = sentiment.filter(F.col("index_date") < F.lit("2001-05-01").cast("date")).withColumn(
+        "fear_greed_value", F.when(fifth, 100 - F.col("fear_greed_value")).otherwise(F.col("fear_greed_value"))
+    )
+    return _loaded_fact(spark, (prices, early), (prices, sentiment))
+
+
+_HOURLY = """SELECT coin_id, price_hour, round(avg_price, 9) AS avg_price, min_price, max_price, open_price, close_price,
+ total_quantity, trade_count FROM hourly"""
+
+
+@query("s19_equal_load_second", _HOURLY)
+def equal_load_second(spark, sf):
+    """Three loads whose rows all carry the same write stamp, from a table partitioned by ingest day."""
+    path, bronze = scratch_path(spark, "hourly"), scratch_path(spark, "bronze")
+    stamp = F.lit("2024-02-02 00:00:00").cast("timestamp")
+    rows = stand_ins.bronze_trades(spark, sf).withColumns({"_spark_ingested_at": stamp, "ingest_date": F.to_date(stamp)})
+    for part in range(3):
+        arrived = rows.filter(F.pmod(F.xxhash64("trade_time_ms"), F.lit(3)) == part)
+        ingest.append(arrived, bronze, ["ingest_date"])
+        gold.load_hourly(spark, path, spark.read.parquet(bronze))
+    return common.rounded(spark.read.parquet(path).drop("price_day", "loaded_through"), 9, "avg_price")
 
 
 @query(
@@ -218,7 +276,7 @@ def incremental_hourly(spark, sf):
 def full_refresh_fact(spark, sf):
     path = scratch_path(spark, "fact")
     gold.refresh_fact(path, common.prices(spark, sf), common.sentiment(spark, sf))
-    return spark.read.parquet(path).drop("price_month")
+    return spark.read.parquet(path).drop("price_month", "source_hash")
 
 
 @query(

@@ -61,13 +61,49 @@ def test_incremental_fact_equals_full_refresh(spark, sf, mode):
     path = scratch_path(spark, "fact")
     for end in ("1999-06-01", "2000-01-01", "2000-01-01", "2003-01-01"):
         gold.load_fact(spark, path, prices.filter(F.col("price_date") < F.lit(end).cast("date")), sentiment, mode)
-    loaded = spark.read.parquet(path).drop("price_month")
+    loaded = spark.read.parquet(path).drop("price_month", "source_hash")
     full = gold.fact_market_daily(prices, sentiment, mode).select(loaded.columns)
     near = ["moving_avg_7d", "moving_avg_30d", "volatility_7d", "avg_volume_7d"]
     loaded, full = common.rounded(loaded, 6, *near), common.rounded(full, 6, *near)
     assert loaded.exceptAll(full).count() == 0 and full.exceptAll(loaded).count() == 0
 
 
+def _daily(spark, rows):
+    return spark.createDataFrame(
+        [(c, DAY + dt.timedelta(d), p, 1.0, 1.0) for c, d, p in rows],
+        "coin_id string, price_date date, price_usd double, market_cap_usd double, volume_24h_usd double",
+    )
+
+
+def _index(spark, rows):
+    schema = "fear_greed_value int, classification string, index_date date"
+    return spark.createDataFrame([(v, "Fear", DAY + dt.timedelta(d)) for v, d in rows], schema)
+
+
+def test_lagging_restated_and_late_days_reach_the_fact(spark):
+    """One asset behind the other, an old price corrected, old sentiment arriving late: equal to a full build."""
+    path = scratch_path(spark, "fact")
+    first = [("a", d, 10.0 + d) for d in range(50)] + [("b", d, 5.0 + d % 7) for d in range(40)]
+    later = [(c, d, 99.0 if (c, d) == ("a", 3) else p) for c, d, p in first] + [("b", d, 5.0 + d % 7) for d in range(40, 52)]
+    loads = [(first, [(30, d) for d in range(40)]), (later, [(30 + (d == 8), d) for d in range(52)])]
+    for prices, index in loads:
+        gold.load_fact(spark, path, _daily(spark, prices), _index(spark, index))
+    loaded = spark.read.parquet(path).drop("price_month", "source_hash")
+    full = gold.fact_market_daily(_daily(spark, later), _index(spark, loads[1][1])).select(loaded.columns)
+    assert loaded.count() == 102
+    assert loaded.exceptAll(full).count() == 0 and full.exceptAll(loaded).count() == 0
+
+
+def test_trades_of_the_last_load_second_are_not_lost(spark, rows):
+    schema = "coin_id string, trade_time_ms long, price_usd double, quantity double, _spark_ingested_at timestamp, ingest_date date"
+    stamp = dt.datetime(2024, 1, 2, 3, 4, 5)
+    data = [("a", i * 1000, 10.0 + i, 1.0, stamp - dt.timedelta(seconds=int(i == 2)), stamp.date()) for i in range(3)]
+    path = scratch_path(spark, "hourly")
+    for n in (1, 2, 3, 3):
+        gold.load_hourly(spark, path, spark.createDataFrame(data[:n], schema))
+    assert rows(spark.read.parquet(path), "open_price", "close_price", "trade_count") == [(10.0, 12.0, 3)]
+
+
 def test_late_trades_reach_closed_bars(spark, rows):
     schema = "coin_id string, trade_time_ms long, price_usd double, quantity double, ingested_at string"
     first = [("a", 0, 10.0, 1.0, "2024-01-01T00:00:00+00:00"), ("a", 90_000_000, 20.0, 1.0, "2024-01-01T00:00:00+00:00")]

@@ -156,15 +156,29 @@ def test_upsert_updates_inserts_and_is_idempotent(spark, rows):
     assert spark.read.parquet(path).count() == 5
 
 
-def test_upsert_with_many_partitions_uses_a_join(spark, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_PARTITION_LIST", 1)
+@pytest.mark.parametrize("count", [4, 600])
+def test_upsert_prunes_and_keeps_the_null_partition(spark, count):
     path = scratch_path(spark, "t")
-    base = spark.createDataFrame([(i, i % 4, "a") for i in range(12)], "k int, part int, v string")
+    base = spark.range(2 * count).select(
+        F.col("id").alias("k"), F.when(F.col("id") % count > 0, F.col("id") % count).alias("part"), F.lit("a").alias("v")
+    )
     merge.upsert(spark, path, base, ["k"], ["part"])
-    merge.upsert(spark, path, base.filter("part < 2").withColumn("v", F.lit("b")), ["k"], ["part"])
-    assert {(r.v, r.n) for r in spark.read.parquet(path).groupBy("v").agg(F.count("*").alias("n")).collect()} == {
-        ("a", 6), ("b", 6),
-    }
+    changes = base.filter(f"k < {count} AND coalesce(part, 0) <> 2").withColumn("v", F.lit("b"))
+    merge.upsert(spark, path, changes, ["k"], ["part"])
+    table = spark.read.parquet(path)
+    assert table.count() == 2 * count and table.filter("v = 'b'").count() == count - 1
+    assert table.filter("part IS NULL").count() == 2
+    touched = merge._touched(table, changes, ["part"])
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "Join" not in plan
+
+
+def test_upsert_with_two_partition_columns(spark, rows):
+    path = scratch_path(spark, "t")
+    schema = "k int, p string, q int, v string"
+    merge.upsert(spark, path, spark.createDataFrame([(1, "x", 1, "a"), (2, "x", 2, "a"), (3, None, 1, "a")], schema), ["k"], ["p", "q"])
+    merge.upsert(spark, path, spark.createDataFrame([(4, None, 1, "b"), (1, "x", 1, "b")], schema), ["k"], ["p", "q"])
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "b"), (2, "a"), (3, "a"), (4, "b")]
 
 
 def test_create_if_missing(spark):
