@@ -27,6 +27,16 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
+def dedup_latest_fixed(df: DataFrame, keys: list[str], order: Column, columns: list[str]) -> DataFrame:
+    """As :func:`dedup_latest` for columns of fixed width and one number as order: a hash aggregate.
+
+    Neither the input nor the partial results are sorted. Rows that are equal in ``order`` must be
+    equal in ``columns``.
+    """
+    best = [F.max_by(c, F.col("_order")).alias(c) for c in columns]
+    return df.withColumn("_order", order).groupBy(*keys).agg(*best, F.max("_order").alias("_order"))
+
+
 def newest(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     """The ``n`` newest rows of the whole table (a top-k, not a global sort)."""
     return df.orderBy(*order).limit(n)

@@ -66,7 +66,8 @@ CHUNK_ROWS = 2048
 # cover the longest nested frame (20 rows of one-row returns) many times over.
 REACH = max(halo_rows((max(RSI_PERIODS) - 1) / max(RSI_PERIODS)), halo_rows(1 - 2 / (MACD_SPANS[1] + 1)))
 SCAN_ROWS = 512
-MIN_ROWS = 60
+# Bars from which a series gives a sample: look-back, horizon and one row.
+SAMPLE_ROWS = 34
 NEUTRAL = 50
 
 
@@ -84,7 +85,7 @@ class _Frames:
     def lag(self, col: str, k: int) -> Column:
         return F.lag(col, k).over(self.ordered)
 
-    def warm(self, value: str, first_row: int, fallback: float | None = None, positive: bool = False) -> Column:
+    def warm(self, value: str, first_row: int, fallback: float | Column | None = None, positive: bool = False) -> Column:
         """``value`` from ``first_row`` on; earlier rows take the value of ``first_row``.
 
         Those rows are all in chunk 0, so the fill looks at one chunk only. With
@@ -97,7 +98,7 @@ class _Frames:
         if positive:
             first = F.when(first > 0, first)
         if fallback is not None:
-            first = F.coalesce(first, F.lit(fallback))
+            first = F.coalesce(first, fallback if isinstance(fallback, Column) else F.lit(fallback))
         return F.when(F.col(POS) < first_row, first).otherwise(col)
 
 
@@ -107,10 +108,9 @@ def positions(
     ts: str,
     price: str,
     volume: str,
-    min_rows: int = MIN_ROWS,
     stage: bool = False,
 ) -> DataFrame:
-    """Positioned series of at least ``min_rows`` rows with their mean price.
+    """Positioned series of any length with their mean price.
 
     With ``stage`` the result is written to the shared working folder and read back, for callers
     that pass over it several times.
@@ -118,12 +118,12 @@ def positions(
     base = bars.select(
         *keys, F.col(ts).alias("ts"), F.col(price).alias("price"), F.coalesce(volume, F.lit(0.0)).alias("volume")
     ).filter(F.col("price").isNotNull())
-    placed = with_position(base, keys, "ts", totals={"_mean_price": "price"}).filter(F.col(LENGTH) >= min_rows)
+    placed = with_position(base, keys, "ts", totals={"_mean_price": "price"})
     return staged(placed, "positions") if stage else placed
 
 
-def short_series(bars: DataFrame, keys: list[str], min_rows: int = MIN_ROWS) -> DataFrame:
-    """Series left out of the features for being too short, with their row counts."""
+def short_series(bars: DataFrame, keys: list[str], min_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Series that have features but are too short for a training sample, with their row counts."""
     return bars.groupBy(*keys).agg(F.count(F.lit(1)).alias("bars")).filter(F.col("bars") < min_rows)
 
 
@@ -191,11 +191,12 @@ def window_features(
             **recurrence_over_halo(smooth, keys, CHUNK_ROWS, REACH, horizon),
             **{f"volatility_{w}": f.warm(f"_vol_{w}", w, 0.0, positive=True) for w in VOLATILITY_ROWS},
             "recent_vol": F.when(pos + 1 >= 10, F.col("_vol_10")).otherwise(F.lit(0.001)),
-            "bb_position": f.warm("_bb", BOLLINGER_ROWS),
-            **{f"volume_ratio_{w}": clip(f.warm(f"_vr_{w}", w), 0.0, 5.0) / 5.0 for w in VOLUME_ROWS},
-            **{f"momentum_{k}": clip(f.warm(f"_mom_{k}", k), -0.5, 0.5) for k in MOMENTUM_LAGS},
-            "sma_5": f.warm("_sma_5", 4),
-            "sma_10": f.warm("_sma_10", 9),
+            # A series that ends before its first full frame takes the neutral value.
+            "bb_position": f.warm("_bb", BOLLINGER_ROWS, 0.5),
+            **{f"volume_ratio_{w}": clip(f.warm(f"_vr_{w}", w, 1.0), 0.0, 5.0) / 5.0 for w in VOLUME_ROWS},
+            **{f"momentum_{k}": clip(f.warm(f"_mom_{k}", k, 0.0), -0.5, 0.5) for k in MOMENTUM_LAGS},
+            "sma_5": f.warm("_sma_5", 4, price),
+            "sma_10": f.warm("_sma_10", 9, price),
         }
     )
     line = F.col("ema_fast") - F.col("ema_slow")
@@ -228,7 +229,6 @@ def build_features(
     macd_scale: str = "series",
     warmup: str = "backfill",
     horizon: int = 3,
-    min_rows: int = MIN_ROWS,
     stage: bool = False,
 ) -> DataFrame:
     """The feature matrix as columns, with price, position, forward price and trend inputs.
@@ -237,7 +237,7 @@ def build_features(
     as neutral.
     """
     keys = keys or ["coin_id"]
-    placed = positions(bars, keys, ts, price, volume, min_rows, stage)
+    placed = positions(bars, keys, ts, price, volume, stage)
     df = window_features(placed, keys, warmup, horizon, macd_scale)
     if sentiment is None:
         df = df.withColumn("fear_greed_norm", F.lit(0.0))
@@ -270,12 +270,11 @@ def build_features(
 
 
 def training_samples(features: DataFrame, lookback: int = 30, horizon: int = 3) -> DataFrame:
-    """Rows lookback..n-horizon-1 with direction label and forward return; series under 5 samples are dropped."""
+    """Rows lookback..n-horizon-1 of every series with direction label and forward return."""
     first = max(lookback, 1)
     usable = (F.col(POS) >= first) & (F.col(POS) < F.col(LENGTH) - horizon)
-    enough = F.col(LENGTH) - horizon - first >= 5
     forward = relative_return(F.col("future_price"), F.col("price"))
-    rows = features.filter(usable & enough).withColumn("forward_return", forward)
+    rows = features.filter(usable).withColumn("forward_return", forward)
     return rows.withColumn("label", (F.col("forward_return") > 0).cast("double"))
 
 

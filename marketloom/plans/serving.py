@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.times import seconds_label
@@ -22,6 +22,16 @@ PRICE_FIELDS = [
 ]
 
 
+# The most rows that a read may ask for.
+MAX_PRICES, MAX_PREDICTIONS = 1000, 500
+
+
+def check_limit(limit: int, most: int) -> None:
+    """A read that asks for more is an error; it is never cut silently."""
+    if not 1 <= limit <= most:
+        raise ValueError(f"limit must be between 1 and {most}")
+
+
 def prices(
     gold: DataFrame | None,
     silver: DataFrame,
@@ -31,10 +41,11 @@ def prices(
     limit: int = 100,
 ) -> DataFrame:
     """Newest ``limit`` days of one asset in a date range, ascending; silver when gold is missing."""
+    check_limit(limit, MAX_PRICES)
     table = gold if gold is not None else silver
     first = start if start is not None else F.date_sub(end, 30)
     rows = scan(table, PRICE_FIELDS, (F.col("coin_id") == coin_id) & F.col("price_date").between(first, end))
-    return newest_then_ascending(rows, "price_date", min(limit, 1000))
+    return newest_then_ascending(rows, "price_date", limit)
 
 
 def market_overview(fact: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
@@ -99,16 +110,18 @@ def latest_prediction(predictions: DataFrame, coin_id: str) -> DataFrame:
     """The newest prediction of each model for one asset, the primary model marked."""
     mine = predictions.filter(F.col("coin_id") == coin_id)
     latest = newest_per_key(mine, ["model"], [F.col("ts").desc()])
-    legacy = mine.agg(F.count_if(F.col("model") == "legacy").alias("n")).scalar() > 0
+    # One row per model is left, so a window over all of them stays small.
+    legacy = F.max(F.col("model") == "legacy").over(Window.partitionBy(F.lit(0)))
     primary = F.when(legacy, F.lit("legacy")).otherwise(F.lit("ensemble"))
     return latest.withColumn("is_primary", F.col("model") == primary)
 
 
 def prediction_history(predictions: DataFrame, model: str, coin_id: str, limit: int = 100) -> DataFrame:
-    """The newest predictions of one model, oldest first, never more than 500."""
+    """The newest predictions of one model, oldest first."""
+    check_limit(limit, MAX_PREDICTIONS)
     mine = predictions.filter((F.col("model") == model) & (F.col("coin_id") == coin_id))
     return newest_then_ascending(
-        mine.select("ts", "predicted_price", "current_price", "confidence", "sentiment_bias"), "ts", min(limit, 500)
+        mine.select("ts", "predicted_price", "current_price", "confidence", "sentiment_bias"), "ts", limit
     )
 
 

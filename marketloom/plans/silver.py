@@ -7,17 +7,24 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.numbers import positive_or_null
 from marketloom.functions.times import ms_to_date, seconds_to_date
-from marketloom.operators.latest import dedup_latest
+from marketloom.operators.latest import dedup_latest_fixed
 from marketloom.operators.merge import upsert
 
 PRICE_KEY = ["coin_id", "price_date"]
 SENTIMENT_KEY = ["index_date"]
+DAY_S, DAY_MS = 86_400, 86_400_000
 
 
 def _stamped(df: DataFrame, as_of: Column | None) -> DataFrame:
     return df if as_of is None else df.withColumn("_processed_at", as_of.cast("timestamp"))
 
 
+def _load_order(step: int) -> Column:
+    """Microseconds from 2000 to the load, times ``step``; rows without a load time come first."""
+    micros = F.coalesce(F.unix_micros("ingested") - F.lit(946_684_800_000_000), F.lit(0))
+    return micros.cast("decimal(19,0)") * F.lit(step).cast("decimal(9,0)")
+
+
 def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest ingested price per asset and day, positive prices only, non-positive measures to NULL.
 
@@ -33,7 +40,11 @@ def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
         "volume_24h_usd",
         F.to_timestamp("_ingested_at").alias("ingested"),
     )
-    latest = dedup_latest(dated, PRICE_KEY, [F.col("ingested"), F.col("timestamp_ms"), F.col("price_usd")])
+    # One number: load time, time of day, price to four decimals.
+    price = F.coalesce(F.greatest(F.lit(0.0), F.least(F.col("price_usd"), F.lit(9.9e9))), F.lit(0.0))
+    order = (_load_order(DAY_MS) + F.pmod("timestamp_ms", F.lit(DAY_MS))) * F.lit(10**14).cast("decimal(15,0)")
+    order = order + F.floor(price * 10_000).cast("decimal(15,0)")
+    latest = dedup_latest_fixed(dated, PRICE_KEY, order, ["price_usd", "market_cap_usd", "volume_24h_usd"])
     cleaned = latest.filter(F.col("price_usd") > 0).select(
         "coin_id",
         "price_date",
@@ -53,7 +64,11 @@ def daily_sentiment(bronze: DataFrame, as_of: Column | None = None) -> DataFrame
         "classification",
         F.to_timestamp("_ingested_at").alias("ingested"),
     )
-    latest = dedup_latest(dated, SENTIMENT_KEY, [F.col("ingested"), F.col("timestamp"), F.col("value")])
+    order = (_load_order(DAY_S) + F.pmod("timestamp", F.lit(DAY_S))) * F.lit(10**4).cast("decimal(5,0)") + F.col("value")
+    # The class has no fixed width, so it is part of a first key; a day has few classes left then.
+    classes = dedup_latest_fixed(dated, [*SENTIMENT_KEY, "classification"], order, ["value"])
+    newest = classes.groupBy(*SENTIMENT_KEY).agg(F.max("_order").alias("_order"))
+    latest = classes.join(newest, [*SENTIMENT_KEY, "_order"]).dropDuplicates(SENTIMENT_KEY)
     return _stamped(latest.select(F.col("value").alias("fear_greed_value"), "classification", "index_date"), as_of)
 
 

@@ -258,8 +258,8 @@ def within_bars(spark, sf):
     """SELECT model, coin_id, ts, round(ema, 6) AS ema_price FROM dsmooth""",
 )
 def smoothed_predictions(spark, sf):
-    legacy = common.predictions(spark, sf).filter(F.col("model") == "legacy").select("model", "coin_id", "ts", "predicted_price")
-    return common.rounded(dashboard.smoothed_predictions(legacy), 6, "ema_price").drop("predicted_price")
+    made = common.predictions(spark, sf).select("model", "coin_id", "ts", "predicted_price")
+    return common.rounded(dashboard.smoothed_predictions(made), 6, "ema_price").drop("predicted_price")
 
 
 @query(

@@ -362,11 +362,11 @@ def date_differences(spark, sf):
 
 @query(
     "p27_outside_accepted_values",
-    """SELECT classification, index_date FROM s_sent WHERE classification NOT IN ('Extreme Fear', 'Fear', 'Neutral', 'Greed')""",
+    """SELECT classification, index_date FROM s_sent WHERE classification NOT IN ('Extreme Fear', 'Fear', 'Neutral', 'Greed', 'Extreme Greed')""",
 )
 def outside_accepted(spark, sf):
     rows = common.sentiment(spark, sf).select("classification", "index_date")
-    return rows.filter(~F.col("classification").isin(labels.CLASSES[:4]))
+    return rows.filter(~F.col("classification").isin(labels.CLASSES))
 
 
 @query(

@@ -144,17 +144,17 @@ def feature_matrix(spark, sf):
 
 @query(
     "f13_short_series",
-    "SELECT coin_id, count(*) AS bars FROM bars30 GROUP BY 1 HAVING count(*) < 2000",
+    "SELECT coin_id, count(*) AS bars FROM bars30 GROUP BY 1 HAVING count(*) < 34",
 )
 def short_series(spark, sf):
-    return feat.short_series(common.bars(spark, sf), ["coin_id"], 2000)
+    return feat.short_series(common.bars(spark, sf), ["coin_id"])
 
 
 @query(
     "f14_l15_training_samples",
     """SELECT coin_id, ts, round((future_price - price) / (price + 1e-10), 6) + 0.0 AS forward_return,
  CAST((future_price - price) / (price + 1e-10) > 0 AS DOUBLE) AS label
- FROM feat0 WHERE pos >= 30 AND pos < len - 3 AND len - 33 >= 5""",
+ FROM feat0 WHERE pos >= 30 AND pos < len - 3""",
 )
 def training_samples(spark, sf):
     rows = feat.training_samples(common.features(spark, sf)).select("coin_id", "ts", "forward_return", "label")

@@ -126,7 +126,6 @@ SELECT coin_id, ts, price, volume, pos, len, price - lag(price) OVER o AS delta,
 FROM (SELECT coin_id, window_start AS ts, "close" AS price, total_volume AS volume,
              row_number() OVER (PARTITION BY coin_id ORDER BY window_start) - 1 AS pos,
              count(*) OVER (PARTITION BY coin_id) AS len FROM bars30)
-WHERE len >= 60
 WINDOW o AS (PARTITION BY coin_id ORDER BY pos), p AS (PARTITION BY coin_id)
 """
 TABLES["steps"] = """
@@ -264,11 +263,11 @@ SELECT model, count(*) AS total_evaluated, round(avg(abs_error), 2) AS mae, roun
 FROM errs GROUP BY 1
 """
 TABLES["dsteps"] = """
-SELECT *, row_number() OVER (PARTITION BY coin_id ORDER BY ts) - 1 AS pos FROM preds WHERE model = 'legacy'
+SELECT *, row_number() OVER (PARTITION BY model, coin_id ORDER BY ts) - 1 AS pos FROM preds
 """
 TABLES["dsmooth"] = """
 SELECT model, coin_id, ts, pos, predicted_price AS ema FROM dsteps WHERE pos = 0
 UNION ALL
 SELECT s.model, s.coin_id, s.ts, s.pos, s.predicted_price / 3 + r.ema * 2 / 3 FROM dsmooth r
-JOIN dsteps s ON s.coin_id = r.coin_id AND s.pos = r.pos + 1
+JOIN dsteps s ON s.model = r.model AND s.coin_id = r.coin_id AND s.pos = r.pos + 1
 """

@@ -119,24 +119,19 @@ _GOLD = _rows(
     _row("unique_pk_coin_id", "dim_coins", "count(*) - count(DISTINCT coin_id)", "coins"),
     _row("no_date_gaps", "dim_dates", "max(date_day) - min(date_day) + 1 - count(*)", "dates", bad="'warning'"),
     _row("has_rows", "fact_market_daily", "count(*)", "fact", "m >= 1"),
-    _row("fk_coin_id", "fact_market_daily", "count(*)", "(SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM coins c WHERE c.coin_id = f.coin_id AND c.price_range_pct > 20000))"),
+    _row("fk_coin_id", "fact_market_daily", "count(*)", "(SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM coins c WHERE c.coin_id = f.coin_id))"),
     _row("fk_price_date", "fact_market_daily", "count(*)", "(SELECT * FROM fact f WHERE NOT EXISTS (SELECT 1 FROM dates d WHERE d.date_day = f.price_date))"),
 )
 
 
 def _gold_results(spark, sf):
     prices = common.prices(spark, sf)
-    fact, dates = common.fact(spark, sf), gold.dim_dates(prices)
-    coins = gold.dim_coins(prices)
-    parts = dq.gold_checks(fact, coins, dates).filter(F.col("check_name") != "fk_coin_id")
-    wide_only = coins.filter(F.col("price_range_pct") > 20000)
-    orphaned = dq.referential_integrity(fact, wide_only, "coin_id", "coin_id", "coin_id", "fact_market_daily")
-    return parts.unionByName(orphaned)
+    return dq.gold_checks(common.fact(spark, sf), gold.dim_coins(prices), gold.dim_dates(prices))
 
 
 @query("q2_q11_q12_q13_gold_checks", _GOLD)
 def gold_checks(spark, sf):
-    """Gold checks, the asset dimension cut to wide-ranging assets so that orphans can occur."""
+    """Gold checks over the whole fact and its dimensions."""
     return _gold_results(spark, sf).select(*_KEEP)
 
 

@@ -4,27 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from marketloom.plans import features as feat
 from marketloom.plans import forecast as fc
 from marketloom.queries import common
 from marketloom.queries.registry import query
-from marketloom.session import scratch_path
+from marketloom.session import scratch_path, staged
 from marketloom.sources import stand_ins, trades
 from marketloom.streaming import jobs
 
 
 def drain(spark: SparkSession, start: Callable[[], StreamingQuery]) -> None:
-    """Run an available-now job to its end with few state partitions."""
-    conf = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(conf)
-    spark.conf.set(conf, str(min(int(before), 8)))
-    try:
-        start().awaitTermination()
-    finally:
-        spark.conf.set(conf, before)
+    """Run an available-now job to its end; the session sets the number of state partitions."""
+    start().awaitTermination()
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +54,8 @@ def stream_bars_append(spark, sf):
     """Bars in append mode: those still open behind the watermark are not written."""
     table, marks = scratch_path(spark, "bars"), scratch_path(spark, "marks")
     bars = jobs.stream_bars(stand_ins.trades_of_events(event_stream(spark, sf)))
-    drain(spark, lambda: jobs.append_sink(bars, table, marks, ["coin_id"], available_now=True))
+    with jobs.low_latency(spark):
+        drain(spark, lambda: jobs.append_sink(bars, table, marks, ["coin_id"], available_now=True))
     rows = spark.read.parquet(table)
     return common.rounded(rows, 9, "vwap", "avg_price", "stddev_price", "z_score")
 
@@ -86,8 +82,13 @@ def _bar_files(spark, bars) -> str:
  FROM (SELECT *, ts AS window_start FROM forecasted)""",
 )
 def stream_scoring(spark, sf):
-    """Every new bar scored once, micro-batch by micro-batch."""
-    history = _bar_files(spark, common.bars(spark, sf))
+    """Bars arrive in five files, one per micro-batch: each is scored once, as one batch over all would."""
+    made = common.silver_bars(spark, sf)
+    history = scratch_path(spark, "silver-bars")
+    share = F.percent_rank().over(Window.partitionBy("coin_id").orderBy("window_start"))
+    cut = staged(made.withColumn("_file", F.least(F.floor(share * 5), F.lit(4))), "cut-bars")
+    for part in range(5):
+        cut.filter(F.col("_file") == part).drop("_file").coalesce(1).write.mode("append").parquet(history)
     out, marks = scratch_path(spark, "scores"), scratch_path(spark, "marks")
     sentiment = common.sentiment(spark, sf)
 
@@ -98,7 +99,7 @@ def stream_scoring(spark, sf):
             "coin_id", "window_start", "predicted_return", "sentiment_bias"
         )
 
-    bars = jobs.file_source(spark, history, spark.read.parquet(history).schema)
+    bars = jobs.file_source(spark, history, spark.read.parquet(history).schema, maxFilesPerTrigger="1")
     drain(spark, lambda: jobs.score_sink(bars, history, out, marks, score, available_now=True))
     return common.rounded(spark.read.parquet(out).drop("batch"), 8, "predicted_return")
 

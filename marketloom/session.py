@@ -70,6 +70,12 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the staged table that ``df``, a result of :func:`staged`, reads. Nothing may read it later."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        drop_path(df.sparkSession, folder.removeprefix("file://"))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath, hpath.getFileSystem(spark._jsc.hadoopConfiguration())

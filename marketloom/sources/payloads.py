@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schemas import PRICE_HISTORY_PAYLOAD, SENTIMENT_PAYLOAD
-from marketloom.session import staged
 
 PRICE_SOURCE = "coingecko"
 SENTIMENT_SOURCE = "fear_greed_index"
@@ -19,13 +18,23 @@ def price_history_rows(payloads: DataFrame, value: str = "value", carry: list[st
     """
     carry = carry or ["coin_id"]
     doc = payloads.select(*carry, F.from_json(value, PRICE_HISTORY_PAYLOAD).alias("d"))
+    return _points(doc, carry, 0)
+
+
+def _points(doc: DataFrame, carry: list[str], min_points: int) -> DataFrame:
+    """The points of the parsed payload ``d``, none of a payload with fewer than ``min_points``.
+
+    A short payload explodes into nothing; a filter would be pushed below the parse and repeat it.
+    """
     none = F.array().cast("array<array<double>>")
+    n = F.size("d.prices")
+    taken = F.when(n >= min_points, n).otherwise(0)
     zipped = F.arrays_zip(
         F.col("d.prices").alias("p"),
         F.coalesce("d.market_caps", none).alias("c"),
         F.coalesce("d.total_volumes", none).alias("v"),
     )
-    points = doc.select(*carry, F.explode(F.slice(zipped, F.lit(1), F.size("d.prices"))).alias("z"))
+    points = doc.select(*carry, F.explode(F.slice(zipped, F.lit(1), taken)).alias("z"))
     return points.select(
         *carry,
         F.try_element_at("z.p", F.lit(1)).cast("bigint").alias("timestamp_ms"),
@@ -40,12 +49,11 @@ def hourly_training_rows(
 ) -> DataFrame:
     """Price points for training: a missing volume is 0 and payloads under ``min_points`` are dropped.
 
-    The length test reads the parsed array, so no count over exploded rows is needed.
+    The length test reads the array parsed once, so no count over exploded rows is needed.
     """
     series = series or ["coin_id"]
-    long_enough = F.size(F.from_json(value, PRICE_HISTORY_PAYLOAD)["prices"]) >= min_points
-    rows = price_history_rows(payloads.filter(long_enough), value, series)
-    return rows.select(
+    doc = payloads.select(*series, F.from_json(value, PRICE_HISTORY_PAYLOAD).alias("d"))
+    return _points(doc, series, min_points).select(
         *series,
         F.timestamp_millis("timestamp_ms").alias("timestamp"),
         "price_usd",
@@ -62,9 +70,3 @@ def sentiment_rows(payloads: DataFrame, value: str = "value") -> DataFrame:
         F.col("r.timestamp").try_cast("bigint").alias("timestamp"),
         F.col("r.time_until_update").alias("time_until_update"),
     )
-
-
-def long_enough(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
-    """Rows of the series that have at least ``min_rows`` rows (counts joined back, no full window)."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= min_rows)
-    return df.join(staged(sizes.select(*keys), "series"), keys, "left_semi")

@@ -6,7 +6,8 @@ A topic connector is not bundled; its options are the documented ones.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +17,33 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from marketloom.operators.bars import trade_ticks, vwap_bars
 from marketloom.operators.latest import newest_per_key
 from marketloom.operators.merge import create_if_missing, upsert
-from marketloom.session import staged
+from marketloom.plans.features import REACH
+from marketloom.session import staged, unstage
 from marketloom.sources.ingest import stamp
 from marketloom.sources.trades import from_topic
 
 WATERMARK = "1 minute"
+# As far as any feature looks back: the slowest smoothing has forgotten what lies before.
+LOOKBACK_ROWS = REACH
 BAR_WIDTH = "30 seconds"
 TRIGGER = "10 seconds"
 # Few state partitions keep small micro-batches fast; raise it with the number of assets.
 LOW_LATENCY_CONF = {"spark.sql.shuffle.partitions": "2"}
 
 
+@contextmanager
+def low_latency(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside get the low-latency settings; a checkpoint keeps its state partitions for life."""
+    before = {k: spark.conf.get(k) for k in LOW_LATENCY_CONF}
+    for k, v in LOW_LATENCY_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def topic_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     return (
         spark.readStream.format("kafka")
@@ -110,16 +127,18 @@ def score_sink(
     path: str,
     checkpoint: str,
     score,
-    lookback_rows: int = 120,
-    lookback: timedelta = timedelta(hours=6),
+    lookback_rows: int = LOOKBACK_ROWS,
     available_now: bool = False,
     trigger: str = "30 seconds",
 ) -> StreamingQuery:
-    """Start a job that scores every new bar with the newest ``lookback_rows`` bars of its asset.
-
-    Only bars of the last ``lookback`` are read, as a filter that skips older row groups.
-    ``score(window, new)`` maps the bars needed and the keys of the new ones to predictions. The
-    output is partitioned by micro-batch and overwritten on a repeat, so no bar is scored twice.
+    """Start a job that scores every new bar with the ``lookback_rows`` bars of its asset before it.
+
+    However far apart these bars are, they are found, and an asset with fewer has what it has, so
+    no bar stays unscored; the rank keeps ``lookback_rows`` rows per asset and task before the
+    shuffle. ``score(window, new)`` maps the bars needed and the keys of the new ones to predictions.
+    With features that look back a bounded number of rows (``macd_scale="price"``) it gives the same
+    as one batch over all bars. The output is partitioned by micro-batch and overwritten on a
+    repeat, so no bar is scored twice.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -128,13 +147,12 @@ def score_sink(
         if new.isEmpty():
             return
         assets = new.groupBy("coin_id").agg(F.min("window_start").alias("_first"))
-        oldest = new.agg(F.min("window_start").alias("m")).first()["m"] - lookback
         past = spark.read.parquet(history).select("coin_id", "window_start", "close", "total_volume")
-        recent = past.filter(F.col("window_start") >= F.lit(oldest))
-        before = recent.join(assets, "coin_id").filter(F.col("window_start") < F.col("_first")).drop("_first")
+        before = past.join(assets, "coin_id").filter(F.col("window_start") < F.col("_first")).drop("_first")
         window = newest_per_key(before, ["coin_id"], [F.col("window_start").desc()], lookback_rows).unionByName(new)
         scored = score(window, new.select("coin_id", "window_start"))
         scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        unstage(new)
 
     writer = bars.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(run)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
