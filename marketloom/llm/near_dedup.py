@@ -7,9 +7,10 @@
    a link when the full sets, made again from both whole texts, are similar enough.
 3. Components of these links. A bucket that still holds several components can hide a link between
    members other than its smallest, so there every member outside the largest component is compared
-   with all members of the other components. Large buckets are dealt out in slices, each with the
-   members to be compared; only pairs whose minima agree enough leave a task. These pairs are
-   verified as before, and the components of all links are the result.
+   with all members of the other components, on the full sets. Large buckets are dealt out in slices,
+   each with the members that ask. A member counts the shingles it shares with all rows of a slice at
+   once, and one link for each component it meets leaves the task, never the pairs compared. The
+   components of all links are the result.
 
 With 24 bands of 4 rows, two sets at the threshold 0.85 share no bucket with probability 2e-8; the
 agreement asked for lies six standard deviations below the threshold (1e-9).
@@ -35,7 +36,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS = 24
 BAND_ROWS = 4
-SLICE_ROWS = 512
+SLICE_ROWS = 1024
 
 
 def least_agreement(percent: int, minima: int) -> int:
@@ -93,15 +94,12 @@ def _agreeing(pairs: DataFrame, reps: DataFrame, least: int) -> DataFrame:
 
 
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough. Texts of other documents are not touched again."""
+    """Pairs whose full shingle sets are similar enough."""
     import numpy as np
     import pyarrow as pa
 
     from marketloom.llm import shingles
 
-    stage = Stage(pairs.sparkSession, "near")
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stage.keep("texts", texts.join(needed, "id"))
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"
     )
@@ -120,53 +118,64 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
                     b.append(hub)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    links = stage.keep("links", both.sortWithinPartitions("b").mapInArrow(verify, "a long, b long"))
-    stage.drop("texts")
-    return links
+    return both.sortWithinPartitions("b").mapInArrow(verify, "a long, b long")
 
 
-def _across(buckets: DataFrame, of: DataFrame, reps: DataFrame, least: int) -> DataFrame:
-    """Pairs from different components that share a bucket and agree in enough minima."""
+def _across(buckets: DataFrame, of: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between members of different components that share a bucket, one per member and component met."""
     import numpy as np
     import pyarrow as pa
 
+    from marketloom.llm import shingles
+
     labelled = buckets.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     by_component = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = (
         by_component.groupBy("key")
-        .agg(F.sum("n").alias("all"), F.count("*").alias("parts"), F.max(F.struct("n", -F.col("component"))).alias("most"))
+        .agg(F.sum("n").alias("all"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("most"))
         .filter("parts > 1")
-        .select("key", (-F.col("most.col2")).alias("largest"), F.ceil(F.col("all") / SLICE_ROWS).cast("int").alias("slices"))
+        .select("key", F.col("most.component").alias("largest"), F.ceil(F.col("all") / SLICE_ROWS).cast("int").alias("slices"))
     )
-    rows = labelled.join(mixed, "key").join(reps.select("id", "minima"), "id")
     own_slice = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
     outside = F.col("component") != F.col("largest")
-    # Each row is compared with in its own slice; those outside the largest component look at all slices.
-    dealt = rows.select(
-        "key", "id", "component", "minima", own_slice.alias("own"), outside.alias("asks"),
-        F.explode(F.when(outside, F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array(own_slice))).alias("slice"),
-    )
+    # A row is compared with in its own slice; those outside the largest component look at all slices.
+    dealt = (
+        labelled.join(mixed, "key")
+        .select("key", "id", "component", own_slice.alias("own"), outside.alias("asks"), "slices")
+        .withColumn("slice", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array("own"))))
+        .join(texts, "id")
+        .select("key", "slice", "id", "component", (F.col("own") == F.col("slice")).alias("own"), "asks", "text")
+    )
 
     def compare(rows):
-        ids, parts, own, asks, minima = zip(*rows)
-        ids, parts, own = np.array(ids), np.array(parts), np.array(own)
-        x = np.frombuffer(b"".join(minima), np.uint16).reshape(len(ids), -1)
+        ids, parts, own, asks, texts = zip(*rows)
+        sets = [shingles.shingle_set(t, words) for t in texts]
+        here = [i for i, mine in enumerate(own) if mine]
+        sizes, parts = np.array([len(x) for x in sets]), np.array(parts)
+        every = np.concatenate([sets[i] for i in here] or [np.empty(0, np.uint64)])
+        owner = np.repeat(here, sizes[here]) if here else np.empty(0, np.int64)
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
         for i in np.flatnonzero(asks):
-            near = own & (parts != parts[i]) & ((x == x[i]).sum(1) >= least)
-            for j in np.flatnonzero(near):
+            first, last = np.searchsorted(every, sets[i], "left"), np.searchsorted(every, sets[i], "right")
+            hits = last - first
+            at = np.repeat(first - np.concatenate([[0], np.cumsum(hits)[:-1]]), hits) + np.arange(hits.sum())
+            common = np.bincount(owner[at], minlength=len(ids))
+            linked = (100 * common >= percent * (sizes + sizes[i] - common)) & (common > 0) & (parts != parts[i])
+            for j in {parts[j]: j for j in np.flatnonzero(linked)}.values():
                 yield max(ids[i], ids[j]), min(ids[i], ids[j])
 
     def run(batches):
         group, held = None, []
         for batch in batches:
             pairs = set()
-            columns = (batch.column(c).to_pylist() for c in ("key", "slice", "own", "id", "component", "asks", "minima"))
-            for key, cut, own, *row in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("key", "slice", "id", "component", "own", "asks", "text"))
+            for key, cut, *row in zip(*columns):
                 if (key, cut) != group:
                     if held:
                         pairs.update(compare(held))
                     group, held = (key, cut), []
-                held.append((row[0], row[1], own == cut, row[2], row[3]))
+                held.append(row)
             yield _pairs(pa, pairs)
         if held:
             yield _pairs(pa, set(compare(held)))
@@ -192,7 +201,6 @@ def groups(
     stage = Stage(docs.sparkSession, "near")
     least = least_agreement(percent, bands * band_rows)
     signed = stage.keep("signed", signatures(docs, id_col, text_col, shingle_words, bands, band_rows))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     shape = ["s0", "s1", "n"]
     some = signed.filter("n > 0 AND id IS NOT NULL")
     classes = stage.keep("classes", some.groupBy(*shape).agg(F.min("id").alias("rep")))
@@ -203,12 +211,16 @@ def groups(
     shared = buckets.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1")
     buckets = stage.keep("buckets", buckets.join(shared.select("key", "hub"), "key"))
     star = buckets.filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
-    unique = reps.dropDuplicates(["id"])
-    first = _links(stage.keep("star", _agreeing(star, unique, least)), texts, shingle_words, percent)
+    # Only texts of documents that share a bucket are read again, once.
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = stage.keep("texts", texts.join(buckets.select("id").distinct(), "id").dropDuplicates(["id"]))
+    agreeing = stage.keep("star", _agreeing(star, reps.dropDuplicates(["id"]), least))
+    first = stage.keep("links", _links(agreeing, texts, shingle_words, percent))
     same_id = some.join(classes, shape).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    across = stage.keep("across", _across(buckets.select("key", "id"), components(first), unique, least))
-    links = first.unionByName(_links(across, texts, shingle_words, percent)).unionByName(same_id)
+    more = stage.keep("across", _across(buckets.select("key", "id"), components(first), texts, shingle_words, percent))
+    links = first.unionByName(more).unionByName(same_id)
     of = components(links)
+    stage.drop("classes", "reps", "buckets", "texts", "star", "links", "across")
     return (
         signed.select("id", F.col("n").alias("n_shingles"))
         .join(of.withColumnRenamed("node", "id"), "id", "left")
