@@ -237,6 +237,8 @@ def pack(cut_docs: DataFrame, capacity: int = CAPACITY, length_col: str = "lengt
         me = TaskContext.get().partitionId()
         for batch in batches:
             w = batch.column(batch.schema.get_field_index(length_col)).to_numpy(zero_copy_only=False).astype(np.int64)
+            if len(w) and not 0 < w.min() <= w.max() <= capacity:
+                raise ValueError(f"lengths must be between 1 and {capacity}")
             order = np.argsort(w, kind="stable")
             ranks = np.empty(len(w), np.int64)
             counts = np.bincount(w, minlength=capacity + 1)
@@ -251,8 +253,6 @@ def pack(cut_docs: DataFrame, capacity: int = CAPACITY, length_col: str = "lengt
     rows = stage.keep("rows", cut_docs.mapInArrow(number, numbered))
     by_task = rows.groupBy(length_col, task).agg(F.count("*").alias("n"))
     counts = {r[0]: r[1] for r in by_task.groupBy(length_col).agg(F.sum("n")).collect()}  # at most ``capacity`` rows
-    if any(w is None or not 0 < w <= capacity for w in counts):
-        raise ValueError("lengths must be between 1 and the capacity")
     table = {w: np.array(x, np.int64) for w, x in slots(plan(counts, capacity)).items()}
     before = Window.partitionBy(length_col).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select(length_col, task, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(base))

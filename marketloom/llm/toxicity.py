@@ -2,9 +2,10 @@
 
 The features of a text come from its whole content: densities of a seed lexicon and of a learned one,
 how near their words stand to a second-person word, capitals, punctuation and obfuscation. The learned
-lexicon holds the words and stems whose odds to occur in a toxic text are high with certainty. Lexicon, trees and
-calibration are fitted on different folds of the labelled rows, so none of them sees its own training
-rows again. Scoring is one pass in which a text leaves the JVM once.
+lexicon holds the words and stems whose odds to occur in a toxic text are high with certainty. Fitting
+is crossed over two halves of the labelled rows: the features of a half use the lexicon of the other
+one, and the calibration uses the scores of trees grown on the other one. Scoring is one pass in which a
+text leaves the JVM once.
 
 At most ``SAMPLE_ROWS`` labelled rows are used for fitting; those with the smallest hash of the id.
 
@@ -141,7 +142,7 @@ def fold(id_col: str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """``text``, ``label``, ``fold`` of at most so many labelled rows outside the held-out fold."""
+    """``text``, ``label``, ``half`` of at most so many labelled rows outside the held-out fold."""
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold(id_col) != HELD_OUT))
         .groupBy(F.col(id_col).alias("id"))
@@ -153,7 +154,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     # ``known`` has at most ``rows`` small rows, so the documents need not be shuffled.
     found = texts.join(F.broadcast(known), "id").dropDuplicates(["id"])
     half = F.crc32(F.concat(F.lit("half"), F.col("id").cast("string")).cast("binary")) % 2
-    return found.select("text", "label", fold("id").alias("fold"), half.alias("half"))
+    return found.select("text", "label", half.alias("half"))
 
 
 def learned_lexicon(sample: DataFrame) -> dict[str, float]:
@@ -210,19 +211,22 @@ def fit(
     stage = Stage(docs.sparkSession, "toxicity")
     sample = stage.keep("sample", labelled_sample(docs, labels, id_col, text_col, label_col, sample_rows))
     total = sample.agg(F.avg("label")).first()[0]
-    learned = learned_lexicon(sample.filter("fold IN (1, 2)"))
-    rest = sample.filter("fold IN (3, 4)").select("label", "half", "fold", array_to_vector(features("text", learned)).alias("features"))
-    rest = stage.keep("features", rest.coalesce(4))
-    trees_rows = rest.filter("fold = 3 OR half = 0")
-    if trees_rows.select("label").distinct().count() < 2:
+    halves = [sample.filter("half = 0"), sample.filter("half = 1")]
+    lexica = [learned_lexicon(h) for h in halves]
+    parts = [
+        stage.keep("features", h.select("label", array_to_vector(features("text", other)).alias("features")).coalesce(2))
+        for h, other in zip(halves, reversed(lexica))
+    ]
+    both = parts[0].unionByName(parts[1])
+    learned = learned_lexicon(sample)
+    if both.select("label").distinct().count() < 2:
         return Model(learned, None, None, 0.5 if total is None else float(total))
     booster = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, seed=1, minInstancesPerNode=3, featuresCol="features", labelCol="label")
-    trees = booster.fit(trees_rows)
-    held = trees.transform(rest.filter("fold = 4 AND half = 1")).select("label", vector_to_array("probability")[1].alias("raw"))
-    held = stage.keep("held", held)
-    calibration = None
-    if held.select("label").distinct().count() == 2:
-        calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(held)
+    trees, calibration = booster.fit(both), None
+    if all(x.select("label").distinct().count() == 2 for x in parts):
+        crossed = [booster.fit(x).transform(y) for x, y in (parts, reversed(parts))]
+        held = crossed[0].unionByName(crossed[1]).select("label", vector_to_array("probability")[1].alias("raw"))
+        calibration = IsotonicRegression(featuresCol="raw", labelCol="label").fit(stage.keep("held", held))
     stage.drop("features", "held", "sample")
     return Model(learned, trees, calibration, float(total))
 
