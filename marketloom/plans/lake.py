@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from marketloom.operators.merge import write_table
 from marketloom.plans import gold, quality, silver
-from marketloom.sources.ingest import append
+from marketloom.session import staged
+from marketloom.sources.scan import read_optional
 
 SILVER_PRICES, SILVER_SENTIMENT = "silver/daily_prices", "silver/fear_greed"
 DIM_COINS, DIM_DATES = "gold/dim_coins", "gold/dim_dates"
@@ -42,19 +43,47 @@ def load(
         gold.load_ohlc(spark, f"{root}/{OHLC}", trades)
 
 
-def check(spark: SparkSession, root: str, as_of: Column) -> DataFrame:
-    """Run the silver and gold checks, append results and per-table reports, return the results."""
+def _store(rows: DataFrame, path: str, as_of: Column) -> None:
+    """Results of one run are one partition, replaced when the run is repeated."""
+    stamped = rows.withColumn("checked_at", as_of.cast("timestamp"))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("checked_at").parquet(path)
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}")
 
-    results = (
-        quality.silver_price_checks(table(SILVER_PRICES), as_of)
-        .unionByName(quality.silver_sentiment_checks(table(SILVER_SENTIMENT)))
-        .unionByName(quality.gold_checks(table(FACT), table(DIM_COINS), table(DIM_DATES)))
-        .withColumn("checked_at", as_of.cast("timestamp"))
-    )
-    append(results, f"{root}/{CHECKS}")
-    stored = table(CHECKS).filter(F.col("checked_at") == as_of.cast("timestamp"))
-    append(quality.table_reports(stored).withColumn("checked_at", as_of.cast("timestamp")), f"{root}/{REPORTS}")
-    return stored
+def check(
+    spark: SparkSession,
+    root: str,
+    as_of: Column,
+    bronze: dict[str, DataFrame | None] | None = None,
+    bars: DataFrame | None = None,
+) -> DataFrame:
+    """Run the checks of all layers, store results and per-table reports, return the results.
+
+    A table that does not exist is a failed row and checks that break are an error row, in every
+    layer; the run goes on. ``bronze`` and ``bars`` are checked when they are given.
+    """
+
+    def table(name: str) -> DataFrame | None:
+        return read_optional(spark, f"{root}/{name}")
+
+    coins, dates, fact = table(DIM_COINS), table(DIM_DATES), table(FACT)
+    parts = [
+        quality.guarded(spark, "silver", "daily_prices", table(SILVER_PRICES), lambda t: quality.silver_price_checks(t, as_of)),
+        quality.guarded(spark, "silver", "fear_greed", table(SILVER_SENTIMENT), quality.silver_sentiment_checks),
+    ]
+    missing = [n for n, t in (("dim_coins", coins), ("dim_dates", dates), ("fact_market_daily", fact)) if t is None]
+    if missing:
+        parts += [quality.table_exists(spark, None, "gold", n) for n in missing]
+    else:
+        parts.append(quality.guarded(spark, "gold", "fact_market_daily", fact, lambda t: quality.gold_checks(t, coins, dates)))
+    if bronze is not None:
+        parts.append(quality.bronze_checks(spark, bronze, as_of))
+    if bars is not None:
+        parts.append(quality.guarded(spark, "silver", "realtime_vwap", bars, quality.silver_bar_checks))
+    results = parts[0]
+    for part in parts[1:]:
+        results = results.unionByName(part)
+    stored = staged(results, "results")
+    _store(stored, f"{root}/{CHECKS}", as_of)
+    _store(quality.table_reports(stored), f"{root}/{REPORTS}", as_of)
+    return stored.withColumn("checked_at", as_of.cast("timestamp"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from marketloom.functions.labels import CLASSES, lag_status
 from marketloom.functions.times import hours_since
 from marketloom.operators.match import orphans
 from marketloom.operators.profile import missing_columns
+from marketloom.session import staged
 
 RESULT_COLUMNS = ["check_name", "layer", "table_name", "status", "metric_value", "threshold", "message"]
 
@@ -126,10 +129,10 @@ def referential_integrity(
 
 
 def metadata_check(
-    spark, name: str, layer: str, table: str, passed: bool, message: str
+    spark, name: str, layer: str, table: str, passed: bool, message: str, status: str | None = None
 ) -> DataFrame:
     """A check answered from table metadata on the driver."""
-    row = [(name, layer, table, "passed" if passed else "failed", None, None, message)]
+    row = [(name, layer, table, status or ("passed" if passed else "failed"), None, None, message)]
     schema = "check_name string, layer string, table_name string, status string, metric_value double, threshold double, message string"
     return spark.createDataFrame(row, schema)
 
@@ -140,6 +143,19 @@ def table_exists(spark, df: DataFrame | None, layer: str, table: str) -> DataFra
     )
 
 
+def guarded(spark, layer: str, table: str, df: DataFrame | None, checks: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The results of a table's checks; a missing table is a failed row, checks that break an error row.
+
+    The results, a few rows, are computed here, so a value that breaks a check shows up in its own table.
+    """
+    if df is None:
+        return table_exists(spark, None, layer, table)
+    try:
+        return staged(checks(df), "checks")
+    except PySparkException as e:
+        return metadata_check(spark, "run_checks", layer, table, False, str(e).splitlines()[0][:200], "error")
+
+
 def schema_check(spark, df: DataFrame, layer: str, table: str, required: list[str]) -> DataFrame:
     missing = missing_columns(df, required)
     message = f"missing: {missing}" if missing else "all columns present"
@@ -164,7 +180,7 @@ def bronze_checks(spark, tables: dict[str, DataFrame | None], as_of: Column) ->
         if df is not None:
             parts.append(schema_check(spark, df, "bronze", name, required))
             checks = [min_row_count(min_rows), freshness(F.to_timestamp(loaded), as_of)]
-            parts.append(run_checks(df, "bronze", name, checks))
+            parts.append(guarded(spark, "bronze", name, df, lambda x, n=name, c=checks: run_checks(x, "bronze", n, c)))
     return _all(parts)
 
 
@@ -364,7 +380,7 @@ def schema_drift(df: DataFrame, contract: dict) -> list[str]:
 
 
 def contract_checks(df: DataFrame, contract: dict, table: str, ts: Column, as_of: Column) -> DataFrame:
-    """Required, minimum, freshness and uniqueness rules of a contract."""
+    """All rules of a contract: schema, required, minimum, freshness, uniqueness, records per hour."""
     delay = contract["max_delay_seconds"]
     lag = F.unix_seconds(as_of) - F.unix_seconds(F.max(ts))
     fresh = Check(
@@ -375,7 +391,12 @@ def contract_checks(df: DataFrame, contract: dict, table: str, ts: Column, as_of
     out = run_checks(df, "contract", table, [*checks, fresh])
     if "unique" in contract:
         out = out.unionByName(no_duplicates(df, "contract", table, contract["unique"]))
-    return out
+    if "min_records_per_hour" in contract:
+        thin = none_of("records_per_hour", F.count(F.lit(1)), f"hours under {contract['min_records_per_hour']} records")
+        out = out.unionByName(run_checks(thin_hours(df, contract["min_records_per_hour"]), "contract", table, [thin]))
+    drift = schema_drift(df, contract)
+    message = f"drift: {drift}" if drift else "as declared"
+    return out.unionByName(metadata_check(df.sparkSession, "schema", "contract", table, not drift, message))
 
 
 def thin_hours(trades: DataFrame, minimum: int) -> DataFrame:

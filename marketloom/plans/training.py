@@ -21,9 +21,14 @@ SEQUENCE_STEPS = 10
 TRAIN_SHARE = 0.8
 
 
-def time_split(samples: DataFrame, share: float = TRAIN_SHARE) -> DataFrame:
-    """Mark the first ``share`` of each series as training rows; no shuffle, the position is known."""
-    return samples.withColumn("is_train", F.col(POS) < F.floor(F.col(LENGTH) * share))
+def time_split(samples: DataFrame, share: float = TRAIN_SHARE, horizon: int = 3) -> DataFrame:
+    """Mark the first ``share`` of each series as training rows; no shuffle, the position is known.
+
+    The ``horizon`` rows before the cut are left out: their labels lie behind it.
+    """
+    cut = F.floor(F.col(LENGTH) * share)
+    outside = (F.col(POS) < cut - horizon) | (F.col(POS) >= cut)
+    return samples.filter(outside).withColumn("is_train", F.col(POS) < cut)
 
 
 def hash_split(samples: DataFrame, keys: list[str], share: float = TRAIN_SHARE, seed: int = SEED) -> DataFrame:
@@ -44,7 +49,7 @@ def training_set(features: DataFrame, lookback: int = 30, horizon: int = 3) -> D
     samples = training_samples(with_sequences(features, steps=SEQUENCE_STEPS), lookback, horizon)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
     rows = vectors.transform(samples).withColumn("window", array_to_vector("sequence")).drop("sequence")
-    return time_split(rows)
+    return time_split(rows, horizon=horizon)
 
 
 def samples_by_asset(samples: DataFrame) -> DataFrame:
@@ -160,10 +165,20 @@ def evaluate(votes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def save(model: PipelineModel, path: str, weights: DataFrame, threshold: DataFrame) -> None:
-    """Model stages plus the weights and threshold tables."""
+    """Model stages, the weights (with the accuracy of each voter) and threshold tables, the feature order."""
     model.write().overwrite().save(f"{path}/model")
     weights.write.mode("overwrite").parquet(f"{path}/weights")
     threshold.write.mode("overwrite").parquet(f"{path}/threshold")
+    order = weights.sparkSession.createDataFrame(list(enumerate(FEATURES)), "position int, feature string")
+    order.coalesce(1).write.mode("overwrite").parquet(f"{path}/features")
+
+
+def load(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """What :func:`save` wrote; features in another order than the model was fitted on are an error."""
+    order = [r["feature"] for r in spark.read.parquet(f"{path}/features").orderBy("position").collect()]
+    if order != FEATURES:
+        raise ValueError(f"the model was fitted on {order}")
+    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/threshold")
 
 
 def union_sources(sources: dict[str, DataFrame]) -> DataFrame:

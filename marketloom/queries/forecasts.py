@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from marketloom.operators.series import LENGTH, POS
@@ -11,6 +13,7 @@ from marketloom.plans import forecast as fc
 from marketloom.plans import serving, training
 from marketloom.queries import common
 from marketloom.queries.registry import query
+from marketloom.session import scratch_path
 
 _LABELLED = """(SELECT *, CAST((future_price - price) / (price + 1e-10) > 0 AS DOUBLE) AS label FROM blended
  WHERE pos >= 30 AND pos < len - 3)"""
@@ -32,7 +35,7 @@ def _errors(spark, sf):
 
 @query(
     "l4_time_split",
-    """SELECT coin_id, count(*) FILTER (pos < floor(len * 0.8)) AS train_rows, count(*) FILTER (pos >= floor(len * 0.8)) AS test_rows
+    """SELECT coin_id, count(*) FILTER (pos < floor(len * 0.8) - 3) AS train_rows, count(*) FILTER (pos >= floor(len * 0.8)) AS test_rows
  FROM ser WHERE pos >= 30 AND pos < len - 3 GROUP BY 1""",
 )
 def time_split(spark, sf):
@@ -203,7 +206,7 @@ def choose_threshold(spark, sf):
 @query("l1_l2_l3_l5_l14_train_voters")
 def train_voters(spark, sf):
     """Fit the voters on the first 80% of every series, weigh them on the rest, list what matters."""
-    samples = training.training_set(common.features(spark, sf))
+    samples = training.training_set(common.features(spark, sf, macd_scale="price", warmup="null"))
     model, stored = training.fit_voters(spark, samples)
     votes = training.vote(model, stored.filter(~F.col("is_train")))
     weights = fc.adaptive_weights(training.voter_accuracy(votes))
@@ -213,6 +216,34 @@ def train_voters(spark, sf):
     )
 
 
+@query(
+    "l1_l2_l3_l14_saved_voters",
+    """SELECT count(*) FILTER (pos < floor(len * 0.8) - 3) AS train_rows, count(*) FILTER (pos >= floor(len * 0.8)) AS test_rows,
+ CAST(3 AS BIGINT) AS voters, CAST(0 AS BIGINT) AS outside_0_1, CAST(0 AS BIGINT) AS changed_by_reload, 1.0::DOUBLE AS weight_sum
+ FROM ser WHERE pos >= 30 AND pos < len - 3""",
+)
+def saved_voters(spark, sf):
+    """Causal features, a purged split, three voters saved, loaded and compared row by row."""
+    samples = training.training_set(common.features(spark, sf, macd_scale="price", warmup="null"))
+    model, stored = training.fit_voters(spark, samples)
+    path = scratch_path(spark, "voters")
+    weights, _, choice = training.evaluate(training.vote(model, stored.filter(~F.col("is_train"))))
+    training.save(model, path, weights, choice)
+    again, kept, _ = training.load(spark, path)
+    probs = ["gb_prob", "rf_prob", "lstm_prob"]
+    keys = ["coin_id", "ts", "is_train"]
+    one = training.vote(model, stored).select(*keys, *probs)
+    two = training.vote(again, stored).select("coin_id", "ts", *[F.col(p).alias(f"again_{p}") for p in probs])
+    outside = reduce(lambda a, b: a | b, [~F.coalesce(F.col(p).between(0, 1), F.lit(False)) for p in probs])
+    moved = reduce(lambda a, b: a | b, [F.abs(F.col(p) - F.col(f"again_{p}")) > 1e-12 for p in probs])
+    counts = one.join(two, ["coin_id", "ts"]).agg(
+        F.count_if("is_train").alias("train_rows"), F.count_if(~F.col("is_train")).alias("test_rows"),
+        F.count_if(outside).alias("outside_0_1"), F.count_if(moved).alias("changed_by_reload"),
+    )
+    sums = kept.agg(F.count(F.lit(1)).alias("voters"), F.round(F.sum("weight"), 6).alias("weight_sum"))
+    return counts.withColumn("one", F.lit(1)).join(sums.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 @query(
     "v6_latest_predictions",
     """SELECT model, coin_id, ts, round(predicted_price, 6) AS predicted_price, current_price, model = 'legacy' AS is_primary

@@ -61,9 +61,7 @@ def failing_price_checks(spark, sf):
     return dq.silver_price_checks(_raw_daily(spark, sf), common.as_of_day()).select(*_KEEP)
 
 
-@query(
-    "q1_q2_q3_q4_bronze_checks",
-    _rows(
+_BRONZE = _rows(
         *[
             f"SELECT '{c}' AS check_name, '{t}' AS table_name, 'passed' AS status, CAST(NULL AS DOUBLE) AS metric_value"
             for t in ("historical_prices", "fear_greed_index", "realtime_prices")
@@ -75,14 +73,24 @@ def failing_price_checks(spark, sf):
         _row("data_freshness", "historical_prices", "(1706659200 - max(loaded)) // 3600", "hist", "m <= 48", "CASE WHEN m <= 72 THEN 'warning' ELSE 'failed' END"),
         _row("data_freshness", "fear_greed_index", "(1706659200 - max(loaded)) // 3600", "sent_raw", "m <= 48", "CASE WHEN m <= 72 THEN 'warning' ELSE 'failed' END"),
         _row("data_freshness", "realtime_prices", "(1706659200 - CAST(epoch(max(ingested)) AS BIGINT)) // 3600", "trades", "m <= 48", "CASE WHEN m <= 72 THEN 'warning' ELSE 'failed' END"),
-    ),
 )
-def bronze_checks(spark, sf):
-    tables = {
+
+
+# The daily run counts hours to its own day.
+_DAILY_BRONZE = _BRONZE.replace("1706659200 -", "996710400 -")
+
+
+def _bronze(spark, sf):
+    return {
         "historical_prices": stand_ins.bronze_prices(spark, sf),
         "fear_greed_index": stand_ins.bronze_sentiment(spark, sf),
         "realtime_prices": stand_ins.bronze_trades(spark, sf),
     }
+
+
+@query("q1_q2_q3_q4_bronze_checks", _BRONZE)
+def bronze_checks(spark, sf):
+    tables = _bronze(spark, sf)
     return dq.bronze_checks(spark, tables, common.as_of_time()).select(*_KEEP)
 
 
@@ -246,6 +254,7 @@ def future_rows(spark, sf):
         _row("minimum_price_usd", "silver_daily_prices", "count(*) FILTER (price_usd < 0)", "s_prices"),
         _row("freshness", "silver_daily_prices", "CAST(epoch(TIMESTAMP '2001-08-02') - epoch(max(price_date)) AS BIGINT)", "s_prices", "m <= 86400"),
         _row("no_duplicates", "silver_daily_prices", "count(*)", "(SELECT 1 FROM s_prices GROUP BY coin_id, price_date HAVING count(*) > 1)"),
+        "SELECT 'schema' AS check_name, 'silver_daily_prices' AS table_name, 'failed' AS status, CAST(NULL AS DOUBLE) AS metric_value",
     ),
 )
 def contract_silver(spark, sf):
@@ -256,12 +265,20 @@ def contract_silver(spark, sf):
     ).select(*_KEEP)
 
 
+_THIN = """SELECT h AS hour, coalesce(n, 0) AS records FROM (SELECT unnest(generate_series((SELECT min(price_hour) FROM hourly),
+ (SELECT max(price_hour) FROM hourly), INTERVAL '1 hour')) AS h) LEFT JOIN
+ (SELECT price_hour, CAST(sum(trade_count) AS BIGINT) AS n FROM hourly GROUP BY 1) ON h = price_hour
+ WHERE coalesce(n, 0) < 1000"""
+
+
 @query(
     "q17_contract_bronze",
     _rows(
         *[_row(f"not_null_{c}", "bronze_realtime_prices", f"count(*) FILTER ({c} IS NULL)", "trades") for c in ("coin_id", "price_usd", "trade_time_ms")],
         _row("minimum_price_usd", "bronze_realtime_prices", "count(*) FILTER (price_usd < 0)", "trades"),
         _row("freshness", "bronze_realtime_prices", "1706659200 - CAST(floor(max(trade_time_ms) / 1000) AS BIGINT)", "trades", "m <= 300"),
+        _row("records_per_hour", "bronze_realtime_prices", "count(*)", f"({_THIN})"),
+        "SELECT 'schema' AS check_name, 'bronze_realtime_prices' AS table_name, 'passed' AS status, CAST(NULL AS DOUBLE) AS metric_value",
     ),
 )
 def contract_bronze(spark, sf):
@@ -271,13 +288,7 @@ def contract_bronze(spark, sf):
     ).select(*_KEEP)
 
 
-@query(
-    "q17_thin_hours",
-    """SELECT h AS hour, coalesce(n, 0) AS records FROM (SELECT unnest(generate_series((SELECT min(price_hour) FROM hourly),
- (SELECT max(price_hour) FROM hourly), INTERVAL '1 hour')) AS h) LEFT JOIN
- (SELECT price_hour, CAST(sum(trade_count) AS BIGINT) AS n FROM hourly GROUP BY 1) ON h = price_hour
- WHERE coalesce(n, 0) < 1000""",
-)
+@query("q17_thin_hours", _THIN)
 def thin_hours(spark, sf):
     contract = CONTRACTS["bronze_realtime_prices"]
     return dq.thin_hours(stand_ins.bronze_trades(spark, sf), contract["min_records_per_hour"])
@@ -309,6 +320,10 @@ def ingestion_lag(spark, sf):
         _row("has_rows", "fact_market_daily", "count(*)", "fact", "m >= 1"),
         _row("fk_coin_id", "fact_market_daily", "count(*)", "(SELECT * FROM fact WHERE coin_id NOT IN (SELECT coin_id FROM coins))"),
         _row("fk_price_date", "fact_market_daily", "count(*)", "(SELECT * FROM fact WHERE price_date NOT IN (SELECT date_day FROM dates))"),
+        _row("has_rows", "realtime_vwap", "count(*)", "bars30", "m >= 1"),
+        _row("positive_ohlc", "realtime_vwap", "count(*) FILTER (\"close\" <= 0 OR open <= 0)", "bars30"),
+        f"SELECT * FROM ({_DAILY_BRONZE}) WHERE table_name <> 'realtime_prices'",
+        "SELECT 'table_exists', 'realtime_prices', 'failed', NULL",
     ),
 )
 def daily_run_checks(spark, sf):
@@ -319,4 +334,7 @@ def daily_run_checks(spark, sf):
     early = F.col("timestamp_ms") < F.unix_millis(F.lit("2001-01-01").cast("timestamp"))
     lake.load(spark, root, prices.filter(early), sentiment, None, as_of)
     lake.load(spark, root, prices, sentiment, stand_ins.bronze_trades(spark, sf), as_of)
-    return lake.check(spark, root, as_of).select(*_KEEP)
+    bars = common.silver_bars(spark, sf)
+    for _ in range(2):  # a repeat replaces the results of the day
+        lake.check(spark, root, as_of, {**_bronze(spark, sf), "realtime_prices": None}, bars)
+    return spark.read.parquet(f"{root}/{lake.CHECKS}").select(*_KEEP)

@@ -118,3 +118,16 @@ def test_empty_layer_lag(spark):
     empty = spark.createDataFrame([], "t timestamp")
     got = dq.ingestion_lag({"bronze": (empty, F.col("t"))}, F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")).first()
     assert (got.status, got.lag_seconds) == ("EMPTY", None)
+
+
+def test_missing_and_broken_tables_become_rows(spark, rows):
+    bad = spark.createDataFrame([("x",)], "price_usd string")
+    checks = lambda t: dq.run_checks(t, "silver", "t", [dq.violations("p", F.col("price_usd").cast("double") <= 0, "p")])
+    got = [
+        dq.guarded(spark, "silver", "gone", None, checks),
+        dq.guarded(spark, "silver", "broken", bad, checks),
+        dq.guarded(spark, "silver", "other", bad.withColumnRenamed("price_usd", "q"), checks),
+    ]
+    assert [rows(g, "table_name", "check_name", "status") for g in got] == [
+        [("gone", "table_exists", "failed")], [("broken", "run_checks", "error")], [("other", "run_checks", "error")],
+    ]

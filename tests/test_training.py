@@ -80,9 +80,13 @@ def test_fit_vote_evaluate_and_save(spark, monkeypatch):
     assert training.feature_importance(model, spark).count() == 5
     path = scratch_path(spark, "model")
     training.save(model, path, weights, choice)
-    again = training.PipelineModel.load(f"{path}/model")
+    again, kept, _ = training.load(spark, path)
+    assert kept.count() == 3
     one = training.vote(again, stored.limit(5)).select("gb_prob").collect()
     assert len(one) == 5
+    monkeypatch.setattr(training, "FEATURES", training.FEATURES[::-1])
+    with pytest.raises(ValueError):
+        training.load(spark, path)
 
 
 def test_splits(spark):
@@ -91,6 +95,8 @@ def test_splits(spark):
     latest_train = rows.filter("is_train").groupBy("coin_id").agg(F.max("ts").alias("t"))
     first_test = rows.filter("not is_train").groupBy("coin_id").agg(F.min("ts").alias("s"))
     assert latest_train.join(first_test, "coin_id").filter("t >= s").count() == 0
+    ends = rows.groupBy("coin_id").agg(F.max(F.when(F.col("is_train"), F.col("pos"))).alias("a"), F.min(F.when(~F.col("is_train"), F.col("pos"))).alias("b"))
+    assert {r.b - r.a for r in ends.collect()} == {4}, "labels of training rows must not reach the test rows"
     hashed = training.hash_split(rows, ["coin_id", "ts"])
     share = hashed.agg(F.avg(F.col("is_train").cast("int"))).first()[0]
     assert 0.7 < share < 0.9
