@@ -163,27 +163,22 @@ def training_samples(spark, sf):
 
 
 
+# Every value of a sequence, weighted by its place: oldest row first, features in order.
+_PLACED = " + ".join(
+    f"{(10 - k) * len(feat.FEATURES) + j} * lag({name}, {k}) OVER o" for k in range(1, 11) for j, name in enumerate(feat.FEATURES, 1)
+)
+
+
 @query(
     "f15_sequence_samples",
-    """SELECT coin_id, ts, 200 AS n_values, round(first_return, 6) AS first_return, round(last_rsi, 6) AS last_rsi,
- round(sum_bb, 4) AS sum_bb FROM (SELECT coin_id, ts, pos, lag(return_1, 10) OVER o AS first_return, lag(rsi_7, 1) OVER o AS last_rsi,
- sum(bb_position) OVER (PARTITION BY coin_id ORDER BY pos ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS sum_bb
+    f"""SELECT coin_id, ts, 200 AS n_values, round(placed, 4) + 0.0 AS placed FROM (SELECT coin_id, ts, pos, {_PLACED} AS placed
  FROM feats WINDOW o AS (PARTITION BY coin_id ORDER BY pos)) WHERE pos >= 10""",
 )
 def sequence_samples(spark, sf):
     rows = feat.with_sequences(common.features(spark, sf))
-    width = len(feat.FEATURES)
-    at = lambda step, name: F.element_at("sequence", step * width + feat.FEATURES.index(name) + 1)
-    sum_bb = sum((at(i, "bb_position") for i in range(1, 10)), at(0, "bb_position"))
-    out = rows.select(
-        "coin_id",
-        "ts",
-        F.size("sequence").alias("n_values"),
-        at(0, "return_1").alias("first_return"),
-        at(9, "rsi_7").alias("last_rsi"),
-        sum_bb.alias("sum_bb"),
-    )
-    return common.rounded(common.rounded(out, 6, "first_return", "last_rsi"), 4, "sum_bb")
+    placed = F.aggregate(F.transform("sequence", lambda x, i: x * (i + 1)), F.lit(0.0), lambda total, x: total + x)
+    out = rows.select("coin_id", "ts", F.size("sequence").alias("n_values"), placed.alias("placed"))
+    return common.rounded(out, 4, "placed")
 
 
 @query(

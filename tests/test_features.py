@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.operators.series import POS
 from marketloom.plans import features as feat
@@ -98,7 +99,7 @@ def computed(spark):
 def test_features_match_the_rules(computed):
     df, series = computed
     rows = df.collect()
-    assert {r["coin_id"] for r in rows} == {"a", "b"}
+    assert {r["coin_id"] for r in rows} == {"a", "b", "short"}
     for k, points in series.items():
         got = sorted((r for r in rows if r["coin_id"] == k), key=lambda r: r[POS])
         want = expected(points)
@@ -145,3 +146,20 @@ def test_samples_and_sequences(computed):
         assert r.sequence == want
     now = feat.with_sequences(df, include_current=True).filter(f"coin_id = 'a' and {POS} = 9").first()
     assert now.sequence[-20:] == by_pos[9]
+
+
+@pytest.mark.parametrize("warmup", ["backfill", "null"])
+def test_series_of_any_length_have_features(spark, warmup):
+    t = dt.datetime(2024, 1, 1)
+    sizes = {"a": 1, "b": 7, "c": 15, "d": 30, "e": 59}
+    data = [(c, t + dt.timedelta(seconds=30 * i), 100.0 + (i * 7) % 5, 1.0 + i % 3) for c, n in sizes.items() for i in range(n)]
+    bars = spark.createDataFrame(data, "coin_id string, window_start timestamp, close double, total_volume double")
+    made = feat.build_features(bars, warmup=warmup)
+    counts = {r.coin_id: r.n for r in made.groupBy("coin_id").agg(F.count("*").alias("n")).collect()}
+    assert counts == sizes
+    if warmup == "backfill":
+        assert made.filter(" OR ".join(f"{c} IS NULL" for c in feat.FEATURES)).count() == 0
+        first = made.filter("coin_id = 'a'").first()
+        assert (first.bb_position, first.volume_ratio_5, first.momentum_5, first.rsi_7) == (0.5, 0.2, 0.0, 0.5)
+    samples = feat.training_samples(made).groupBy("coin_id").agg(F.count("*").alias("n")).collect()
+    assert {r.coin_id: r.n for r in samples} == {"e": 26}

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from marketloom import queries as registered
 from tools.check_oracle import table
 
 SAMPLE = [
@@ -30,6 +31,15 @@ SAMPLE = [
     "v5_realtime_ohlc",
     "d3_d4_signal_matrix",
     "t2_t3_t4_t5_t6_t7_stream_bars_append",
+    "s19_lagging_asset",
+    "s19_restated_day",
+    "s19_changed_sentiment_day",
+    "s19_equal_load_second",
+    "t8_stream_scoring",
+    "l4_time_split",
+    "d2_smoothed_predictions",
+    "f14_l15_training_samples",
+    "q17_contract_bronze",
 ]
 
 
@@ -43,7 +53,7 @@ def con(sf):
 
 def test_every_statement_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"l1_l2_l3_l5_l14_train_voters"}
+    assert set(registered.queries()) - set(registered.oracle_sql()) == {"l1_l2_l3_l5_l14_train_voters"}
 
 
 def test_entry_returns_rows(spark):

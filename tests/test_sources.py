@@ -37,7 +37,7 @@ def test_assets_of_symbols(spark, symbol, asset):
 
 def test_every_pair_has_its_own_asset():
     assets = list(trades.PAIR_TO_ASSET.values())
-    assert len(set(assets)) == len(assets) == 8 and all(p.endswith("USDT") for p in trades.PAIR_TO_ASSET)
+    assert len(set(assets)) == len(assets) == 8 and all(p.upper().endswith("USDT") for p in trades.PAIR_TO_ASSET)
 
 
 @pytest.mark.parametrize("text", ["0.00071", "1e3", "42"])
