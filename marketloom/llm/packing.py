@@ -16,7 +16,8 @@ common, is gathered in one task.
 
 Defined results
     null or empty text: the end token alone. Null ids: kept. Repeated rows: packed each.
-    Empty table: no rows. Other columns: ignored by ``pieces``, kept by ``pack``.
+    Empty table: no rows. Other columns: ignored by ``pieces``, kept by ``pack``, but for columns that
+    have the names of the two it adds.
     A document longer than the capacity is cut into full pieces; the first one takes the remainder.
 """
 
@@ -64,7 +65,7 @@ def pieces(
     import pyarrow as pa
 
     ident = docs.schema[id_col].dataType
-    schema = T.StructType([T.StructField("id", ident), *T._parse_datatype_string(PIECES).fields])
+    schema = T.StructType([T.StructField("id", ident), *T.StructType.fromDDL(PIECES).fields])
     end = end_id.to_bytes(4, "little")
 
     def encode(batches):
@@ -229,6 +230,7 @@ def pack(cut_docs: DataFrame, capacity: int = CAPACITY, length_col: str = "lengt
 
     spark = cut_docs.sparkSession
     task, rank, base = (free_name(cut_docs.columns, n) for n in ("task", "rank", "base"))
+    cut_docs = cut_docs.select([c for c in cut_docs.columns if c.lower() not in ("sequence_id", "offset")])
     kept = T.StructType(cut_docs.schema.fields)
     numbered = T.StructType([*kept.fields, T.StructField(task, T.IntegerType()), T.StructField(rank, T.LongType())])
 

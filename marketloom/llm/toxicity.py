@@ -13,7 +13,7 @@ Defined results
     null or empty text, or without words: scored from features that are all zero. Null labels and null
     ids are not learned from. Several labels of one id: the largest counts. Repeated rows: scored alike.
     Labels of one class only, or none: that class's share (one half without labels) for each text.
-    Empty table: no rows. Other columns: kept by ``score``, which adds ``score``.
+    Empty table: no rows. Other columns: kept by ``score``, which adds ``score`` or replaces it.
 """
 
 from __future__ import annotations
@@ -182,6 +182,7 @@ class Model:
         self.learned, self.trees, self.calibration, self.share = learned, trees, calibration, share
 
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
+        docs = docs.select([c for c in docs.columns if c.lower() != "score"])
         names = {n: free_name([*docs.columns, "score"], n) for n in ("features", "rawPrediction", "probability", "prediction", "raw")}
         if self.trees is None:
             return docs.withColumn("score", F.lit(self.share))
