@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -48,6 +50,7 @@ def work_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="marketloom-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.conf.set(CHECKPOINT_KEY, path)
     return path
 
@@ -57,6 +60,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Tables staged by this process and not deleted yet.
+_STAGED: list[str] = []
+
+
+def release_staged(spark: SparkSession) -> None:
+    """Delete the tables staged so far; a driver that runs on calls it between runs.
+
+    Frames that read them are of no use afterwards.
+    """
+    while _STAGED:
+        drop_path(spark, _STAGED.pop())
+
+
 def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     """The rows written once below the shared folder and read back.
 
@@ -67,6 +83,7 @@ def staged(df: DataFrame, label: str = "staged") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -73,3 +73,14 @@ def test_no_broadcast_above_the_threshold(spark, sf):
         assert rebased.agg(F.count("*")).first()[0] == prices.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_staged_tables_are_released(spark):
+    from marketloom.session import path_exists, release_staged, staged, unstage
+
+    one, two = staged(spark.range(3)), staged(spark.range(4))
+    paths = [f.inputFiles()[0].rsplit("/", 1)[0] for f in (one, two)]
+    unstage(one)
+    assert [path_exists(spark, p) for p in paths] == [False, True]
+    release_staged(spark)
+    assert not path_exists(spark, paths[1])
