@@ -58,7 +58,7 @@ class Page:
     """Elements with their parents, and blocks of text with the element they stand in, in page order."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.flag = ["#"], [-1], [False]
+        self.tag, self.parent, self.flag, self.within = ["#"], [-1], [False], [False]
         self.path = [0]  # of each element, as a number: equal paths have equal numbers
         self.steps: dict[tuple[int, str], int] = {}  # (path above, last step) to path
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
@@ -143,6 +143,8 @@ class Page:
 
     def _open(self, name: str, attributes: str, stack: list[int]) -> None:
         flag, classes = name in DROPPED_TAGS, []
+        within = self.within[stack[-1]]  # a header inside an article is its own
+        dropped = DROPPED_WORDS - {"header", "masthead"} if within else DROPPED_WORDS
         if attributes and len(attributes) > 3:
             for m in ATTRIBUTE.finditer(attributes):
                 key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
@@ -150,7 +152,7 @@ class Page:
                     classes = sorted({re.sub(r"\d+", "N", c).replace(">", "_") for c in value.split()})
                 if key in ("class", "id"):
                     tokens = [v for v in value.split() if not v.lower().startswith(MODIFIERS)]
-                    flag |= any(w.lower() in DROPPED_WORDS for v in tokens for w in WORDS.findall(v))
+                    flag |= any(w.lower() in dropped for v in tokens for w in WORDS.findall(v))
                 elif key == "role":
                     flag |= value.lower() in DROPPED_ROLES
                 elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -158,8 +160,9 @@ class Page:
                 elif key == "style":
                     flag |= "display:none" in value.replace(" ", "").lower()
         if name == "header":
-            flag |= not any(self.tag[i] in ("article", "main") for i in stack)
+            flag |= not within
         parent = stack[-1]
+        self.within.append(within or name in ("article", "main"))
         self.tag.append(name)
         self.parent.append(parent)
         step = (self.path[parent], ".".join([name, *classes]))
