@@ -185,8 +185,9 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe
     stage = Stage(spark, "lattice")
     counted = docs.select(F.explode(units(text)).alias("unit")).groupBy("unit").count()
     common = stage.keep("common", counted.orderBy(F.desc("count"), "unit").limit(kept).select("unit"))
-    # A table of at most ``kept`` units.
-    found = folded(common.repartition(F.col("unit")), vocabulary, kind).toArrow()
+    # A table of at most ``kept`` units. They are few bytes and much work, so their number of partitions is fixed.
+    tasks = max(8, spark.sparkContext.defaultParallelism)
+    found = folded(common.repartition(tasks, "unit"), vocabulary, kind).toArrow()
     share = spark.sparkContext.broadcast(
         {u: array("i", ids).tobytes() for u, ids in zip(found.column("unit").to_pylist(), found.column("ids").to_pylist())}
     )
