@@ -75,7 +75,25 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(digests)
 
 
-@query("op9_near_dedup")
+@query(
+    "op9_near_dedup",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS shingle
+        FROM d WHERE len(w) > 0
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    r AS (SELECT x AS doc_id, y AS other FROM e UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+           doc_id <= coalesce(m, doc_id) AS kept
+    FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS m FROM r GROUP BY ALL) USING (doc_id)
+    """,
+)
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.groups(table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
     return found.withColumnRenamed("id", "doc_id")
