@@ -95,6 +95,26 @@ def forecast_line(bars: DataFrame, curve: DataFrame) -> DataFrame:
     return anchor.unionByName(ahead)
 
 
+# Where a prediction without a curve is drawn, in seconds behind the last bar.
+SINGLE_POINT_SECONDS = {"legacy": 300, "ensemble": 180}
+
+
+def single_point_lines(bars: DataFrame, predictions: DataFrame) -> DataFrame:
+    """The last bar of each asset, and one point ahead for the newest positive prediction of each model."""
+    last = newest_per_key(bars, ["coin_id"], [F.col("window_start").desc()]).select(
+        "coin_id", F.col("window_start").alias("_last"), F.col("close").alias("_close")
+    )
+    newest = newest_per_key(predictions.select("model", "coin_id", "ts", "predicted_price"), ["model", "coin_id"], [F.col("ts").desc()])
+    seconds = F.create_map(*[F.lit(x) for pair in SINGLE_POINT_SECONDS.items() for x in pair])[F.col("model")]
+    drawn = newest.filter((F.col("predicted_price") > 0) & seconds.isNotNull()).join(last, "coin_id")
+    ahead = F.timestamp_micros(F.unix_micros("_last") + seconds.cast("bigint") * 1000000)
+    points = F.array(
+        F.struct(F.lit(0).alias("horizon_seconds"), F.col("_last").alias("ts"), F.col("_close").alias("price")),
+        F.struct(seconds.alias("horizon_seconds"), ahead.alias("ts"), F.col("predicted_price").alias("price")),
+    )
+    return drawn.select("model", "coin_id", F.explode(points).alias("p")).select("model", "coin_id", "p.*")
+
+
 def display_table(overview: DataFrame) -> DataFrame:
     """NULL measures to 0 and the column titles of the overview panel."""
     titles = {

@@ -137,6 +137,20 @@ def forecast_line(spark, sf):
     return dashboard.forecast_line(table, curve)
 
 
+_DRAWN = """(SELECT model, coin_id, CASE model WHEN 'legacy' THEN 300 ELSE 180 END AS h, arg_max(predicted_price, ts) AS p FROM preds GROUP BY 1, 2)
+ JOIN (SELECT coin_id, max(window_start) AS t, arg_max("close", window_start) AS c FROM bars30 GROUP BY 1) USING (coin_id) WHERE p > 0"""
+
+
+@query(
+    "d9_single_point_lines",
+    f"""SELECT model, coin_id, 0 AS horizon_seconds, t AS ts, round(c, 6) AS price FROM {_DRAWN}
+ UNION ALL SELECT model, coin_id, h, t + to_seconds(h), round(p, 6) FROM {_DRAWN}""",
+)
+def single_point_lines(spark, sf):
+    table = common.silver_bars(spark, sf)
+    return common.rounded(dashboard.single_point_lines(table, common.predictions(spark, sf, table)), 6, "price")
+
+
 @query(
     "j7_match_predictions",
     """SELECT model, coin_id, ts, matched_ts, matched_close FROM errs""",
