@@ -18,8 +18,9 @@ def row_counts(tables: dict[str, DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def sample(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
+def sample(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by key: the same ones in every run."""
+    return df.orderBy(*order).limit(n)
 
 
 def frequencies(df: DataFrame, column: str) -> DataFrame:

@@ -350,6 +350,27 @@ def row_counts(spark, sf):
     )
 
 
+@query(
+    "s26_samples",
+    """SELECT 'daily_prices' AS table_name, coin_id || ' ' || strftime(price_date, '%Y-%m-%d') AS row_key, price_usd AS value FROM
+ (SELECT * FROM s_prices ORDER BY coin_id, price_date LIMIT 5)
+ UNION ALL SELECT 'fear_greed', strftime(index_date, '%Y-%m-%d'), fear_greed_value FROM (SELECT * FROM s_sent ORDER BY index_date LIMIT 5)""",
+)
+def samples(spark, sf):
+    """Five rows of each table, the first ones by key."""
+    prices = profile.sample(common.prices(spark, sf), ["coin_id", "price_date"])
+    sentiment = profile.sample(common.sentiment(spark, sf), ["index_date"])
+    day = F.date_format("price_date", "yyyy-MM-dd")
+    return prices.select(
+        F.lit("daily_prices").alias("table_name"), F.concat_ws(" ", "coin_id", day).alias("row_key"), F.col("price_usd").alias("value")
+    ).unionByName(
+        sentiment.select(
+            F.lit("fear_greed").alias("table_name"), F.date_format("index_date", "yyyy-MM-dd").alias("row_key"),
+            F.col("fear_greed_value").cast("double").alias("value"),
+        )
+    )
+
+
 @query(
     "s27_csv_seed_join",
     """SELECT n.n_name, count(*) AS customers FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1""",
