@@ -31,10 +31,11 @@ from marketloom.llm.common import Stage, free_name
 
 MARK = "▁"
 KEPT_UNITS = 40_000
-CACHED_UNITS = 200_000  # further units that a worker remembers
+CACHED_UNITS = 400_000  # further units that a worker remembers
 # A line feed has no piece of its own, so units end there too.
 UNIT = f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
 UNKNOWN_SCORE = -1e6
+NO_PIECE = float("-inf")
 
 
 class Vocabulary:
@@ -132,17 +133,25 @@ def folded(words: DataFrame, vocabulary: Vocabulary, kind: str = "bpe") -> DataF
 
 
 def merge_unit(unit: str, table: dict[str, tuple[int, float]], first_byte: int) -> list[int]:
-    """``merge_fold`` for one unit."""
+    """``merge_fold`` for one unit; after a merge only the two pairs around it are looked up again."""
+
+    def score(left: str, right: str) -> float:
+        hit = table.get(left + right)
+        return hit[1] if hit else NO_PIECE
+
     parts = list(unit)
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            hit = table.get(parts[i] + parts[i + 1])
-            if hit and (best is None or hit[1] > best):
-                best, at = hit[1], i
-        if best is None:
+    scores = [score(a, b) for a, b in zip(parts, parts[1:])]
+    while scores:
+        best = max(scores)
+        if best == NO_PIECE:
             break
+        at = scores.index(best)  # the first of equal ones
         parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del scores[at]
+        if at:
+            scores[at - 1] = score(parts[at - 1], parts[at])
+        if at < len(scores):
+            scores[at] = score(parts[at], parts[at + 1])
     return _numbered(parts, table, first_byte)
 
 
