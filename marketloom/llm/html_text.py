@@ -22,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import free_name
+from marketloom.llm.common import Stage, free_name
 
 VOTES = 5  # containers of a page that get its votes
 
@@ -274,6 +274,9 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     """The rows with ``text`` in place of the html."""
     name, path = free_name(pages.columns, "host"), free_name([*pages.columns, "text"], "path")
     won = host_paths(pages, url_col, html_col).select(F.col("host").alias(name), F.col("path").alias(path))
+    # Written first, the table of hosts has a known size: a small one is broadcast and no page moves, with a
+    # large one both sides are exchanged and a host with many pages is split.
+    won = Stage(pages.sparkSession, "hosts").keep("paths", won)
 
     @F.pandas_udf("string")
     def read(sources, paths):
