@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from functools import cached_property
 
 KEPT_WORDS = 300_000
 # The split pattern of this vocabulary (fixed value).
@@ -32,9 +33,8 @@ def _byte_alphabet() -> dict[str, int]:
 class Encoder:
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
@@ -47,6 +47,13 @@ class Encoder:
         self.latin = tiktoken.Encoding("latin", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.kept: dict[str, bytes] = {}
 
+    @cached_property
+    def whole(self):
+        """The reference itself; most texts never need it, so it is loaded on first use."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _ids(self, text: str) -> bytes:
         """Without the table; letters beyond the Latin blocks go to ``tokenizers``, whose letter tables count."""
         if text.isascii() or max(text, default="") < LATIN_END:
