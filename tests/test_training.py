@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.operators.series import POS
 from marketloom.plans import features as feat
 from marketloom.plans import forecast as fc
 from marketloom.plans import training
@@ -95,7 +96,7 @@ def test_splits(spark):
     latest_train = rows.filter("is_train").groupBy("coin_id").agg(F.max("ts").alias("t"))
     first_test = rows.filter("not is_train").groupBy("coin_id").agg(F.min("ts").alias("s"))
     assert latest_train.join(first_test, "coin_id").filter("t >= s").count() == 0
-    ends = rows.groupBy("coin_id").agg(F.max(F.when(F.col("is_train"), F.col("pos"))).alias("a"), F.min(F.when(~F.col("is_train"), F.col("pos"))).alias("b"))
+    ends = rows.groupBy("coin_id").agg(F.max(F.when(F.col("is_train"), F.col(POS))).alias("a"), F.min(F.when(~F.col("is_train"), F.col(POS))).alias("b"))
     assert {r.b - r.a for r in ends.collect()} == {4}, "labels of training rows must not reach the test rows"
     hashed = training.hash_split(rows, ["coin_id", "ts"])
     share = hashed.agg(F.avg(F.col("is_train").cast("int"))).first()[0]
