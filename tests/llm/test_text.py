@@ -109,6 +109,34 @@ def test_field_learns_its_table_and_finds_names(spark):
     assert pii.find(docs.filter("doc_id > 99")).count() == 0
 
 
+def test_field_reads_whole_lines_and_every_line_with_a_cue():
+    field = pii.fit()
+    spans = lambda text: [(k, text[a:b]) for k, a, b, base in pii.find_in([text], field)[0] if not base]
+    assert spans("e-mail : ada at example dot org") == [("email", "ada at example dot org")]
+    assert spans("email me at ada at example dot org") == [("email", "ada at example dot org")]
+    assert spans("a plain line\nName:Ada Lovelace was here") == [("name", "Ada Lovelace")]
+    # What is found is what the field says of the whole line, for every row of its own table.
+    for text, marked in pii.labelled_table():
+        ((classes, labels),) = pii._training_rows([(text, marked)])
+        assert field.decode(np.array([classes]), np.array([len(classes)]))[0].tolist() == labels
+        words = pii.chunks(text)
+        inside = {k for k, (a, b, _) in enumerate(words) for _, x, y, _ in pii.find_in([text], field)[0] if x < b and a < y}
+        assert {k for k, y in enumerate(labels) if y} <= inside
+    for c in pii.ANNOUNCING:
+        assert pii.announces(f"of the:({c.upper()}):x")
+    assert pii.announces("x²") and not pii.announces("of the named-thing: plain")
+
+
+def test_long_lines_decode_as_one_piece(monkeypatch):
+    field = pii.fit(rounds=30)
+    classes = np.random.default_rng(3).integers(1, len(pii.CLASSES), (3, 700))
+    lengths = np.array([700, 513, 20])
+    whole = field.decode(classes, lengths)
+    for slab in (7, 10_000):
+        monkeypatch.setattr(pii, "SLAB", slab)
+        assert (field.decode(classes, lengths) == whole).all()
+
+
 PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body class="x"><nav><ul><li>menu</ul></nav>
 <div class="cookie-notice">we use cookies</div><div class="wrap no-sidebar"><div class="post-{n} content"><h1>Head &amp; line</h1>
 <p>One <b>two</b>&nbsp;three<br>four<p>Five &lt;x&gt; <a href="q">link</a></div><aside>side</aside>
