@@ -7,10 +7,11 @@
    a link when the full sets, made again from both whole texts, are similar enough.
 3. Components of these links. A bucket that still holds several components can hide a link between
    members other than its smallest, so there every member outside the largest component is compared
-   with all members of the other components, on the full sets. Large buckets are dealt out in slices,
-   each with the members that ask. A member counts the shingles it shares with all rows of a slice at
-   once, and one link for each component it meets leaves the task, never the pairs compared. The
-   components of all links are the result.
+   with all members of the other components. Members and those that ask are both dealt out in slices,
+   so a task holds one slice of each. It reads minima first: only members that agree in enough of them
+   with one of another component go on to the full sets, with their texts. There a member counts the
+   shingles it shares with all rows of a slice at once, and one link for each component it meets leaves
+   the task, never the pairs compared. The components of all links are the result.
 
 With 24 bands of 4 rows, two sets at the threshold 0.85 share no bucket with probability 2e-8; the
 agreement asked for lies six standard deviations below the threshold (1e-9).
@@ -121,36 +122,82 @@ def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Data
     return both.sortWithinPartitions("b").mapInArrow(verify, "a long, b long")
 
 
-def _across(buckets: DataFrame, of: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between members of different components that share a bucket, one per member and component met."""
+def _candidates(buckets: DataFrame, of: DataFrame, reps: DataFrame, least: int) -> DataFrame:
+    """Members of mixed buckets that agree in enough minima with one of another component, by the slices that met.
+
+    ``key``, ``slice``, ``asking`` (the slice of those that ask), ``id``, ``component``, ``asks``.
+    """
     import numpy as np
     import pyarrow as pa
 
-    from marketloom.llm import shingles
-
     labelled = buckets.join(of.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
     by_component = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
+    cuts = lambda n: F.greatest(F.lit(1), F.ceil(n / SLICE_ROWS)).cast("int")
     mixed = (
         by_component.groupBy("key")
         .agg(F.sum("n").alias("all"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("most"))
         .filter("parts > 1")
-        .select("key", F.col("most.component").alias("largest"), F.ceil(F.col("all") / SLICE_ROWS).cast("int").alias("slices"))
-    )
-    own_slice = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    outside = F.col("component") != F.col("largest")
-    # A row is compared with in its own slice; those outside the largest component look at all slices.
-    dealt = (
-        labelled.join(mixed, "key")
-        .select("key", "id", "component", own_slice.alias("own"), outside.alias("asks"), "slices")
-        .withColumn("slice", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(F.array("own"))))
-        .join(texts, "id")
-        .select("key", "slice", "id", "component", (F.col("own") == F.col("slice")).alias("own"), "asks", "text")
+        .select("key", F.col("most.component").alias("largest"), cuts(F.col("all")).alias("slices"), cuts(F.col("all") - F.col("most.n")).alias("askings"))
     )
+    members = labelled.join(mixed, "key").withColumn("asks", F.col("component") != F.col("largest"))
+    members = members.join(reps.select("id", "minima"), "id")
+    cut = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # A row is looked at in its own slice, by each slice of those outside the largest component.
+    own = F.transform(every("askings"), lambda j: F.struct(cut("slices").alias("slice"), j.alias("asking"), F.lit(False).alias("asks")))
+    asked = F.transform(every("slices"), lambda i: F.struct(i.alias("slice"), cut("askings").alias("asking"), F.lit(True).alias("asks")))
+    dealt = members.select("key", "id", "component", "minima", F.explode(F.when(F.col("asks"), F.concat(own, asked)).otherwise(own)).alias("at"))
+    dealt = dealt.select("key", "at.slice", "at.asking", "id", "component", "at.asks", "minima")
+    names = ["key", "slice", "asking", "id", "component", "asks"]
+
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, types)], names)
+
+    def agreeing(place, rows):
+        ids, parts, asks, minima = zip(*rows)
+        low = np.frombuffer(b"".join(minima), np.uint16).reshape(len(ids), -1)
+        parts, asks, found = np.array(parts), np.array(asks), np.zeros(len(ids), bool)
+        own = np.flatnonzero(~asks)
+        for i in np.flatnonzero(asks):
+            with_it = own[(parts[own] != parts[i]) & ((low[own] == low[i]).sum(1) >= least)]
+            found[with_it] = True
+            found[i] = len(with_it) > 0
+        return [(*place, ids[i], int(parts[i]), bool(asks[i])) for i in np.flatnonzero(found)]
+
+    def run(batches):
+        place, held = None, []
+        for batch in batches:
+            out = []
+            for k, i, j, *row in zip(*(batch.column(c).to_pylist() for c in (*names, "minima"))):
+                if (k, i, j) != place:
+                    if held:
+                        out += agreeing(place, held)
+                    place, held = (k, i, j), []
+                held.append(row)
+            yield batch_of(out)
+        if held:
+            yield batch_of(agreeing(place, held))
+
+    place = ("key", "slice", "asking")
+    schema = "key long, slice int, asking int, id long, component long, asks boolean"
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, schema)
+
+
+def _across(candidates: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between candidates of different components whose slices met, one per member and component met."""
+    import numpy as np
+    import pyarrow as pa
+
+    from marketloom.llm import shingles
+
+    dealt = candidates.join(texts, "id").select("key", "slice", "asking", "id", "component", "asks", "text")
 
     def compare(rows):
-        ids, parts, own, asks, texts = zip(*rows)
+        ids, parts, asks, texts = zip(*rows)
         sets = [shingles.shingle_set(t, words) for t in texts]
-        here = [i for i, mine in enumerate(own) if mine]
+        here = [i for i, asking in enumerate(asks) if not asking]
         sizes, parts = np.array([len(x) for x in sets]), np.array(parts)
         every = np.concatenate([sets[i] for i in here] or [np.empty(0, np.uint64)])
         owner = np.repeat(here, sizes[here]) if here else np.empty(0, np.int64)
@@ -169,18 +216,19 @@ def _across(buckets: DataFrame, of: DataFrame, texts: DataFrame, words: int, per
         group, held = None, []
         for batch in batches:
             pairs = set()
-            columns = (batch.column(c).to_pylist() for c in ("key", "slice", "id", "component", "own", "asks", "text"))
-            for key, cut, *row in zip(*columns):
-                if (key, cut) != group:
+            columns = (batch.column(c).to_pylist() for c in ("key", "slice", "asking", "id", "component", "asks", "text"))
+            for key, own, asking, *row in zip(*columns):
+                if (key, own, asking) != group:
                     if held:
                         pairs.update(compare(held))
-                    group, held = (key, cut), []
+                    group, held = (key, own, asking), []
                 held.append(row)
             yield _pairs(pa, pairs)
         if held:
             yield _pairs(pa, set(compare(held)))
 
-    return dealt.repartition("key", "slice").sortWithinPartitions("key", "slice").mapInArrow(run, "a long, b long").distinct()
+    place = ("key", "slice", "asking")
+    return dealt.repartition(*place).sortWithinPartitions(*place).mapInArrow(run, "a long, b long").distinct()
 
 
 def _pairs(pa, pairs):
@@ -214,13 +262,15 @@ def groups(
     # Only texts of documents that share a bucket are read again, once.
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     texts = stage.keep("texts", texts.join(buckets.select("id").distinct(), "id").dropDuplicates(["id"]))
-    agreeing = stage.keep("star", _agreeing(star, reps.dropDuplicates(["id"]), least))
+    one = reps.dropDuplicates(["id"])
+    agreeing = stage.keep("star", _agreeing(star, one, least))
     first = stage.keep("links", _links(agreeing, texts, shingle_words, percent))
     same_id = some.join(classes, shape).filter("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    more = stage.keep("across", _across(buckets.select("key", "id"), components(first), texts, shingle_words, percent))
+    met = stage.keep("met", _candidates(buckets.select("key", "id"), components(first), one, least))
+    more = stage.keep("across", _across(met, texts, shingle_words, percent))
     links = first.unionByName(more).unionByName(same_id)
     of = components(links)
-    stage.drop("classes", "reps", "buckets", "texts", "star", "links", "across")
+    stage.drop("classes", "reps", "buckets", "texts", "star", "links", "met", "across")
     return (
         signed.select("id", F.col("n").alias("n_shingles"))
         .join(of.withColumnRenamed("node", "id"), "id", "left")

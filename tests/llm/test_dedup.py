@@ -108,6 +108,38 @@ def test_slices_of_a_large_bucket_lose_no_link(spark, monkeypatch):
     assert sorted((r.id, r.n_shingles, r.component_id) for r in got) == near(rows, 3, 85)
 
 
+def shared_passages(n):
+    """Texts of one bucket that share a passage but stay below the threshold, and two near pairs among them."""
+    rng = random.Random(17)
+    passage = [f"p{i}" for i in range(150)]
+    rows = [(i, " ".join(passage + [f"u{rng.randrange(10**9)}" for _ in range(100)])) for i in range(n)]
+    return [*rows, *((n + i, rows[7 * i][1] + " end") for i in range(2))]
+
+
+def test_members_that_ask_are_dealt_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SLICE_ROWS", 8)
+    rows, held, tried = shared_passages(120), [], []
+    real, deal = near_dedup._across, type(spark.range(0)).repartition
+
+    def across(met, *rest):
+        tried.append(met.groupBy("key", "slice", "asking", "asks").count().agg(F.max("count")).first()[0])
+        return real(met, *rest)
+
+    def dealing(df, *columns):
+        if columns[0] == "key" and "minima" in df.columns:
+            held.append(df.groupBy(*columns, "asks").count().agg(F.max("count"), F.count("*")).first())
+        return deal(df, *columns)
+
+    monkeypatch.setattr(near_dedup, "_across", across)
+    monkeypatch.setattr(type(spark.range(0)), "repartition", dealing)
+    got = near_dedup.groups(table(spark, rows), shingle_words=3, percent=85).collect()
+    assert sorted((r.id, r.n_shingles, r.component_id) for r in got) == near(rows, 3, 85)
+    # Both sides are bounded (slices are dealt by hash), and texts are read for near pairs only.
+    ((most, blocks),) = held
+    assert most <= 4 * near_dedup.SLICE_ROWS and blocks > 100
+    assert (tried[0] or 0) <= 4
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = table(spark, [(5, text), (5, text), (3, text), (None, text), (9, "other words here now")])
