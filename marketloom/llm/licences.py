@@ -7,8 +7,8 @@ sure it must be is calibrated on notices and prose left out of the training: the
 above which none of them gets a wrong family. A prediction is confirmed when the words of some
 template of that family stand in the paragraph in their order of n-grams. Everything runs in the JVM.
 
-A paragraph without any licence word has no n-gram that speaks for a family, so it is unknown without
-being scored: this is the definition of the vocabulary, not a cut.
+A paragraph without any cue and without any word of a family's name is unknown without being scored. The
+words are those of ``FAMILIES``, so every notice of the labelled rows is scored.
 
 Defined results
     null or empty text: no rows. Ties between families: the first in ``FAMILIES``. Repeated rows: the same
@@ -17,6 +17,7 @@ Defined results
 
 from __future__ import annotations
 
+import re
 from itertools import product
 
 from pyspark.ml.classification import LogisticRegression
@@ -63,6 +64,8 @@ PROSE = [
     "this file is large", "see the manual for details", "the mit in boston", "bsd", "an isc meeting", "gnu is an animal", "the content is published", "cc the others by mail", "under the license of the city",
 ]
 CUES = r"(?i)\b(licen[sc]e[sd]?|licensing|copyright|spdx|permission|warrant(y|ies)|redistribut\w*|creative commons|public domain|gnu|a?l?gpl\w*|apache|mozilla|mpl\S*|bsd\S*|cc0\S*|cc[ -]by\S*)"
+NAME_WORDS = sorted({w for names in FAMILIES.values() for n in names for w in re.findall(r"[a-z0-9]+(?:[.][0-9]+)*", n.lower())})
+NAMED = rf"(?i)(?<![\p{{L}}\p{{N}}])({'|'.join(map(re.escape, NAME_WORDS))})(?![\p{{L}}\p{{N}}])"
 SIZES = (1, 2, 3)
 DIMENSIONS = 1 << 14
 LEAST_SIMILARITY = 0.6
@@ -125,13 +128,18 @@ def templates(spark: SparkSession) -> DataFrame:
     return w.select("family", parts.alias("parts")).groupBy("family").agg(F.array_sort(F.collect_list("parts")).alias("templates"))
 
 
+def asked(text: Column) -> Column:
+    """Whether a paragraph is scored."""
+    return text.rlike(CUES) | text.rlike(NAMED)
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
     """One row per paragraph with a family: ``id``, ``paragraph`` (from 0), ``text``, ``family``, ``probability``, ``similarity``, ``confirmed``."""
     spark = docs.sparkSession
     model = model or fit(spark)
     known = Stage(spark, "licences").keep("templates", templates(spark).coalesce(1))
-    lines = docs.filter(F.col(text_col).rlike(CUES)).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "text"))
-    scored = model.classify(lines.filter(F.col("text").rlike(CUES)), "text").filter(F.col("family") != UNKNOWN)
+    lines = docs.filter(asked(F.col(text_col))).select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n")).alias("paragraph", "text"))
+    scored = model.classify(lines.filter(asked(F.col("text"))), "text").filter(F.col("family") != UNKNOWN)
     own = F.concat(grams(F.col("words"), 1), grams(F.col("words"), 2))
     with_parts = scored.withColumn("own", F.array_distinct(own)).join(F.broadcast(known), "family")
     share = F.array_max(F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("own"))) / F.size(t)))

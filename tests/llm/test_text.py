@@ -182,6 +182,16 @@ def test_licences_are_named_and_confirmed(spark, model):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_every_notice_is_scored_in_documents(spark, model):
+    notices = [(t, f) for t, f, _ in licences.labelled_rows() if f != licences.UNKNOWN]
+    frame = spark.createDataFrame([(i, t, f) for i, (t, f) in enumerate(notices)], "doc_id long, text string, name string")
+    assert frame.filter(~licences.asked(F.col("text"))).count() == 0
+    alone = model.classify(frame, "text").filter(F.col("family") != licences.UNKNOWN).select("doc_id", "family").collect()
+    found = licences.scan(frame, model=model).select("id", "family").collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, alone))
+    assert {"Released under the MIT.", "See the MIT for details.", "Distributed under the terms of the ISC."} <= {notices[r.id][0] for r in found}
+
+
 def test_held_out_notices_get_no_wrong_family(spark, model):
     rows = [(t, f) for t, f, part in licences.labelled_rows() if part]
     frame = spark.createDataFrame(rows, "text string, name string")
