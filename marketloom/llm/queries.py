@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, topk, toxicity
+from marketloom.llm import divergence, exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,44 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), same.alias("round_trip"))
 
 
+@query(
+    "op13_source_divergence",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), per_doc AS (SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+    terms AS (SELECT lang, term, sum(n) AS lang_n FROM per_doc GROUP BY ALL HAVING count(*) >= 30),
+    c AS (SELECT lang, source, term, sum(n) AS n FROM per_doc JOIN terms USING (lang, term) GROUP BY ALL),
+    g AS (
+        SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total
+        FROM (SELECT DISTINCT lang, source FROM d)
+        LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL) USING (lang, source)
+        LEFT JOIN (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM terms GROUP BY ALL) USING (lang)
+    ), p AS (
+        SELECT lang, source, term, lang_n, coalesce(n, 0) AS n,
+               1 + ((1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v)::HUGEINT) AS p,
+               1 + ((1000000000::HUGEINT * (lang_n + 5)) // (lang_total + 5 * v)::HUGEINT) AS q
+        FROM g JOIN terms USING (lang) LEFT JOIN c USING (lang, source, term)
+    ), pairs AS (
+        SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), rows AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q
+    )
+    SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+    FROM rows QUALIFY part = 'pair' OR rank <= 50
+    """,
+)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(_QUERIES)
 
