@@ -22,9 +22,9 @@ class Stage:
     def __init__(self, spark, label: str):
         self.spark, self.label, self.paths = spark, label, {}
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
+    def keep(self, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         path = scratch_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
+        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
         self.paths.setdefault(name, []).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import divergence, exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, topk, toxicity
+from marketloom.llm import divergence, exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, suffixes, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,32 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), same.alias("round_trip"))
 
 
+@query(
+    "op12_suffix_array_dedup",
+    """
+    WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    w AS (SELECT row, h, unnest(generate_series(0, len(h) // 2 - 400)) AS p FROM d WHERE len(h) >= 800),
+    k AS (SELECT row, p, md5(substr(h, 2 * p + 1, 800)) AS m FROM w),
+    rep AS (SELECT row, p FROM k WHERE m IN (SELECT m FROM k GROUP BY m HAVING count(*) > 1)),
+    s AS (SELECT row, p, coalesce(p > lag(p) OVER (PARTITION BY row ORDER BY p) + 400, true) AS new FROM rep),
+    i AS (SELECT row, p, sum(new::INT) OVER (PARTITION BY row ORDER BY p) AS island FROM s),
+    spans AS (SELECT row, island, min(p) AS a, max(p) + 400 AS b FROM i GROUP BY ALL),
+    gaps AS (SELECT row, a, b, lead(a) OVER (PARTITION BY row ORDER BY a) AS next FROM spans),
+    kept AS (
+        SELECT row, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans,
+               substr(any_value(h), 1, 2 * min(a)) || string_agg(substr(h, 2 * b + 1, 2 * (coalesce(next, len(h) // 2) - b)), '' ORDER BY a) AS h
+        FROM gaps JOIN d USING (row) GROUP BY row
+    )
+    SELECT doc_id, len(d.h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+    FROM d LEFT JOIN kept USING (row)
+    """,
+)
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query(
     "op13_source_divergence",
     r"""
