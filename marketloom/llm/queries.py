@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import divergence, exact_dedup, fixity, html_text, lattice, licences, near_dedup, packing, pii, suffixes, topk, toxicity
+from marketloom.llm import divergence, exact_dedup, fixity, html_text, lattice, licences, manifest, near_dedup, packing, pii, suffixes, topk, toxicity
 from marketloom.llm.common import importable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,68 @@ def piece_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), same.alias("round_trip"))
 
 
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+_FRAMED = "coalesce(strlen({0}) || ':' || {0}, '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(_FRAMED.format(v) for v in values) + ")"
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+    WITH RECURSIVE bits AS (  -- the register of CRC-32 before its last inversion, bit by bit
+        SELECT doc_id, list_reduce(
+            list_transform(flatten(list_transform(range(len(doc_id::VARCHAR)), lambda i: list_transform(range(8), lambda j: (ascii((doc_id::VARCHAR)[i + 1]) >> j) & 1))), lambda x: x::BIGINT),
+            lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384), 4294967295::BIGINT) AS c
+        FROM documents
+    ), leaf AS (
+        SELECT d.doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql(chr(114) + "eplace(text, chr(10), '')")} AS other,
+               xor(c, 4294967295) % 2 = 0 AS tamper, row_number() OVER (PARTITION BY source ORDER BY d.doc_id) - 1 AS pos
+        FROM documents d JOIN bits USING (doc_id)
+    ), groups AS (SELECT source, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) AS n FROM leaf GROUP BY source),
+    up AS (
+        SELECT tree, 0 AS level, pos AS node, leaf AS h, n FROM leaf JOIN groups ON leaf.source IS NOT DISTINCT FROM groups.source
+        UNION ALL
+        SELECT tree, level + 1, node // 3, sha256(string_agg(h, '' ORDER BY node)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, level, node // 3, n
+    ), subroots AS (SELECT tree, h FROM up WHERE n = 1),
+    top AS (
+        SELECT 0 AS level, tree AS node, h, (SELECT count(*) FROM subroots) AS n FROM subroots
+        UNION ALL
+        SELECT level + 1, node // 3, sha256(string_agg(h, '' ORDER BY node)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY level, node // 3, n
+    ), nodes AS (
+        SELECT tree, level, node, n, coalesce(string_agg(h, '' ORDER BY node) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+               coalesce(string_agg(h, '' ORDER BY node) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM (SELECT * FROM up UNION ALL SELECT -1, level, node, h, n FROM top) WHERE n > 1
+        WINDOW w AS (PARTITION BY tree, level, node // 3 ORDER BY node)
+    ), climb AS (
+        SELECT doc_id, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, 0 AS level, CASE WHEN n = 1 THEN tree ELSE pos END AS node,
+               CASE WHEN tamper THEN other ELSE leaf END AS h, '' AS proof, 0 AS step
+        FROM leaf JOIN groups ON leaf.source IS NOT DISTINCT FROM groups.source
+        UNION ALL
+        SELECT doc_id, CASE WHEN n <= 3 THEN -1 ELSE c.tree END, CASE WHEN n <= 3 AND c.tree >= 0 THEN 0 ELSE c.level + 1 END,
+               CASE WHEN n <= 3 AND c.tree >= 0 THEN c.tree ELSE c.node // 3 END, sha256(l || h || r), proof || l || r, step + 1
+        FROM climb c JOIN nodes x ON x.tree = c.tree AND x.level = c.level AND x.node = c.node
+    ), done AS (SELECT doc_id, arg_max(h, step) AS folded_root, sha256(arg_max(proof, step)) AS proof_sha256 FROM climb GROUP BY doc_id)
+    SELECT doc_id, leaf, s.h AS subroot, t.h AS root, proof_sha256, folded_root, folded_root = t.h AS verified
+    FROM leaf JOIN groups ON leaf.source IS NOT DISTINCT FROM groups.source JOIN subroots s USING (tree) JOIN done USING (doc_id), top t WHERE t.n = 1
+    """,
+)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id has an even checksum are proven with the line feeds of their text deleted."""
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    without = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    built = manifest.manifest(table(spark, sf_dir, "documents"), "source", "doc_id", LEAF_FIELDS, {"text": without})
+    proven = manifest.prove(built)
+    return proven.select(
+        F.col("id").alias("doc_id"), *[manifest.hexed(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+        F.sha2(manifest.listed(F.col("siblings")).cast("binary"), 256).alias("proof_sha256"),
+        manifest.hexed(F.col("folded")).alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 @query(
     "op12_suffix_array_dedup",
     """
