@@ -14,10 +14,13 @@ family: equal ``full`` is a long match, and a ``core`` with several ``full`` is
 Arrays of equal size become one, so a family of n batches has at most log n arrays and an entry is written
 log n times. What the scans found is kept beside the arrays.
 
-Open cores are narrowed. The windows around an anchor are split into runs. All windows of a run share the
-bytes in its middle (its ``core``), and its ``full`` are all bytes of the run. Runs whose core is met nowhere
-else hold no match; runs whose full is met elsewhere are repeated as a whole; the others are split again, down
-to single windows. One place stands for all equal ones, so copies are never compared pair by pair.
+Open cores are narrowed, with one place for all equal ones. Up to ``GROUP_ROWS`` places of a core meet in a
+task with the bytes around them. Rolling hashes of all their windows make a table, a row for each place and a
+column for each distance from the anchor; equal values in a column are repeated windows, found by a sort of
+each column, never pair by pair. Places of a core that has more are narrowed in Spark: the windows around an
+anchor are split into runs. All windows of a run share the bytes in its middle (its ``core``), and its ``full``
+are all bytes of the run. Runs whose core is met nowhere else hold no match; runs whose full is met elsewhere
+are repeated as a whole; the others are split again, down to single windows. Both ways find the same.
 
 ``core`` and ``full`` are 64-bit digests that decide together; a place is the 64-bit digest and the length of
 its text, and the offset. Removal depends on the text alone, so rows with equal texts share their spans.
@@ -42,6 +45,8 @@ LENGTH = 400
 GRAM = 113
 RUNS = (48, 8, 1)  # windows in a run, by round of narrowing; each divides the one before, the first the windows of an anchor
 BATCHES = 4
+GROUP_ROWS = 65_536  # 45 MB of text, 150 MB of hashes
+TABLE_CELLS = 1 << 20
 PIECE = 1 << 16
 
 PLACE = ["t", "n", "p"]
@@ -172,10 +177,83 @@ def split(texts: DataFrame, windows: int, run: int, length: int) -> DataFrame:
     return texts.select("t", "n", "bytes", "open").mapInArrow(cut, ENTRY)
 
 
+def window_spans(stretches: DataFrame, windows: int, length: int) -> DataFrame:
+    """Runs of repeated windows (``t``, ``n``, ``p``, ``m``: how many) among the places of each core.
+
+    ``stretches`` hold ``core``, the place and ``around``: the bytes that its windows have in the text.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    names = ["t", "n", "p", "m"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    width = windows + length - 1
+
+    def repeated(places, around):
+        """Which windows of which places of one core are met twice."""
+        of_byte, power, inverse = _tables()
+        hashes, step = np.empty((windows, len(places)), np.uint64), max(1, TABLE_CELLS // width)
+        n, p = (np.array([place[k] for place in places], np.int64) for k in (1, 2))
+        for at in range(0, len(places), step):
+            cells = np.zeros((len(places[at : at + step]), width), np.uint8)
+            for row, body, skip in zip(cells, around[at : at + step], np.maximum(-p[at : at + step], 0)):
+                row[skip : skip + len(body)] = np.frombuffer(body, np.uint8)
+            sums = np.zeros((len(cells), width + 1), np.uint64)
+            np.cumsum(of_byte[cells] * power[:width], axis=1, out=sums[:, 1:])
+            hashes[:, at : at + step] = ((sums[:, length:] - sums[:, :-length]) * inverse[:windows]).T
+        flags, step = np.zeros(hashes.shape, bool), max(1, TABLE_CELLS // len(places))
+        for at in range(0, windows, step):
+            first = p[None, :] + np.arange(at, min(at + step, windows))[:, None]
+            flags[at : at + step] = _met_twice(np, hashes[at : at + step], (first >= 0) & (first + length <= n))
+        return flags.T
+
+    def run(batches: Iterator) -> Iterator:
+        core, places, around = None, [], []
+
+        def spans():
+            flags = repeated(places, around)
+            edges = np.diff(np.pad(flags, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+            for (i, start), (_, stop) in zip(np.argwhere(edges == 1).tolist(), np.argwhere(edges == -1).tolist()):
+                t, n, p = places[i]
+                yield t, n, p + start, stop - start
+
+        def batch_of(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else ((),) * 4, types)], names)
+
+        for batch in batches:
+            out: list = []
+            for c, t, n, p, body in zip(*(batch.column(k).to_pylist() for k in ("core", *PLACE, "around"))):
+                if c != core:
+                    if places:
+                        out += spans()
+                    core, places, around = c, [], []
+                places.append((t, n, p))
+                around.append(body)
+            yield batch_of(out)
+        if places:
+            yield batch_of(list(spans()))
+
+    dealt = stretches.select("core", *PLACE, "around").repartition("core").sortWithinPartitions("core")
+    return dealt.mapInArrow(run, "t long, n int, p int, m int")
+
+
+def _met_twice(np, values, known):
+    """Flags of the known values that another known value of their row equals."""
+    order = np.argsort(values, axis=1)
+    ranked, known = np.take_along_axis(values, order, 1), np.take_along_axis(known, order, 1)
+    starts = np.ones(values.shape, bool)
+    starts[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    group = np.cumsum(starts.ravel()) - 1
+    known_in = np.bincount(group, weights=known.ravel())
+    flags = np.zeros(values.shape, bool)
+    np.put_along_axis(flags, order, known & (known_in[group].reshape(values.shape) > 1), 1)
+    return flags
+
+
 def classes(rows: DataFrame, copies: Column) -> DataFrame:
     """Equal entries as one row: how many there are, and the place of one of them."""
     one = [F.first(c).alias(c) for c in PLACE]
-    return rows.groupBy("core", "full").agg(F.sum(copies).alias("copies"), F.count("*").alias("sides"), *one)
+    return rows.groupBy("core", "full").agg(F.sum(copies).alias("copies"), *one)
 
 
 def open_cores(found: DataFrame) -> DataFrame:
@@ -196,19 +274,19 @@ class Family:
         name = f"array{self.made}"
         return name, self.stage.keep(name, rows.sortWithinPartitions("core", "full"))
 
-    def _found(self, scanned: DataFrame, long: Column) -> None:
-        self.repeated.append(self.stage.keep("repeated", scanned.filter(long).select("core", "full")))
+    def _found(self, scanned: DataFrame) -> None:
+        self.repeated.append(self.stage.keep("repeated", scanned.filter("copies > 1").select("core", "full")))
         self.open.append(self.stage.keep("open", open_cores(scanned)))
 
     def add(self, batch: DataFrame) -> None:
         """Scan the entries of a batch against all arrays, and merge arrays of equal size."""
         name, run = self._array(classes(batch, F.lit(1)))
-        self._found(run, F.col("copies") > 1)
+        self._found(run)
         size, others = 1, []
         for batches, other, array in self.arrays:
             both = classes(run.unionByName(array), F.col("copies"))
             scanned_name, scanned = self._array(both)
-            self._found(scanned, F.col("sides") > 1)
+            self._found(scanned)
             if batches == size:
                 self.stage.drop(name, other)
                 name, run, size = scanned_name, scanned, 2 * size
@@ -231,6 +309,11 @@ def _texts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     return named.groupBy("t", "n").agg(F.first("bytes").alias("bytes"))
 
 
+def _gathered(texts: DataFrame, places: DataFrame) -> DataFrame:
+    """The texts with their places."""
+    return texts.join(places.groupBy("t", "n").agg(F.collect_list(F.struct("core", "p")).alias("open")), ["t", "n"])
+
+
 def repeated_spans(
     docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, runs: tuple[int, ...] = RUNS, batches: int = BATCHES
 ) -> DataFrame:
@@ -245,22 +328,29 @@ def repeated_spans(
     for k in range(batches):
         family.add(every.filter(F.col("batch") == k).drop("batch"))
     windows = length - gram + 1
-    spans = [(every.join(_union_distinct(family.repeated), ["core", "full"], "left_semi"), windows)]
-    still_open = stage.keep("stretches", family.union().join(_union_distinct(family.open), "core", "left_semi").select("core", *PLACE))
+    whole = every.join(_union_distinct(family.repeated), ["core", "full"], "left_semi")
+    spans = [whole.select(*PLACE, F.lit(windows).alias("m"))]
+    still_open = family.union().join(_union_distinct(family.open), "core", "left_semi").select("core", *PLACE)
+    still_open = stage.keep("stretches", still_open)
     texts = stage.keep("texts", _texts(docs, text_col, still_open))
-    for run in runs:
-        gathered = still_open.groupBy("t", "n").agg(F.collect_list(F.struct("core", "p")).alias("open"))
-        rows = stage.keep("runs", split(texts.join(gathered, ["t", "n"]), windows, run, length))
+    many = stage.keep("many", still_open.groupBy("core").count().filter(F.col("count") > GROUP_ROWS).select("core"))
+    few = _gathered(texts, still_open.join(many, "core", "left_anti")).select("t", "n", "bytes", F.explode("open").alias("s"))
+    after = F.greatest(F.col("s.p"), F.lit(0))
+    around = F.substring("bytes", after + 1, F.col("s.p") + windows + length - 1 - after)
+    spans.append(stage.keep("few", window_spans(few.select("s.core", "t", "n", "s.p", around.alias("around")), windows, length)))
+    still_open = still_open.join(many, "core", "left_semi")
+    for run in runs if not many.isEmpty() else ():
+        rows = stage.keep("runs", split(_gathered(texts, still_open), windows, run, length))
         equal = stage.keep("classes", classes(rows, F.lit(1)))
-        spans.append((rows.join(equal.filter("copies > 1"), ["core", "full"], "left_semi"), run))
+        spans.append(rows.join(equal.filter("copies > 1"), ["core", "full"], "left_semi").select(*PLACE, F.lit(run).alias("m")))
         if run > 1:
             still_open = stage.keep("stretches", equal.join(open_cores(equal), "core", "left_semi").select("core", *PLACE))
             windows = run
     first, last = F.greatest(F.col("p"), F.lit(0)), F.col("p") + F.col("m") - 1 + length
-    placed = reduce(DataFrame.unionByName, [rows.select(*PLACE, F.lit(m).alias("m")) for rows, m in spans]).distinct()
+    placed = reduce(DataFrame.unionByName, spans).distinct()
     span = F.struct(first.alias("first"), F.least(last, F.col("n")).alias("last"))
     kept = stage.keep("spans", placed.groupBy("t", "n").agg(F.collect_list(span).alias("spans")))
-    stage.drop("entries", "repeated", "open", "stretches", "texts", "runs", "classes", *[name for _, name, _ in family.arrays])
+    stage.drop("entries", "repeated", "open", "stretches", "texts", "many", "few", "runs", "classes", *[name for _, name, _ in family.arrays])
     return kept
 
 

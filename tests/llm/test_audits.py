@@ -125,9 +125,11 @@ def passages(seed, alphabet="abc ", n=200):
     return [*rows, "a" * 500, "ab" * 300, None, "", rows[5], rows[5], "short", "short"]
 
 
-@pytest.mark.parametrize("batches", [1, 5])
-def test_removed_bytes_equal_brute_force(spark, monkeypatch, batches):
+@pytest.mark.parametrize("batches, group_rows", [(1, 1), (5, 4096), (2, 6)])
+def test_removed_bytes_equal_brute_force(spark, monkeypatch, batches, group_rows):
     monkeypatch.setattr(suffixes, "PIECE", 128)
+    monkeypatch.setattr(suffixes, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(suffixes, "TABLE_CELLS", 200)
     texts = passages(batches)
     docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
     got = suffixes.remove_repeats(docs, length=50, gram=19, runs=(8, 1), batches=batches).orderBy("doc_id").collect()
