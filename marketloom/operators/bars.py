@@ -103,7 +103,12 @@ def reaggregate(bars: DataFrame, width: str) -> DataFrame:
 
 
 def market_ohlc(ticks: DataFrame, wider: dict[str, str] | None = None) -> DataFrame:
-    """1h bars plus 4h and 1d bars rebuilt from them, one row per asset, bucket and timeframe.
+    """1h bars plus 4h and 1d bars rebuilt from them, one row per asset, bucket and timeframe."""
+    return widened(ohlc_1h(ticks), wider)
+
+
+def widened(hours: DataFrame, wider: dict[str, str] | None = None) -> DataFrame:
+    """Hourly bars with the wider ones made from them.
 
     The wide bars come from one pass over the hourly bars: each bar is repeated once per
     timeframe (a fixed, small number) and grouped with the timeframe as part of the key.
@@ -116,7 +121,7 @@ def market_ohlc(ticks: DataFrame, wider: dict[str, str] | None = None) -> DataFr
             for name, width in wider.items()
         ],
     ]
-    hours = ohlc_1h(ticks).withColumnRenamed("bucket_start", "hour_start")
+    hours = hours.withColumnRenamed("bucket_start", "hour_start")
     return (
         hours.withColumn("b", F.explode(F.array(*starts)))
         .groupBy("coin_id", F.col("b.bucket_start").alias("bucket_start"), F.col("b.timeframe").alias("timeframe"))
@@ -130,6 +135,46 @@ def market_ohlc(ticks: DataFrame, wider: dict[str, str] | None = None) -> DataFr
     )
 
 
+def hour_states(ticks: DataFrame) -> DataFrame:
+    """What is known of each asset and hour; states of other trades of the hour merge with it."""
+    return ticks.groupBy("coin_id", F.date_trunc("hour", "trade_time").alias("price_hour")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("price_usd").alias("n_prices"),
+        F.sum("price_usd").alias("price_sum"),
+        F.sum("quantity").alias("quantity"),
+        F.min("tick").alias("first_tick"),
+        F.max("tick").alias("last_tick"),
+        *ohlc_columns(),
+    )
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    return states.groupBy("coin_id", "price_hour").agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_prices", "price_sum", "quantity")],
+        F.min_by("open", "first_tick").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "last_tick").alias("close"),
+    )
+
+
+def hourly_of_states(states: DataFrame) -> DataFrame:
+    """As :func:`hourly_prices`, from merged states."""
+    return states.select(
+        "coin_id", "price_hour",
+        ratio(F.col("price_sum"), F.col("n_prices")).alias("avg_price"),
+        F.col("low").alias("min_price"), F.col("high").alias("max_price"),
+        F.col("open").alias("open_price"), F.col("close").alias("close_price"),
+        F.col("quantity").alias("total_quantity"), F.col("n").alias("trade_count"),
+    )
+
+
+def ohlc_of_states(states: DataFrame) -> DataFrame:
+    """As :func:`market_ohlc`, from merged states."""
+    hours = states.select("coin_id", F.col("price_hour").alias("bucket_start"), "open", "high", "low", "close", F.col("quantity").alias("volume"))
+    return widened(hours)
+
+
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 

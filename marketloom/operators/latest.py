@@ -27,14 +27,24 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
-def dedup_latest_fixed(df: DataFrame, keys: list[str], order: Column, columns: list[str]) -> DataFrame:
-    """As :func:`dedup_latest` for columns of fixed width and one number as order: a hash aggregate.
-
-    Neither the input nor the partial results are sorted. Rows that are equal in ``order`` must be
-    equal in ``columns``.
+def dedup_latest_fixed(df: DataFrame, keys: list[str], order: Column, tie: str, columns: list[str]) -> DataFrame:
+    """The row of each key with the greatest ``order``, then the greatest ``tie``, by hash aggregates alone.
+
+    ``order`` is one number; ``tie`` and ``columns`` have fixed width, so no input or partial result is
+    sorted. Rows are narrowed from the last criterion to the first: of equal order and tie the one with
+    the greatest hash of its columns, of equal order the one with the greatest tie (a null one is
+    least), of all the one with the greatest order. The result does not depend on the order of the
+    rows. One exchange on key and order serves the first two steps, and spreads the rows of a hot key;
+    the last one sends a row per key and task.
     """
-    best = [F.max_by(c, F.col("_order")).alias(c) for c in columns]
-    return df.withColumn("_order", order).groupBy(*keys).agg(*best, F.max("_order").alias("_order"))
+    hashed = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
+    by_order = [*keys, "_order"]
+    rows = df.withColumns({"_order": order, "_hash": hashed}).repartition(*by_order)
+    distinct = rows.groupBy(*by_order, tie).agg(*[F.max_by(c, "_hash").alias(c) for c in columns])
+    # Where no row has a tie-breaker there is one row left, so any aggregate gives it.
+    of_tie = lambda c: F.coalesce(F.max_by(c, tie), F.when(F.max(tie).isNull(), F.max(c))).alias(c)
+    top = distinct.groupBy(*by_order).agg(F.max(tie).alias(tie), *[of_tie(c) for c in columns])
+    return top.groupBy(*keys).agg(*[F.max_by(c, "_order").alias(c) for c in (tie, *columns)], F.max("_order").alias("_order"))
 
 
 def newest(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -1,27 +1,23 @@
 """Keyed upsert, incremental load and compaction on partitioned Parquet.
 
 Plain Parquet has no MERGE. An upsert rewrites only the partitions that the updates touch: the
-merged rows are written to a staged table in the shared folder first, then replace those
-partitions by dynamic overwrite, so no path is read and overwritten in the same job.
+merged rows are written to a table beside the target first, then replace those partitions by
+dynamic overwrite, so no path is read and overwritten in the same job. The table beside the target
+stays until the overwrite is complete; a run that finds one replays it before anything else, so a
+failure inside the overwrite loses no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketloom.operators.latest import newest_per_key
-from marketloom.session import drop_path, path_exists, scratch_path, staged
-
-# How far back of the last load time rows are taken again: writers that run side by side may
-# commit in another order than they stamped their rows.
-OVERLAP = timedelta(minutes=10)
+from marketloom.session import drop_beside, drop_path, path_exists, scratch_path, staged
 
+PENDING = "__pending"
 
 def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     """Rows after MERGE: matched keys take the update, other rows of both sides are kept."""
@@ -78,19 +74,27 @@ def upsert(
     if not path_exists(spark, path):
         write_table(updates, path, partition_by, sort_by, "errorifexists")
         return
-    staged_updates, staged_rows = scratch_path(spark, "updates"), scratch_path(spark, "merge")
+    recover(spark, path, partition_by, sort_by)
+    staged_updates = scratch_path(spark, "updates")
     updates.write.parquet(staged_updates)
     fresh = spark.read.schema(updates.schema).parquet(staged_updates)
     target = spark.read.schema(updates.schema).parquet(path)
-    touched = _touched(target, fresh, partition_by)
+    touched = touched_rows(target, fresh, partition_by)
     if touched is not None:
-        merged(touched, fresh, keys).write.parquet(staged_rows)
-        _replace_partitions(spark.read.schema(updates.schema).parquet(staged_rows), path, partition_by, sort_by)
-        drop_path(spark, staged_rows)
+        merged(touched, fresh, keys).write.mode("overwrite").parquet(path + PENDING)
+        recover(spark, path, partition_by, sort_by)
     drop_path(spark, staged_updates)
 
 
-def _touched(target: DataFrame, updates: DataFrame, partition_by: list[str]) -> DataFrame | None:
+def recover(spark: SparkSession, path: str, partition_by: list[str], sort_by: list[str] | None = None) -> None:
+    """Replace partitions by the rows that wait beside the table, if a run left any; a repeat changes nothing."""
+    pending = path + PENDING
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        _replace_partitions(spark.read.parquet(pending), path, partition_by, sort_by)
+    drop_beside(spark, path, PENDING)
+
+
+def touched_rows(target: DataFrame, updates: DataFrame, partition_by: list[str]) -> DataFrame | None:
     """Target rows of the partitions that occur in the updates; None when there are no updates.
 
     The values of each partition column, as many as the write makes directories, become a
@@ -148,67 +152,20 @@ def changed(source: DataFrame, target: DataFrame, keys: list[str], fingerprint:
 def around_changes(source: DataFrame, changes: DataFrame, series: list[str], order: str, reach: int) -> DataFrame:
     """Source rows from the first to the last change of each series, and ``reach`` rows on either side.
 
-    ``_rebuild`` marks the rows whose frames of ``reach`` earlier rows can hold a change.
+    ``_rebuild`` marks the rows whose frames of ``reach`` earlier rows can hold a change. One exchange
+    and one sort, for series that the calendar bounds.
     """
-    span = staged(changes.groupBy(*series).agg(F.min(order).alias("_first"), F.max(order).alias("_last")), "changes")
-    rows = source.join(span, series)
-    before = newest_per_key(rows.filter(F.col(order) < F.col("_first")), series, [F.col(order).desc()], reach)
-    after = newest_per_key(rows.filter(F.col(order) > F.col("_last")), series, [F.col(order).asc()], reach)
-    within = rows.filter(F.col(order).between(F.col("_first"), F.col("_last")))
-    every = before.unionByName(within).unionByName(after)
-    return every.withColumn("_rebuild", F.col(order) >= F.col("_first")).drop("_first", "_last")
-
-
-def refresh_touched(
-    spark: SparkSession,
-    path: str,
-    source: DataFrame,
-    build: Callable[[DataFrame], DataFrame],
-    period: dict[str, Column],
-    start: str,
-    not_before: Callable[[Column], Column],
-    loaded: Column,
-    keys: list[str],
-    partition_by: list[str],
-    sort_by: list[str] | None = None,
-    load_day: str | None = None,
-    overlap: timedelta = OVERLAP,
-) -> None:
-    """Rebuild exactly the periods that newly loaded rows fall into, late rows included.
-
-    ``loaded`` is the time at which a source row was written. Every built row stores the load
-    time it was built through; the next run takes the rows loaded since, those of the last load
-    time and of ``overlap`` before it again, because a repeat rebuilds the same periods from all
-    their rows and changes nothing. ``load_day`` names the partition column with the day of
-    ``loaded``, which lets both reads skip directories. ``start`` names the period column that
-    holds its first instant, and ``not_before`` turns the earliest one into a source filter.
-    """
-    names = [f"_p_{n}" for n in period]
-
-    def since(rows: DataFrame, time) -> DataFrame:
-        return rows if load_day is None else rows.filter(F.col(load_day) >= F.to_date(F.lit(time)))
-
-    def built(rows: DataFrame, through) -> DataFrame:
-        return build(rows).withColumn("loaded_through", F.lit(through).cast("timestamp"))
-
-    seen = None
-    if path_exists(spark, path):
-        seen = spark.read.parquet(path).agg(F.max("loaded_through").alias("t")).first()["t"]
-    if seen is None:
-        through = source.agg(F.max(loaded).alias("t")).first()["t"]
-        write_table(built(source, through), path, partition_by, sort_by)
-        return
-    new = since(source, seen - overlap).filter(loaded >= F.lit(seen - overlap))
-    touched = new.groupBy(*[c.alias(f"_p_{n}") for n, c in period.items()]).agg(F.max(loaded).alias("_loaded"))
-    touched = staged(touched, "touched")
-    latest = touched.agg(F.min(f"_p_{start}").alias("earliest"), F.max("_loaded").alias("through")).first()
-    if latest["earliest"] is None:
-        return
-    # A row is loaded after its trade, so older load days hold nothing of the touched periods.
-    marked = since(source, latest["earliest"]).filter(not_before(F.lit(latest["earliest"])))
-    marked = marked.withColumns({f"_p_{n}": c for n, c in period.items()})
-    rows = marked.join(touched.drop("_loaded"), names, "left_semi").drop(*names)
-    upsert(spark, path, built(rows, max(seen, latest["through"])), keys, partition_by, sort_by)
+    span = changes.groupBy(*series).agg(F.min(order).alias("_first"), F.max(order).alias("_last"))
+    whole = Window.partitionBy(*series)
+    counted = source.join(span, series).withColumns(
+        {
+            "_at": F.row_number().over(whole.orderBy(order)),
+            "_before": F.count(F.when(F.col(order) < F.col("_first"), 1)).over(whole),
+            "_through": F.count(F.when(F.col(order) <= F.col("_last"), 1)).over(whole),
+        }
+    )
+    near = counted.filter((F.col("_at") > F.col("_before") - reach) & (F.col("_at") <= F.col("_through") + reach))
+    return near.withColumn("_rebuild", F.col(order) >= F.col("_first")).drop("_first", "_last", "_at", "_before", "_through")
 
 
 def compact(
@@ -222,13 +179,12 @@ def compact(
 
     The counts come from a listing as a table, one row per file; no data is read for them.
     """
+    recover(spark, path, partition_by, sort_by)
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     counts = staged(listing.groupBy(*partition_by).agg(F.count("path").alias("files")), "file-counts")
     table = spark.read.parquet(path)
-    crowded = _touched(table, counts.filter(F.col("files") >= min_input_files), partition_by)
+    crowded = touched_rows(table, counts.filter(F.col("files") >= min_input_files), partition_by)
     if crowded is not None:
-        kept = scratch_path(spark, "compact")
-        crowded.write.parquet(kept)
-        _replace_partitions(spark.read.schema(table.schema).parquet(kept), path, partition_by, sort_by)
-        drop_path(spark, kept)
+        crowded.write.mode("overwrite").parquet(path + PENDING)
+        recover(spark, path, partition_by, sort_by)
     return counts

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from marketloom.functions.labels import contrarian_signal, sentiment_score, trend_signal
 from marketloom.functions.numbers import pct_change, share_pct
-from marketloom.functions.times import calendar_columns, ms_to_date
-from marketloom.operators.bars import hourly_prices, market_ohlc, trade_ticks
+from marketloom.functions.times import calendar_columns
 from marketloom.operators.latest import newest, newest_per_key, rank_recency
-from marketloom.operators.merge import around_changes, changed, refresh_touched, upsert, write_table
+from marketloom.operators.merge import around_changes, changed, recover, upsert, write_table
 from marketloom.operators.series import rolling
-from marketloom.session import path_exists, staged
+from marketloom.session import drop_beside, path_exists, staged
 
 FACT_KEY = ["coin_id", "price_date"]
 LOOKBACK_ROWS = 29
+DIGESTS = "__digests"
 
 ROLLING = {
     "moving_avg_7d": ("avg", "price_usd", 7),
@@ -167,8 +167,18 @@ def fact_market_daily(
 
 
 def source_hash() -> Column:
-    """What a fact row takes from its own day; its frames take the same from earlier days."""
-    return F.xxhash64("price_usd", "market_cap_usd", "volume_24h_usd", "fear_greed_value", "market_sentiment")
+    """What a fact row takes from its own day; its frames take the same from earlier days.
+
+    The hash passes over nulls, so which inputs are null is hashed too.
+    """
+    inputs = ["price_usd", "market_cap_usd", "volume_24h_usd", "fear_greed_value", "market_sentiment"]
+    return F.xxhash64(*inputs, *[F.col(c).isNull() for c in inputs])
+
+
+def month_digests(inputs: DataFrame) -> DataFrame:
+    """One digest for all days of an asset in a month, from rows with ``price_month`` and ``source_hash``."""
+    day = F.xxhash64("price_date", "source_hash")
+    return inputs.groupBy("coin_id", "price_month").agg(F.bit_xor(day).alias("digest"), F.sum(F.shiftright(day, 8)).alias("total"), F.count("*").alias("days"))
 
 
 def _fact_rows(prices: DataFrame, sentiment: DataFrame | None, signal_mode: str) -> DataFrame:
@@ -176,82 +186,60 @@ def _fact_rows(prices: DataFrame, sentiment: DataFrame | None, signal_mode: str)
     return fact.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
 
 
+def _inputs(prices: DataFrame, sentiment: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The price rows, and what the fact takes from each day with its hash and month."""
+    rows = prices.select("coin_id", "price_date", "price_usd", "market_cap_usd", "volume_24h_usd")
+    if sentiment is None:
+        none = {"fear_greed_value": F.lit(None).cast("int"), "market_sentiment": F.lit(None).cast("string")}
+        inputs = rows.withColumns(none)
+    else:
+        inputs = int_market_enriched(rows, sentiment)
+    return rows, inputs.select(*FACT_KEY, F.date_format("price_date", "yyyy-MM").alias("price_month"), source_hash().alias("source_hash"))
+
+
 def load_fact(
     spark: SparkSession, path: str, prices: DataFrame, sentiment: DataFrame | None = None, signal_mode: str = "tri"
 ) -> None:
     """Incremental fact load whose result equals a full refresh.
 
-    Days whose inputs differ from those that the stored fact was built from (new, late or
-    restated prices of any asset, new or changed sentiment) are found by their fingerprints, which
-    reads keys and hashes only. Each asset is rebuilt from its first changed day to 29 rows after
-    its last one, with the 29 rows before for the frames. Rows never leave silver, so none leave
-    the fact; ``refresh_fact`` drops rows.
+    A small table beside the fact holds a digest for each asset and month of what the fact was built
+    from. Only months whose digest differs are read from the fact, and their days compared by hash, so
+    new, late or restated prices of any asset and new or changed sentiment are all found. Each asset
+    is rebuilt from its first changed day to 29 rows after its last one, with the 29 rows before for
+    the frames. Digests are written last: after a failure the same months are compared again. Rows
+    never leave silver, so none leave the fact; ``refresh_fact`` drops rows.
     """
     if not path_exists(spark, path):
         refresh_fact(path, prices, sentiment, signal_mode)
         return
-    columns = ["coin_id", "price_date", "price_usd", "market_cap_usd", "volume_24h_usd"]
-    rows = prices.select(*columns)
-    if sentiment is None:
-        none = {"fear_greed_value": F.lit(None).cast("int"), "market_sentiment": F.lit(None).cast("string")}
-        inputs = rows.withColumns(none)
-    else:
-        inputs = int_market_enriched(rows, sentiment)
-    stored = spark.read.parquet(path)
-    changes = changed(inputs.withColumn("source_hash", source_hash()), stored, FACT_KEY, "source_hash")
+    recover(spark, path, ["price_month"], FACT_KEY)
+    rows, inputs = _inputs(prices, sentiment)
+    digests = staged(month_digests(inputs), "digests")
+    differing = digests
+    if path_exists(spark, path + DIGESTS):
+        known = spark.read.parquet(path + DIGESTS).select(*[F.col(c).alias(f"_{c}") for c in digests.columns])
+        differing = digests.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in digests.columns], "left_anti")
+    differing = staged(differing.select("coin_id", "price_month"), "differing")
+    months = [r[0] for r in differing.select("price_month").distinct().collect()]  # the calendar bounds them
+    if not months:
+        return
+    within = F.col("price_month").isin(months)
+    stored = spark.read.parquet(path).filter(within).select(*FACT_KEY, "source_hash")
+    compared = inputs.filter(within).join(differing, ["coin_id", "price_month"], "left_semi")
+    changes = staged(changed(compared, stored, FACT_KEY, "source_hash"), "changes")
     needed = staged(around_changes(rows, changes, ["coin_id"], "price_date", LOOKBACK_ROWS), "fact-rows")
     fresh = _fact_rows(needed.drop("_rebuild"), sentiment, signal_mode)
     upsert(
         spark, path, fresh.join(needed.filter("_rebuild").select(*FACT_KEY), FACT_KEY, "left_semi"),
-        FACT_KEY, ["price_month"], ["coin_id", "price_date"],
-    )
+        FACT_KEY, ["price_month"], FACT_KEY,
+    )
+    write_table(digests, path + DIGESTS, [])
 
 
 def refresh_fact(path: str, prices: DataFrame, sentiment: DataFrame | None = None, signal_mode: str = "tri") -> None:
-    write_table(_fact_rows(prices, sentiment, signal_mode), path, ["price_month"], ["coin_id", "price_date"])
-
-
-def _loads(trades: DataFrame) -> dict:
-    """When rows were written: the writer's stamp and its day partition where the table has them.
-
-    The producer's own time is whole seconds and may run behind, so it is only the substitute.
-    """
-    stamp = "_spark_ingested_at"
-    return {
-        "loaded": F.col(stamp).cast("timestamp") if stamp in trades.columns else F.to_timestamp("ingested_at"),
-        "load_day": "ingest_date" if "ingest_date" in trades.columns else None,
-    }
-
-
-def _traded_from(start: Column) -> Column:
-    return F.col("trade_time_ms") >= F.unix_millis(start.cast("timestamp"))
-
-
-def load_hourly(spark: SparkSession, path: str, trades: DataFrame) -> None:
-    """Rebuild the (asset, hour) groups that newly ingested trades fall into, late ones included."""
-
-    def build(rows: DataFrame) -> DataFrame:
-        return hourly_prices(trade_ticks(rows)).withColumn("price_day", F.to_date("price_hour"))
-
-    hour = F.date_trunc("hour", F.timestamp_millis("trade_time_ms"))
-    refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "hour": hour}, "hour", _traded_from,
-        keys=["coin_id", "price_hour"], partition_by=["price_day"], sort_by=["coin_id", "price_hour"], **_loads(trades),
-    )
-
-
-def load_ohlc(spark: SparkSession, path: str, trades: DataFrame) -> None:
-    """1h, 4h and 1d bars of the (asset, day) groups that newly ingested trades fall into."""
-
-    def build(rows: DataFrame) -> DataFrame:
-        return market_ohlc(trade_ticks(rows)).withColumn("bucket_day", F.to_date("bucket_start"))
-
-    day = ms_to_date(F.col("trade_time_ms"))
-    refresh_touched(
-        spark, path, trades, build, {"coin_id": F.col("coin_id"), "day": day}, "day", _traded_from,
-        keys=["coin_id", "bucket_start", "timeframe"], partition_by=["timeframe", "bucket_day"],
-        sort_by=["coin_id", "bucket_start"], **_loads(trades),
-    )
+    drop_beside(prices.sparkSession, path, DIGESTS)
+    write_table(_fact_rows(prices, sentiment, signal_mode), path, ["price_month"], FACT_KEY)
+    write_table(month_digests(_inputs(prices, sentiment)[1]), path + DIGESTS, [])
 
 
 def range_ranking(dim: DataFrame) -> DataFrame:

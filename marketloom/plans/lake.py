@@ -9,6 +9,7 @@ from marketloom.operators.merge import write_table
 from marketloom.plans import gold, quality, silver
 from marketloom.session import staged
 from marketloom.sources.scan import read_optional
+from marketloom.streaming import loads
 
 SILVER_PRICES, SILVER_SENTIMENT = "silver/daily_prices", "silver/fear_greed"
 DIM_COINS, DIM_DATES = "gold/dim_coins", "gold/dim_dates"
@@ -21,11 +22,13 @@ def load(
     root: str,
     prices: DataFrame,
     sentiment: DataFrame,
-    trades: DataFrame | None,
+    trades: str | None,
     as_of: Column,
 ) -> None:
     """Merge new bronze rows into silver, refresh the dimensions and extend the facts.
 
+    ``trades`` is the path of the bronze trade table, of which only unread files are read.
+
     Each layer reads the written tables of the one before, so a lost executor repeats one layer
     at most and the planner knows the sizes of what it joins.
     """
@@ -39,8 +42,8 @@ def load(
     write_table(gold.dim_dates(table(SILVER_PRICES)), f"{root}/{DIM_DATES}", [])
     gold.load_fact(spark, f"{root}/{FACT}", table(SILVER_PRICES), table(SILVER_SENTIMENT))
     if trades is not None:
-        gold.load_hourly(spark, f"{root}/{HOURLY}", trades)
-        gold.load_ohlc(spark, f"{root}/{OHLC}", trades)
+        loads.load_hourly(spark, f"{root}/{HOURLY}", trades)
+        loads.load_ohlc(spark, f"{root}/{OHLC}", trades)
 
 
 def _store(rows: DataFrame, path: str, as_of: Column) -> None:

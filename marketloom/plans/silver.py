@@ -28,8 +28,8 @@ def _load_order(step: int) -> Column:
 def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Latest ingested price per asset and day, positive prices only, non-positive measures to NULL.
 
-    The ISO ingestion time is parsed, so differing offsets still order rightly; the price itself
-    breaks ties.
+    The ISO ingestion time is parsed, so differing offsets still order rightly; rows of one load
+    time are ordered by their time of day, then by price.
     """
     dated = bronze.select(
         "coin_id",
@@ -40,11 +40,8 @@ def daily_prices(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
         "volume_24h_usd",
         F.to_timestamp("_ingested_at").alias("ingested"),
     )
-    # One number: load time, time of day, price to four decimals.
-    price = F.coalesce(F.greatest(F.lit(0.0), F.least(F.col("price_usd"), F.lit(9.9e9))), F.lit(0.0))
-    order = (_load_order(DAY_MS) + F.pmod("timestamp_ms", F.lit(DAY_MS))) * F.lit(10**14).cast("decimal(15,0)")
-    order = order + F.floor(price * 10_000).cast("decimal(15,0)")
-    latest = dedup_latest_fixed(dated, PRICE_KEY, order, ["price_usd", "market_cap_usd", "volume_24h_usd"])
+    order = _load_order(DAY_MS) + F.pmod("timestamp_ms", F.lit(DAY_MS))
+    latest = dedup_latest_fixed(dated, PRICE_KEY, order, "price_usd", ["market_cap_usd", "volume_24h_usd"])
     cleaned = latest.filter(F.col("price_usd") > 0).select(
         "coin_id",
         "price_date",
@@ -64,11 +61,12 @@ def daily_sentiment(bronze: DataFrame, as_of: Column | None = None) -> DataFrame
         "classification",
         F.to_timestamp("_ingested_at").alias("ingested"),
     )
-    order = (_load_order(DAY_S) + F.pmod("timestamp", F.lit(DAY_S))) * F.lit(10**4).cast("decimal(5,0)") + F.col("value")
-    # The class has no fixed width, so it is part of a first key; a day has few classes left then.
-    classes = dedup_latest_fixed(dated, [*SENTIMENT_KEY, "classification"], order, ["value"])
-    newest = classes.groupBy(*SENTIMENT_KEY).agg(F.max("_order").alias("_order"))
-    latest = classes.join(newest, [*SENTIMENT_KEY, "_order"]).dropDuplicates(SENTIMENT_KEY)
+    order = _load_order(DAY_S) + F.pmod("timestamp", F.lit(DAY_S))
+    # The class has no fixed width: its hash goes through the aggregates, and finds it again at the end.
+    hashed = dated.withColumn("_class", F.xxhash64("classification"))
+    latest = dedup_latest_fixed(hashed, SENTIMENT_KEY, order, "value", ["_class"])
+    classes = hashed.select(F.col("_class").alias("_of"), F.col("classification").alias("_name")).distinct()
+    latest = latest.join(classes.hint("shuffle_hash"), F.col("_class") == F.col("_of")).withColumn("classification", F.col("_name"))
     return _stamped(latest.select(F.col("value").alias("fear_greed_value"), "classification", "index_date"), as_of)
 
 

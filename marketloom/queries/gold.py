@@ -51,6 +51,20 @@ def silver_prices(spark, sf):
     return common.prices(spark, sf)
 
 
+@query(
+    "m1_w1_ties_and_small_prices",
+    """SELECT coin_id, price_date, max(p) AS price_usd, arg_max(m, p) AS market_cap_usd, arg_max(v, p) AS volume_24h_usd FROM
+ (SELECT coin_id, CAST(make_timestamp(timestamp_ms * 1000) AS DATE) AS price_date, CASE WHEN market_cap_usd < 3000 THEN -price_usd ELSE price_usd / 1e9 END AS p,
+ CASE WHEN market_cap_usd > 0 THEN market_cap_usd END AS m, CASE WHEN volume_24h_usd > 0 THEN volume_24h_usd END AS v FROM hist)
+ GROUP BY 1, 2 HAVING max(p) > 0""",
+)
+def ties_and_small_prices(spark, sf):
+    """All rows of one load: the price decides, however small, and no negative one hides a day."""
+    rows = stand_ins.bronze_prices(spark, sf)
+    price = F.when(F.col("market_cap_usd") < 3000, -F.col("price_usd")).otherwise(F.col("price_usd") / 1e9)
+    return silver.daily_prices(rows.withColumns({"price_usd": price, "_ingested_at": F.lit("2024-01-02T00:00:00+00:00")}))
+
+
 @query("m2_w1_silver_sentiment", "SELECT * FROM s_sent")
 def silver_sentiment(spark, sf):
     return common.sentiment(spark, sf)

@@ -15,6 +15,7 @@ from marketloom.queries.registry import query
 from marketloom.schemas import BRONZE_PRICES
 from marketloom.session import scratch_path, staged
 from marketloom.sources import ingest, payloads, scan, stand_ins, trades
+from marketloom.streaming import loads
 
 # The usable messages of the stand-in topic, restated over the events.
 _USABLE = "user_id % 10 <> 3 AND user_id % 11 <> 5 AND (user_id % 13 <> 12 OR user_id % 7 = 6)"
@@ -190,7 +191,7 @@ def upsert_prices(spark, sf):
 def incremental_fact(spark, sf):
     """Three incremental loads must equal the full refresh."""
     path = scratch_path(spark, "fact")
-    prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
+    prices, sentiment = staged(common.prices(spark, sf), "prices"), staged(common.sentiment(spark, sf), "sentiment")
     for end in ("2001-07-01", "2001-07-15", "2002-01-01"):
         gold.load_fact(spark, path, prices.filter(F.col("price_date") < F.lit(end).cast("date")), sentiment)
     return spark.read.parquet(path).drop("price_month", "source_hash")
@@ -241,35 +242,77 @@ _HOURLY = """SELECT coin_id, price_hour, round(avg_price, 9) AS avg_price, min_p
  total_quantity, trade_count FROM hourly"""
 
 
+def _hourly(spark, *arrivals):
+    """The hourly table after one load of each batch of arriving rows, appended to one bronze table."""
+    path, bronze = scratch_path(spark, "hourly"), scratch_path(spark, "bronze")
+    for rows in arrivals:
+        ingest.append(rows, bronze, ["ingest_date"])
+        loads.load_hourly(spark, path, bronze)
+    return common.rounded(spark.read.parquet(path).drop("price_day"), 9, "avg_price")
+
+
+def _stamped(rows, stamp):
+    return rows.withColumns({"_spark_ingested_at": stamp, "ingest_date": F.to_date(stamp)})
+
+
 @query("s19_equal_load_second", _HOURLY)
 def equal_load_second(spark, sf):
     """Three loads whose rows all carry the same write stamp, from a table partitioned by ingest day."""
-    path, bronze = scratch_path(spark, "hourly"), scratch_path(spark, "bronze")
-    stamp = F.lit("2024-02-02 00:00:00").cast("timestamp")
-    rows = stand_ins.bronze_trades(spark, sf).withColumns({"_spark_ingested_at": stamp, "ingest_date": F.to_date(stamp)})
-    for part in range(3):
-        arrived = rows.filter(F.pmod(F.xxhash64("trade_time_ms"), F.lit(3)) == part)
-        ingest.append(arrived, bronze, ["ingest_date"])
-        gold.load_hourly(spark, path, spark.read.parquet(bronze))
-    return common.rounded(spark.read.parquet(path).drop("price_day", "loaded_through"), 9, "avg_price")
+    rows = _stamped(stand_ins.bronze_trades(spark, sf), F.lit("2024-02-02 00:00:00").cast("timestamp"))
+    third = F.pmod(F.xxhash64("trade_time_ms"), F.lit(3))
+    return _hourly(spark, *[rows.filter(third == part) for part in range(3)])
 
 
-@query(
-    "s19_x10_incremental_hourly",
-    """SELECT coin_id, price_hour, round(avg_price, 9) AS avg_price, min_price, max_price, open_price, close_price,
- total_quantity, trade_count FROM hourly""",
-)
+@query("s19_x10_incremental_hourly", _HOURLY)
 def incremental_hourly(spark, sf):
     """Two loads; the second brings late trades for hours that were already built."""
-    path = scratch_path(spark, "hourly")
+    rows, late = stand_ins.bronze_trades(spark, sf), F.col("quantity") > 90
+    day = lambda d: F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp")
+    return _hourly(spark, _stamped(rows.filter(~late), day(1)), _stamped(rows.filter(late), day(2)))
+
+
+@query("s19_late_commit", _HOURLY)
+def late_commit(spark, sf):
+    """A long job commits rows hours after it stamped them, when later stamps have been loaded."""
+    rows = stand_ins.bronze_trades(spark, sf)
+    slow = F.pmod(F.xxhash64("trade_time_ms", "price_usd"), F.lit(7)) == 0
+    early, noon = (F.lit(f"2024-02-02 {h}:00:00").cast("timestamp") for h in ("03", "12"))
+    return _hourly(spark, _stamped(rows.filter(~slow), noon), _stamped(rows.filter(slow), early))
+
+
+@query("s19_clock_skew", _HOURLY)
+def clock_skew(spark, sf):
+    """Writers whose clocks run behind stamp rows with a day before their trades."""
     rows = stand_ins.bronze_trades(spark, sf)
-    late = F.col("quantity") > 90
-    loaded = F.when(late, F.lit("2024-02-02T00:00:00+00:00")).otherwise(F.lit("2024-02-01T00:00:00+00:00"))
-    rows = rows.withColumn("ingested_at", loaded)
-    gold.load_hourly(spark, path, rows.filter(~late))
-    gold.load_hourly(spark, path, rows)
-    table = spark.read.parquet(path).drop("price_day", "loaded_through")
-    return common.rounded(table, 9, "avg_price")
+    behind = F.pmod(F.xxhash64("trade_time_ms", "quantity"), F.lit(3)) == 0
+    traded = F.timestamp_millis("trade_time_ms")
+    return _hourly(spark, _stamped(rows.filter(behind), traded - F.expr("interval 2 days")), _stamped(rows.filter(~behind), traded))
+
+
+@query("m12_s16_incremental_ohlc", "SELECT * FROM ohlc")
+def incremental_ohlc(spark, sf):
+    """Four loads in mixed order, each in micro-batches of one file, and a load that finds nothing new."""
+    path, bronze = scratch_path(spark, "ohlc"), scratch_path(spark, "bronze")
+    rows = stand_ins.bronze_trades(spark, sf).withColumn("ingest_date", F.lit("2024-02-02").cast("date"))
+    for part in (2, 0, 3, 1):
+        ingest.append(rows.filter(F.pmod(F.xxhash64("trade_time_ms"), F.lit(4)) == part), bronze, ["ingest_date"])
+        loads.load_ohlc(spark, path, bronze, max_files=4)
+    loads.load_ohlc(spark, path, bronze)
+    return spark.read.parquet(path).drop("bucket_day")
+
+
+@query("s19_value_moves_column", "SELECT * FROM fact")
+def value_moves_column(spark, sf):
+    """A measure that was loaded into the wrong one of two nullable columns is put right."""
+    prices, sentiment = common.prices(spark, sf), common.sentiment(spark, sf)
+    only = F.col("volume_24h_usd").isNull() | F.col("market_cap_usd").isNull()
+    swapped = prices.withColumns(
+        {
+            "market_cap_usd": F.when(only, F.col("volume_24h_usd")).otherwise(F.col("market_cap_usd")),
+            "volume_24h_usd": F.when(only, F.col("market_cap_usd")).otherwise(F.col("volume_24h_usd")),
+        }
+    )
+    return _loaded_fact(spark, (swapped, sentiment), (prices, sentiment))
 
 
 @query("s20_s21_full_refresh_fact", "SELECT * FROM fact")

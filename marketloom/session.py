@@ -103,6 +103,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def drop_beside(spark: SparkSession, path: str, suffix: str) -> None:
+    """Delete the side table ``path + suffix`` of a table; suffixes begin with two underscores."""
+    if not suffix.startswith("__"):
+        raise ValueError(f"{suffix} does not name a side table")
+    hpath, fs = _hadoop_path(spark, path + suffix)
+    fs.delete(hpath, True)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staged table made by :func:`scratch_path`."""
     if not path.startswith(work_root(spark)):

@@ -3,14 +3,18 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from marketloom.functions import labels
+from marketloom.operators import merge
 from marketloom.plans import dashboard, gold, serving, silver
 from marketloom.queries import common
 from marketloom.session import scratch_path
+from marketloom.streaming import loads
 
 DAY = dt.date(2024, 1, 1)
+SENTIMENT = "value int, classification string, timestamp long, time_until_update string, _ingested_at string, _source string"
 
 
 def bronze(spark, data):
@@ -35,14 +39,27 @@ def test_latest_ingest_wins_across_offsets(spark):
     assert [tuple(r) for r in rows] == [("a", DAY, 2.0, 7.0, None)]
 
 
+@pytest.mark.parametrize("low, high", [(-1.0, 0.00005), (0.00001, 0.00002), (None, 1e300), (2.0, 2.0)])
+def test_ties_do_not_depend_on_the_order_of_rows(spark, low, high):
+    rows = [("a", 1704067200000, p, m, None, "2024-01-02T00:00:00+00:00", "x") for p, m in ((low, 5.0), (high, 7.0), (high, None), (low, None))]
+    got = {tuple(silver.daily_prices(bronze(spark, order).coalesce(1)).collect()) for order in (rows, rows[::-1], rows[2:] + rows[:2])}
+    assert len(got) == 1 and got.pop()[0].price_usd == high
+
+
+def test_keep_latest_sorts_nothing(spark):
+    plans = [silver.daily_prices(bronze(spark, [])), silver.daily_sentiment(spark.createDataFrame([], SENTIMENT))]
+    for plan in plans:
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in text and "Sort [" not in text
+
+
 def test_two_readings_of_one_day_make_one_row(spark):
-    schema = "value int, classification string, timestamp long, time_until_update string, _ingested_at string, _source string"
     df = spark.createDataFrame(
         [
             (10, "Extreme Fear", 1704067200, None, "2024-01-01T00:00:00+00:00", "x"),
             (90, "Extreme Greed", 1704070800, None, "2024-01-01T02:00:00+00:00", "x"),
         ],
-        schema,
+        SENTIMENT,
     )
     assert [tuple(r) for r in silver.daily_sentiment(df).collect()] == [(90, "Extreme Greed", DAY)]
 
@@ -94,31 +111,60 @@ def test_lagging_restated_and_late_days_reach_the_fact(spark):
     assert loaded.exceptAll(full).count() == 0 and full.exceptAll(loaded).count() == 0
 
 
-def test_trades_of_the_last_load_second_are_not_lost(spark, rows):
-    schema = "coin_id string, trade_time_ms long, price_usd double, quantity double, _spark_ingested_at timestamp, ingest_date date"
-    stamp = dt.datetime(2024, 1, 2, 3, 4, 5)
-    data = [("a", i * 1000, 10.0 + i, 1.0, stamp - dt.timedelta(seconds=int(i == 2)), stamp.date()) for i in range(3)]
-    path = scratch_path(spark, "hourly")
-    for n in (1, 2, 3, 3):
-        gold.load_hourly(spark, path, spark.createDataFrame(data[:n], schema))
-    assert rows(spark.read.parquet(path), "open_price", "close_price", "trade_count") == [(10.0, 12.0, 3)]
+TRADES = "coin_id string, trade_time_ms long, price_usd double, quantity double, ingested_at string"
+
+
+def _arrive(spark, bronze, data):
+    spark.createDataFrame(data, TRADES).coalesce(1).write.mode("append").parquet(bronze)
 
 
 def test_late_trades_reach_closed_bars(spark, rows):
-    schema = "coin_id string, trade_time_ms long, price_usd double, quantity double, ingested_at string"
-    first = [("a", 0, 10.0, 1.0, "2024-01-01T00:00:00+00:00"), ("a", 90_000_000, 20.0, 1.0, "2024-01-01T00:00:00+00:00")]
-    late = [("a", 1000, 5.0, 1.0, "2024-01-03T00:00:00+00:00")]
-    path, wide = scratch_path(spark, "hourly"), scratch_path(spark, "ohlc")
-    for data in (first, first + late, first + late):
-        df = spark.createDataFrame(data, schema)
-        gold.load_hourly(spark, path, df)
-        gold.load_ohlc(spark, wide, df)
-    got = rows(spark.read.parquet(path), "min_price", "close_price", "trade_count")
+    first = [("a", 0, 10.0, 1.0, "x"), ("a", 90_000_000, 20.0, 1.0, "x"), ("a", None, 7.0, 1.0, "x")]
+    late = [("a", 1000, 5.0, 1.0, "x")]
+    bronze, path, wide = (scratch_path(spark, n) for n in ("bronze", "hourly", "ohlc"))
+    loads.load_hourly(spark, path, bronze)  # no table yet
+    for data in (first, late, []):
+        _arrive(spark, bronze, data)
+        loads.load_hourly(spark, path, bronze)
+        loads.load_ohlc(spark, wide, bronze)
+    got = rows(spark.read.parquet(path).filter("price_hour IS NOT NULL"), "min_price", "close_price", "trade_count")
     assert got == [(20.0, 20.0, 1), (5.0, 5.0, 2)]
     bars = rows(spark.read.parquet(wide).filter("low = 5.0"), "timeframe", "open", "close")
     assert bars == [("1d", 10.0, 5.0), ("1h", 10.0, 5.0), ("4h", 10.0, 5.0)]
 
 
+@pytest.mark.parametrize("step", ["upsert", "_replace_partitions"])
+def test_a_load_that_fails_is_repeated_without_loss(spark, rows, monkeypatch, step):
+    bronze, path = scratch_path(spark, "bronze"), scratch_path(spark, "hourly")
+    _arrive(spark, bronze, [("a", 0, 10.0, 1.0, "x"), ("b", 0, 1.0, 1.0, "x")])
+    loads.load_hourly(spark, path, bronze)
+    _arrive(spark, bronze, [("a", 1000, 11.0, 1.0, "x")])
+
+    def fail(*args):
+        if step == "_replace_partitions":  # inside the overwrite: the old rows are gone already
+            merge.drop_path(spark, f"{path}/price_day=1970-01-01")
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loads if step == "upsert" else merge, step, fail)
+        with pytest.raises(StreamingQueryException):
+            loads.load_hourly(spark, path, bronze)
+    loads.load_hourly(spark, path, bronze)
+    assert rows(spark.read.parquet(path), "coin_id", "open_price", "close_price", "trade_count") == [("a", 10.0, 11.0, 2), ("b", 1.0, 1.0, 1)]
+
+
+def test_only_months_that_differ_are_read_again(spark, rows):
+    path = scratch_path(spark, "fact")
+    days = [("a", d, 10.0 + d) for d in range(70)]
+    gold.load_fact(spark, path, _daily(spark, days), _index(spark, []))
+    files = lambda: {f.rsplit("/", 1)[1] for f in spark.read.parquet(path).filter("price_month < '1970-03'").inputFiles()}
+    before = files()
+    gold.load_fact(spark, path, _daily(spark, days), _index(spark, []))
+    gold.load_fact(spark, path, _daily(spark, [*days[:-1], ("a", 69, 1.0)]), _index(spark, []))
+    assert len(before & files()) > 0
+    assert spark.read.parquet(path).agg(F.min("price_usd")).first()[0] == 1.0
+
+
 def test_labels_at_their_limits(spark):
     df = spark.createDataFrame([(24,), (25,), (44,), (45,), (54,), (55,), (74,), (75,), (None,)], "v int")
     got = [r[0] for r in df.select(labels.sentiment_band(F.col("v"))).collect()]

@@ -6,19 +6,19 @@ from pyspark.sql import functions as F
 
 from marketloom.plans import gold, lake, quality, serving
 from marketloom.queries import common
-from marketloom.session import scratch_path
+from marketloom.session import scratch_path, staged
 from marketloom.sources import stand_ins
 
 
 def test_two_days_of_runs(spark, sf):
     root = scratch_path(spark, "lake")
     prices, sentiment = stand_ins.bronze_prices(spark, sf), stand_ins.bronze_sentiment(spark, sf)
-    trades = stand_ins.bronze_trades(spark, sf)
+    trades = staged(stand_ins.bronze_trades(spark, sf))
     first, second = (F.lit(dt.datetime(2001, 8, d)).cast("timestamp") for d in (2, 3))
     cut = F.col("timestamp_ms") < F.unix_millis(F.lit("2000-06-01").cast("timestamp"))
     lake.load(spark, root, prices.filter(cut), sentiment, None, first)
     quality.assert_no_failures(lake.check(spark, root, first))
-    lake.load(spark, root, prices, sentiment, trades, second)
+    lake.load(spark, root, prices, sentiment, trades.inputFiles()[0].rsplit("/", 1)[0], second)
     quality.assert_no_failures(lake.check(spark, root, second))
 
     table = lambda name: spark.read.parquet(f"{root}/{name}")
