@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.labels import CLASSES, lag_status
@@ -227,11 +227,39 @@ def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def gaps(times: DataFrame, column: str, unit: str) -> DataFrame:
+    """Runs of days or hours that do not occur: ``first_missing``, ``last_missing``, ``missing`` (how many), ``unit``.
+
+    A wrong date far off costs one row. The next one is looked for inside the year, and past its end among
+    the first ones of the years, so no task sorts more than the steps of a year or one row a year.
+    """
+    at, step = F.col(column), F.expr(f"interval 1 {unit}")
+    steps = times.filter(at.isNotNull()).select(column).distinct().withColumn("_year", F.year(column))
+    firsts = steps.groupBy("_year").agg(F.min(column).alias("_first"))
+    later = firsts.select("_year", F.lead("_first").over(Window.orderBy("_year")).alias("_later"))
+    following = F.coalesce(F.lead(column).over(Window.partitionBy("_year").orderBy(column)), F.col("_later"))
+    found = steps.join(later, "_year").withColumn("_next", following).filter(F.col("_next") > at + step)
+    kind = dict(times.dtypes)[column]
+    missing = F.timestamp_diff(unit.upper(), at, F.col("_next")) - 1
+    return found.select(
+        (at + step).cast(kind).alias("first_missing"), (F.col("_next") - step).cast(kind).alias("last_missing"), missing.alias("missing"), F.lit(unit).alias("unit")
+    )
+
+
+def filled(found: DataFrame, column: str) -> DataFrame:
+    """Every step of the gaps as a row; a row of a long gap is cut at the years first."""
+    year = F.explode(F.sequence(F.year("first_missing"), F.year("last_missing"))).alias("_year")
+    kind = dict(found.dtypes)["first_missing"]
+    first = F.greatest(F.col("first_missing"), F.make_date("_year", F.lit(1), F.lit(1)).cast(kind))
+    past = F.make_date(F.col("_year") + 1, F.lit(1), F.lit(1)).cast(kind)
+    step = F.expr("interval 1 day") if kind == "date" else F.expr("interval 1 hour")
+    last = F.least(F.col("last_missing"), (past - step).cast(kind))
+    return found.select("*", year).select(F.explode(F.sequence(first, last, step)).alias(column))
+
+
 def missing_dates(dates: DataFrame, column: str = "date_day") -> DataFrame:
     """Calendar days between the first and last date that do not occur."""
-    span = dates.agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
-    days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(column))
-    return days.join(dates.select(column), column, "left_anti")
+    return filled(gaps(dates, column, "day"), column)
 
 
 def summary(results: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -402,15 +430,14 @@ def contract_checks(df: DataFrame, contract: dict, table: str, ts: Column, as_of
 def thin_hours(trades: DataFrame, minimum: int) -> DataFrame:
     """Hours with fewer records than the contract demands, hours without any included.
 
-    Hours between the first and the last one come from a sequence, one row per hour.
+    Empty hours between the first and the last one come from the gaps.
     """
     counts = trades.groupBy(F.date_trunc("hour", F.timestamp_millis("trade_time_ms")).alias("hour")).agg(
         F.count(F.lit(1)).alias("records")
     )
-    span = counts.agg(F.min("hour").alias("lo"), F.max("hour").alias("hi"))
-    hours = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour"))).alias("hour"))
-    filled = hours.join(counts, "hour", "left").withColumn("records", F.coalesce("records", F.lit(0)))
-    return filled.filter(F.col("records") < minimum)
+    thin = counts.filter(F.col("hour").isNotNull() & (F.col("records") < minimum))
+    empty = filled(gaps(counts, "hour", "hour"), "hour").withColumn("records", F.lit(0).cast("long"))
+    return thin.unionByName(empty) if minimum > 0 else thin
 
 
 def ingestion_lag(tables: dict[str, tuple[DataFrame, Column]], as_of: Column) -> DataFrame:

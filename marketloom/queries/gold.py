@@ -10,7 +10,7 @@ from marketloom.operators import latest
 from marketloom.operators.match import orphans
 from marketloom.operators.merge import merged, newer_than
 from marketloom.operators.series import rolling
-from marketloom.plans import dashboard, gold
+from marketloom.plans import dashboard, gold, silver
 from marketloom.queries import common
 from marketloom.queries.registry import query
 from marketloom.sources import stand_ins
@@ -53,7 +53,7 @@ def silver_prices(spark, sf):
 
 @query(
     "m1_w1_ties_and_small_prices",
-    """SELECT coin_id, price_date, max(p) AS price_usd, arg_max(m, p) AS market_cap_usd, arg_max(v, p) AS volume_24h_usd FROM
+    """SELECT coin_id, price_date, max(p) AS price_usd, arg_max_null(m, p) AS market_cap_usd, arg_max_null(v, p) AS volume_24h_usd FROM
  (SELECT coin_id, CAST(make_timestamp(timestamp_ms * 1000) AS DATE) AS price_date, CASE WHEN market_cap_usd < 3000 THEN -price_usd ELSE price_usd / 1e9 END AS p,
  CASE WHEN market_cap_usd > 0 THEN market_cap_usd END AS m, CASE WHEN volume_24h_usd > 0 THEN volume_24h_usd END AS v FROM hist)
  GROUP BY 1, 2 HAVING max(p) > 0""",

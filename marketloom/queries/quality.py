@@ -288,6 +288,19 @@ def contract_bronze(spark, sf):
     ).select(*_KEEP)
 
 
+@query(
+    "q12_date_gaps",
+    """SELECT CAST(d + 1 AS DATE) AS first_missing, CAST(n - 1 AS DATE) AS last_missing, CAST(n - d - 1 AS BIGINT) AS missing FROM
+ (SELECT d, lead(d) OVER (ORDER BY d) AS n FROM (SELECT DISTINCT price_date AS d FROM s_prices WHERE day(price_date) % 5 < 3
+  UNION ALL SELECT DATE '9999-12-30')) WHERE n > d + 1""",
+)
+def date_gaps(spark, sf):
+    """Runs of missing days; one date of the year 9999 costs one row."""
+    days = common.prices(spark, sf).filter(F.dayofmonth("price_date") % 5 < 3).select("price_date")
+    wrong = spark.range(1).select(F.lit("9999-12-30").cast("date").alias("price_date"))
+    return dq.gaps(days.unionByName(wrong), "price_date", "day").drop("unit")
+
+
 @query("q17_thin_hours", _THIN)
 def thin_hours(spark, sf):
     contract = CONTRACTS["bronze_realtime_prices"]
@@ -333,7 +346,9 @@ def daily_run_checks(spark, sf):
     as_of = common.as_of_day().cast("timestamp")
     early = F.col("timestamp_ms") < F.unix_millis(F.lit("2001-01-01").cast("timestamp"))
     lake.load(spark, root, prices.filter(early), sentiment, None, as_of)
-    lake.load(spark, root, prices, sentiment, stand_ins.bronze_trades(spark, sf), as_of)
+    trades = scratch_path(spark, "bronze")
+    stand_ins.bronze_trades(spark, sf).write.parquet(trades)
+    lake.load(spark, root, prices, sentiment, trades, as_of)
     bars = common.silver_bars(spark, sf)
     for _ in range(2):  # a repeat replaces the results of the day
         lake.check(spark, root, as_of, {**_bronze(spark, sf), "realtime_prices": None}, bars)
