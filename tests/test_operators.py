@@ -168,7 +168,7 @@ def test_upsert_prunes_and_keeps_the_null_partition(spark, count):
     table = spark.read.parquet(path)
     assert table.count() == 2 * count and table.filter("v = 'b'").count() == count - 1
     assert table.filter("part IS NULL").count() == 2
-    touched = merge._touched(table, changes, ["part"])
+    touched = merge.touched_rows(table, changes, ["part"])
     plan = touched._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "Join" not in plan
 
