@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from itertools import product
 
@@ -163,6 +164,65 @@ def test_articles_are_found_without_votes():
     assert html_text.main_text(page, "div.absent") in ("T\na\ni\nj", ("other " * 9).strip())
 
 
+LEAD, CLOSING = "A lead of some length that runs on. " * 4, "The closing words that end this page."
+
+
+def _sections(n, quotes=0):
+    parts = "".join(f"<div class='section'><h2>Part {i}</h2><p>{f'What part {i} says at length. ' * 8}</p></div>" for i in range(n))
+    quoted = "".join(f"<blockquote><p>{'A long quotation. ' * 40}</p></blockquote>" for _ in range(quotes))
+    return f"<body><div class='links'><a href='a'>one</a> <a href='b'>two</a></div><div class='content'><h1>Title</h1>{LEAD}{parts}{quoted}<p>{CLOSING}</p></div></body>"
+
+
+@pytest.mark.parametrize("quotes", [0, 2])
+@pytest.mark.parametrize("n", [0, 2, 4, 20])
+def test_enclosing_text_is_kept_with_any_number_of_sections(spark, n, quotes):
+    rows = [(i, "http://h/x", _sections(n, quotes)) for i in range(3)]
+    got = {r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    parts = [line for i in range(n) for line in (f"Part {i}", (f"What part {i} says at length. " * 8).strip())]
+    want = "\n".join(["Title", LEAD.strip(), *parts, *[("A long quotation. " * 40).strip()] * quotes, CLOSING])
+    assert got == {want}
+
+
+def test_names_of_headings_and_sections_keep_their_text():
+    kept = [
+        "<h2 id='related-work'>a</h2>", "<section id='search-methods'><p>b</p></section>", "<h3 id='copyright'>c</h3>", "<p id='reply-3'>d</p>",
+        "<section class='notice'><p>e</p></section>", "<p class='share'>f</p>",
+    ]
+    gone = [
+        "<div class='ad'>buy</div>", "<div class='comment-list'><p>me too</p></div>", "<section id='comments'><p>no</p></section>", "<form><p>mail</p></form>",
+        "<div class='search'><input name='q'>find</div>", "<ul class='social-links'><li><a href='x'>tell</a></ul>", "<div id='sidebar-left'>side</div>",
+        "<p hidden>x</p>", "<nav>n</nav>",
+    ]
+    body = "".join(k + g for k, g in zip(kept, gone)) + "".join(gone[len(kept) :])
+    assert html_text.main_text(f"<body><article><h1>T</h1>{body}</article></body>", None) == "T\na\nb\nc\nd\ne\nf"
+    # Outside an article: names of headings say nothing, classes with such a word do.
+    page = f"<body><div class='content'><h1 class='header'>T</h1><p>{LEAD}</p><h2 id='related-work'>R</h2></div><div class='x-footer'>foot</div></body>"
+    assert html_text.main_text(page, None) == f"T\n{LEAD.strip()}\nR"
+
+
+def test_made_pages_are_read_back():
+    rng = random.Random(5)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(n))
+    for _ in range(60):
+        want, inner = [], ""
+        for _ in range(rng.randint(1, 12)):
+            text = words(rng.randint(8, 60))
+            want.append(text)
+            block = f"<{(t := rng.choice(['p', 'li', 'h2', 'blockquote']))}>{text}</{t}>"
+            inner += rng.choice([block, f"<div class='part'>{block}</div>", f"<section>{block}</section>"])
+        noise = rng.choice(["<div class='ad'>buy this now</div>", "<aside><p>" + words(30) + "</p></aside>", "<div><a href='x'>" + words(9) + "</a></div>"])
+        page = f"<body>{noise}<div class='text'>{inner}</div>{noise}<footer>{words(20)}</footer></body>"
+        assert html_text.main_text(page, None) == "\n".join(want)
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</p>" * 100_000, "<div>" * 50_000 + "<p>x</div>" * 50_000, "<li>x" * 100_000, "</x>" * 200_000])
+def test_reading_is_linear_in_the_tags(page):
+    began = time.monotonic()
+    html_text.votes(page)
+    html_text.main_text(page, "div")
+    assert time.monotonic() - began < 20
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     return licences.fit(spark)
