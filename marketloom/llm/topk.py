@@ -11,13 +11,13 @@ A block of neighbouring queries expands annuli in order of the lower bound
 ``max(0, d(q, p) - hi, lo - d(q, p))`` on their distance. The first annuli give each query a k-th score;
 pairs of block and annulus whose bound cannot reach it are never joined. The others stream past the
 block one annulus at a time with the scores found so far, and a query skips an annulus that cannot reach
-its k-th score. Scores are integers, bounds are widened by a slack above rounding, and a bound equal to
-the k-th score is still looked at, so ties go to the smaller id.
+its k-th score. Scores are 64-bit integers throughout; only bounds are floats, widened by a slack above
+rounding, and a bound equal to the k-th score is still looked at, so ties go to the smaller id.
 
 Defined results
     Vectors that are null or empty, or hold null or non-finite components, take no part; nor do null ids.
     Repeated ids: each row is a candidate, but no row with the query's own id. Shorter vectors count as
-    padded with zeros. Fewer than k candidates: all of them. Empty table: no rows. Other columns: ignored.
+    padded with zeros. Scores beyond 64 bits count as the end of that range. Fewer than k candidates: all of them. Empty table: no rows. Other columns: ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ FIRST_ANNULI = 3
 PAYLOAD_ROWS = 32  # annuli in an Arrow batch
 SLACK = 1e-6  # relative widening of the bounds, far above the rounding of 64-bit floats
 
+NO_SCORE = -(2**63)
+
 BLOCK = "block long, pivot int, lo double, hi double, rows int, ids binary, vectors binary"
 
 
@@ -70,6 +72,18 @@ def _distances(x, pivots):
     return np.sqrt(np.maximum(0, (x**2).sum(1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(1)))
 
 
+def products(queries, x, bound: float):
+    """Inner products of whole numbers as 64-bit integers; ``bound`` is one on their size."""
+    import numpy as np
+
+    if bound < 2**52:
+        return (queries.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)  # sums below 2^53: exact
+    if bound < 2**62:
+        return queries @ x.T
+    exact = queries.astype(object) @ x.astype(object).T
+    return np.clip(exact, NO_SCORE + 1, 2**63 - 1).astype(np.int64)
+
+
 def _blocks(keyed: DataFrame, most: int, dim: int) -> DataFrame:
     """Rows sorted by (pivot, distance) over all tasks, in blocks with one pivot and at most so many rows."""
     import numpy as np
@@ -118,12 +132,12 @@ class Best:
         import numpy as np
 
         self.np, self.ids, self.k = np, ids, k
-        self.vectors = vectors.astype(np.float64)
-        self.squares = (self.vectors**2).sum(1)
-        lifted = np.hstack([self.vectors, np.zeros((len(ids), 1))])
+        self.vectors = vectors
+        lifted = np.hstack([vectors.astype(np.float64), np.zeros((len(ids), 1))])
+        self.squares = (lifted**2).sum(1)
         self.to_pivots = _distances(lifted, pivots)
         self.largest = largest
-        self.scores = np.full((len(ids), k), -np.inf)
+        self.scores = np.full((len(ids), k), NO_SCORE)
         self.found = np.full((len(ids), k), np.iinfo(np.int64).max)
 
     def reachable(self, pivot: int, lo: float, hi: float):
@@ -131,20 +145,16 @@ class Best:
         d = self.to_pivots[:, pivot]
         width = SLACK * (self.largest + d + hi + 1)
         low = self.np.maximum(0, self.np.maximum(d - hi, lo - d) - width)
-        return (self.squares + self.largest**2 - low**2) / 2 * (1 + SLACK) + SLACK
+        return self.np.maximum(NO_SCORE, (self.squares + self.largest**2 - low**2) / 2 * (1 + SLACK) + SLACK)
 
     def visit(self, pivot: int, lo: float, hi: float, ids, vectors) -> None:
         np = self.np
         open_ = np.flatnonzero(self.reachable(pivot, lo, hi) >= self.scores[:, -1])
         if not len(open_):
             return
-        x = vectors.astype(np.float64)
-        bound = np.sqrt(self.squares.max() * (x**2).sum(1).max())
-        if bound < 2**52:
-            scores = self.vectors[open_] @ x.T  # sums of integers below 2^53: exact
-        else:
-            scores = self.vectors[open_].astype(object) @ x.astype(object).T
-        scores = np.where(ids[None, :] == self.ids[open_][:, None], -np.inf, scores.astype(np.float64))
+        bound = np.sqrt(self.squares.max() * (vectors.astype(np.float64) ** 2).sum(1).max())
+        scores = products(self.vectors[open_], vectors, bound)
+        scores[ids[None, :] == self.ids[open_][:, None]] = NO_SCORE
         # Keep those not below the k-th best of this annulus, then order by score and id.
         if scores.shape[1] > self.k:
             kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, -self.k]
@@ -152,17 +162,17 @@ class Best:
         else:
             kth = self.scores[open_, -1]
         for i, row, floor in zip(open_, scores, kth):
-            hit = np.flatnonzero((row >= floor) & (row > -np.inf))
+            hit = np.flatnonzero((row >= floor) & (row > NO_SCORE))
             if len(hit):
                 s, d = np.concatenate([self.scores[i], row[hit]]), np.concatenate([self.found[i], ids[hit]])
-                best = np.lexsort((d, -s))[: self.k]
+                best = np.lexsort((d, ~s))[: self.k]  # ~ turns the order of all 64-bit integers
                 self.scores[i], self.found[i] = s[best], d[best]
 
     def rows(self) -> Iterator[tuple[int, int, int, int]]:
         for q, scores, found in zip(self.ids.tolist(), self.scores.tolist(), self.found.tolist()):
             for rank, (s, x) in enumerate(zip(scores, found), 1):
-                if s != float("-inf"):
-                    yield q, rank, x, int(s)
+                if s != NO_SCORE:
+                    yield q, rank, x, s
 
 
 def _stream(visits: DataFrame, queries: DataFrame, seeds: DataFrame | None, pivots, largest: float, k: int, dim: int) -> DataFrame:
@@ -234,25 +244,30 @@ def search(
         return empty
     dim, largest = shape[0], float(np.sqrt(shape[1]))
 
-    def lift(v, query: bool):
-        x = np.zeros((len(v), dim + 1))
+    def whole(v):
+        x = np.zeros((len(v), dim), np.int64)
         for i, row in enumerate(v):
             x[i, : len(row)] = row
-        x[:, dim] = 0 if query else np.sqrt(np.maximum(0, largest**2 - (x**2).sum(1)))
+        return x
+
+    def lift(whole_numbers, query: bool):
+        x = np.hstack([whole_numbers.astype(np.float64), np.zeros((len(whole_numbers), 1))])
+        if not query:
+            x[:, dim] = np.sqrt(np.maximum(0, largest**2 - (x**2).sum(1)))
         return x
 
     sample = base.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("v").collect()
-    centres = choose_pivots(lift([r.v for r in sample], False), pivots)
+    centres = choose_pivots(lift(whole([r.v for r in sample]), False), pivots)
 
     def key(query: bool):
         def run(batches):
             for batch in batches:
                 if not batch.num_rows:
                     continue
-                x = lift(batch.column(1).to_pylist(), query)
-                d = _distances(x, centres)
+                v = whole(batch.column(1).to_pylist())
+                d = _distances(lift(v, query), centres)
                 own = d.argmin(1)
-                payload = [r.tobytes() for r in x[:, :dim].astype(np.int64)]
+                payload = [r.tobytes() for r in v]
                 columns = [batch.column(0), pa.array(own.astype(np.int32)), pa.array(d[np.arange(len(own)), own]), pa.array(payload, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["id", "pivot", "dist", "vector"])
 
@@ -296,7 +311,7 @@ def search(
         .join(sizes, "qblock")
         .select("qblock", F.when(F.col("full") == F.col("rows"), F.col("floor")).alias("floor"))
     )
-    reach = (F.col("square") + F.lit(largest**2) - F.col("low") * F.col("low")) / 2 * (1 + SLACK) + SLACK
+    reach = F.greatest(F.lit(float(NO_SCORE)), (F.col("square") + F.lit(largest**2) - F.col("low") * F.col("low")) / 2 * (1 + SLACK) + SLACK)
     rest = (
         pairs.join(first.select("qblock", "block"), ["qblock", "block"], "left_anti")
         .join(floors, "qblock", "left")

@@ -20,8 +20,8 @@ def brute(rows, asked, k):
     return out
 
 
-def run(spark, rows, k=5, **options):
-    frame = spark.createDataFrame([(i, v, 0, "x", 1.0) for i, v in rows], VECTORS)
+def run(spark, rows, k=5, schema=VECTORS, **options):
+    frame = spark.createDataFrame([(i, v, 0, "x", 1.0) for i, v in rows], schema)
     found = topk.search(frame, lambda c: c % 10 == 0, k=k, **options)
     return sorted(tuple(r) for r in found.collect())
 
@@ -49,6 +49,21 @@ def test_zero_and_equal_vectors(spark):
     assert run(spark, rows) == brute(rows, lambda i: i % 10 == 0, 5)
 
 
+def test_scores_above_the_whole_numbers_of_floats_are_exact(spark):
+    rng = random.Random(6)
+    rows = [(i, [rng.uniform(1e6, 2e6) for _ in range(6)]) for i in range(200)]
+    rows += [(200 + i, [v + i % 2 / 256 for v in rows[3][1]]) for i in range(20)]  # scores that differ in their last digits
+    want = brute(rows, lambda i: i % 10 == 0, 5)
+    assert any(float(s) != s for *_, s in want)
+    assert run(spark, rows, schema=VECTORS.replace("float", "double"), pivots=6, annulus_rows=16, query_rows=7) == want
+
+
+def test_scores_beyond_64_bits_count_as_the_end_of_the_range(spark):
+    top = 2**63 - 1
+    rows = [(10, [2.0**50, 1.0]), (11, [2.0**50, 0.0]), (12, [2.0**49, 0.0]), (13, [-(2.0**50), 0.0]), (14, [0.0, 1.0])]
+    assert run(spark, rows) == [(10, 1, 11, top), (10, 2, 12, top), (10, 3, 14, 2**16), (10, 4, 13, -top)]
+
+
 RECORDS = "vol string, pos long, url string, html string, digest string, node int"
 
 
