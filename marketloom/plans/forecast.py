@@ -149,6 +149,31 @@ def accuracy_report(errors: DataFrame, by: list[str] | None = None) -> DataFrame
     )
 
 
+def accuracy_sums(errors: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """What ``accuracy_of_sums`` needs of some errors; rows of several such tables add up."""
+    return errors.groupBy(*(by or ["model"])).agg(
+        F.count(F.lit(1)).alias("evaluated"),
+        F.sum("abs_error").alias("abs_error"),
+        F.count("abs_error").alias("abs_rows"),
+        F.sum("pct_error").alias("pct_error"),
+        F.count("pct_error").alias("pct_rows"),
+        F.count_if("direction_correct").alias("correct"),
+        F.count("direction_correct").alias("direction_rows"),
+    )
+
+
+def accuracy_of_sums(sums: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``accuracy_report`` of all errors that were added up."""
+    mean = lambda value, rows: F.try_divide(F.sum(value), F.sum(rows))
+    return sums.groupBy(*(by or ["model"])).agg(
+        F.sum("evaluated").alias("total_evaluated"),
+        F.round(mean("abs_error", "abs_rows"), 2).alias("mae"),
+        F.round(mean("pct_error", "pct_rows"), 4).alias("mape"),
+        F.round(mean("correct", "direction_rows") * 100, 1).alias("direction_accuracy"),
+        F.sum("correct").alias("correct_direction"),
+    )
+
+
 def recent_errors(errors: DataFrame, n: int = 100) -> DataFrame:
     """The ``n`` newest errors of each model."""
     order = [F.col("ts").desc(), F.col("coin_id").desc()]

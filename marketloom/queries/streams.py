@@ -118,3 +118,42 @@ def stream_match(spark, sf):
     pairs = jobs.match_stream(preds, bars)
     drain(spark, lambda: jobs.append_sink(pairs, out, marks, available_now=True))
     return jobs.first_match(spark.read.parquet(out)).select("model", "coin_id", "ts", "matched_ts", "matched_close")
+
+
+def _slices(df: DataFrame, at: str, label: str, count: int = 4) -> list[DataFrame]:
+    """The rows cut by time into slices of equal length, whatever asset they are of."""
+    cut = staged(df, label)
+    first, last = cut.agg(F.unix_micros(F.min(at)), F.unix_micros(F.max(at))).first()
+    if first is None:
+        return [cut] * count
+    share = (F.unix_micros(at) - F.lit(first)) / F.lit(max(1, last - first))
+    numbered = cut.withColumn("_slice", F.least(F.floor(share * count), F.lit(count - 1)))
+    return [numbered.filter(F.col("_slice") == i).select(*df.columns) for i in range(count)]
+
+
+@query("t9_running_accuracy", "SELECT * FROM report")
+def stream_accuracy(spark, sf):
+    """Predictions and bars arrive in four slices; the job is restarted for each, and some predictions come twice.
+
+    A last row far ahead on both sides, of an asset without a name, ends the streams: it moves the watermark past
+    all others. (The join would drop a null asset before the watermark sees its row.)
+    """
+    bars = staged(common.bars(spark, sf).select("coin_id", "window_start", "close"), "stream-bars")
+    made = common.predictions(spark, sf).select("model", "coin_id", "ts", "predicted_price", "current_price")
+    preds_path, bars_path, out, marks = (scratch_path(spark, n) for n in ("preds", "bars", "accuracy", "marks"))
+    ahead = F.expr("interval 1 day")
+    preds = staged(made, "stream-preds")
+    nowhere = F.lit("").alias("coin_id")
+    end_preds = preds.agg((F.max("ts") + ahead).alias("ts")).select(F.lit("").alias("model"), nowhere, "ts", F.lit(0.0).alias("predicted_price"), F.lit(0.0).alias("current_price"))
+    end_bars = bars.agg((F.max("window_start") + ahead).alias("window_start")).select(nowhere, "window_start", F.lit(0.0).alias("close"))
+    parts = [*zip(_slices(preds, "ts", "preds"), _slices(bars, "window_start", "bars")), (end_preds, end_bars)]
+    with jobs.low_latency(spark):
+        for new_preds, new_bars in parts:
+            # The newest predictions of a slice are delivered twice.
+            again = new_preds.join(new_preds.agg(F.max("ts").alias("ts")), "ts", "left_semi")
+            new_preds.unionByName(again.select(*new_preds.columns)).write.mode("append").parquet(preds_path)
+            new_bars.write.mode("append").parquet(bars_path)
+            streams = (jobs.file_source(spark, p, d.schema) for p, d in ((preds_path, preds), (bars_path, bars)))
+            evaluated = jobs.evaluate_stream(*streams)
+            drain(spark, lambda: jobs.accuracy_sink(evaluated, out, marks, available_now=True))
+    return jobs.running_accuracy(spark, out)

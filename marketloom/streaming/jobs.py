@@ -18,6 +18,7 @@ from marketloom.operators.bars import trade_ticks, vwap_bars
 from marketloom.operators.latest import newest_per_key
 from marketloom.operators.merge import create_if_missing, upsert
 from marketloom.plans.features import REACH
+from marketloom.plans.forecast import accuracy_of_sums, accuracy_sums, prediction_errors
 from marketloom.session import staged, unstage
 from marketloom.sources.ingest import stamp
 from marketloom.sources.trades import from_topic
@@ -168,9 +169,13 @@ def match_stream(
     buckets instead of all buffered bars of its asset. Both are watermarked and the range bounds
     the join, so state expires by itself. ``first_match`` keeps the earliest bar of a prediction.
     """
+    return _in_range(predictions.withWatermark("ts", watermark), bars, min_age_s, max_age_s, watermark)
+
+
+def _in_range(predictions: DataFrame, bars: DataFrame, min_age_s: int, max_age_s: int, watermark: str) -> DataFrame:
     width = max_age_s - min_age_s
     first = F.floor((F.unix_seconds("ts") + min_age_s) / width)
-    p = predictions.select("model", "coin_id", "ts", "predicted_price", "current_price").withWatermark("ts", watermark)
+    p = predictions.select("model", "coin_id", "ts", "predicted_price", "current_price")
     p = p.withColumn("probe", F.explode(F.array(first, first + 1)))
     b = bars.select(
         F.col("coin_id").alias("bar_coin"), F.col("window_start").alias("bar_ts"), F.col("close").alias("bar_close")
@@ -185,6 +190,46 @@ def match_stream(
     return p.join(b, in_range).drop("bar_coin", "probe", "bucket")
 
 
+def evaluate_stream(
+    predictions: DataFrame, bars: DataFrame, min_age_s: int = 60, max_age_s: int = 300, watermark: str = WATERMARK
+) -> DataFrame:
+    """Every prediction with its earliest bar in range, once, as three chained stateful operators.
+
+    Repeated predictions go first: their keys are remembered for ``max_age_s`` behind the watermark, and what comes
+    still later is late. The range join follows, and an aggregate that keeps the earliest bar of a prediction until
+    the watermark says that no earlier one can come. All three drop their state by the watermark. The time
+    of a bar is carried as a number, so that the time of the prediction alone is the event time behind the join.
+    """
+    keys = ["model", "coin_id", "ts"]
+    once = predictions.withWatermark("ts", f"{max_age_s} seconds").dropDuplicatesWithinWatermark(keys)
+    pairs = _in_range(once, bars, min_age_s, max_age_s, watermark).withColumn("bar_us", F.unix_micros("bar_ts")).drop("bar_ts")
+    return pairs.groupBy(*keys, "predicted_price", "current_price").agg(
+        F.min("bar_us").alias("bar_us"), F.min_by("bar_close", "bar_us").alias("matched_close")
+    ).select(*keys, "predicted_price", "current_price", F.timestamp_micros("bar_us").alias("matched_ts"), "matched_close")
+
+
+def accuracy_sink(
+    evaluated: DataFrame, path: str, checkpoint: str, available_now: bool = False, trigger: str = TRIGGER
+) -> StreamingQuery:
+    """Start a job that adds up the errors of every micro-batch; ``running_accuracy`` reads the sums.
+
+    A micro-batch leaves one row per model under its own number and replaces it when it is repeated,
+    so an evaluation counts once whatever fails.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        accuracy_sums(prediction_errors(batch)).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = evaluated.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(add)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
+def running_accuracy(spark: SparkSession, path: str) -> DataFrame:
+    """Accuracy of each model over all predictions evaluated so far."""
+    return accuracy_of_sums(spark.read.parquet(path))
+
+
 def first_match(pairs: DataFrame) -> DataFrame:
     """The earliest bar of each prediction from the appended pairs: one evaluation per prediction."""
     return pairs.groupBy("model", "coin_id", "ts", "predicted_price", "current_price").agg(

@@ -85,3 +85,32 @@ def test_stream_match_evaluates_each_prediction_once(spark):
     drain(spark, lambda: jobs.append_sink(pairs, out, marks, available_now=True))
     rows = jobs.first_match(spark.read.parquet(out)).collect()
     assert [(r.ts, r.matched_ts, r.matched_close) for r in rows] == [(at(0), at(60), 2.0)]
+
+
+def test_running_accuracy_counts_each_prediction_once_and_forgets(spark):
+    t = dt.datetime(2024, 1, 1)
+    at = lambda s: t + dt.timedelta(seconds=s)
+    preds, bars, out, marks = (scratch_path(spark, n) for n in ("p", "b", "o", "m"))
+    pred_schema = "model string, coin_id string, ts timestamp, predicted_price double, current_price double"
+    bar_schema = "coin_id string, window_start timestamp, close double"
+    one, two, other = ("m", "a", at(0), 11.0, 10.0), ("m", "a", at(400), 9.0, 10.0), ("n", "a", at(0), 9.0, 10.0)
+    batches = [
+        ([one, other], [("a", at(150), 20.0), ("a", at(30), 1.0)]),
+        ([one], [("a", at(90), 12.0), ("b", at(61), 99.0)]),  # told again; an earlier bar arrives later
+        ([two], [("a", at(460), 8.0)]),
+        ([one, two], [("a", at(700), 7.0), ("a", at(701), 5.0)]),
+        ([("", "", at(9000), 0.0, 0.0)], [("", at(9000), 0.0)]),
+    ]
+    totals = []
+    for p, b in batches:
+        spark.createDataFrame(p, pred_schema).coalesce(1).write.mode("append").parquet(preds)
+        spark.createDataFrame(b, bar_schema).coalesce(1).write.mode("append").parquet(bars)
+        streams = jobs.file_source(spark, preds, spark.createDataFrame(p, pred_schema).schema), jobs.file_source(spark, bars, spark.createDataFrame(b, bar_schema).schema)
+        job = jobs.accuracy_sink(jobs.evaluate_stream(*streams), out, marks, available_now=True)
+        job.awaitTermination()
+        totals.append(sum(r.total_evaluated for r in jobs.running_accuracy(spark, out).collect()))
+    # The rows that end the streams are all that is left of the three operators' state.
+    assert all(s["numRowsTotal"] <= 3 for s in job.lastProgress["stateOperators"])
+    assert totals[0] == 0 and totals == sorted(totals)
+    got = {r.model: (r.total_evaluated, r.mae, r.direction_accuracy, r.correct_direction) for r in jobs.running_accuracy(spark, out).collect()}
+    assert got == {"m": (2, 1.0, 100.0, 2), "n": (1, 3.0, 0.0, 0)}
