@@ -3,11 +3,13 @@
 A text is cut into units: a word with the word marks before it. No piece reaches across a unit, so units
 are segmented alone, and the common ones once for the whole corpus:
 
-1. Units are counted over all texts. The ``KEPT_UNITS`` most frequent ones form the lattice: their
-   substrings of at most the longest piece's length are exploded and joined to the piece table, the
-   edges found are grouped by unit, and a higher-order ``aggregate`` folds them into ids.
-2. That table, of bounded size, goes to the tasks that encode. A unit that is not in it is segmented in
-   the task by the same rule.
+1. Units are counted over all texts. The ``KEPT_UNITS`` most frequent ones of at most ``LATTICE_LETTERS``
+   letters form the lattice: their substrings of at most the longest piece's length are exploded and
+   joined to the piece table, the edges found are grouped by unit, and a higher-order ``aggregate`` folds
+   them into ids.
+2. That table, of bounded size, goes to the tasks that encode. Units that are not in it are segmented in
+   the task by the same rule: the short ones of many texts at once as rows of a matrix, a long one with
+   a heap, so that its time grows as n log n.
 
 The fold follows the kind of the vocabulary. ``bpe`` joins, again and again, the two adjacent segments
 whose union is the best-scored piece. ``unigram`` is the Viterbi fold: the path of highest total score, ties
@@ -23,6 +25,8 @@ Defined results
 from __future__ import annotations
 
 import re
+from array import array
+from heapq import heappop, heappush
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +35,13 @@ from marketloom.llm.common import Stage, free_name
 
 MARK = "▁"
 KEPT_UNITS = 40_000
+LATTICE_LETTERS = 32  # longer units are segmented alone
 CACHED_UNITS = 400_000  # further units that a worker remembers
+ROWS_AT_ONCE = 4096  # units in one matrix
+LETTERS_AT_ONCE = 1 << 20  # letters of texts whose units are segmented together
 # A line feed has no piece of its own, so units end there too.
 UNIT = f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
 UNKNOWN_SCORE = -1e6
-NO_PIECE = float("-inf")
 
 
 class Vocabulary:
@@ -60,13 +66,19 @@ class Vocabulary:
         return spark.createDataFrame([(p, i, s) for p, (i, s) in self.table.items()], "piece string, id int, score double")
 
 
-def marked(text: Column) -> Column:
-    """The text as the vocabulary sees it: spaces as word marks, one in front."""
-    return F.when(text == "", "").otherwise(F.concat(F.lit(MARK), F.translate(text, " ", MARK)))
+def common_units(texts: DataFrame, text: Column, kept: int) -> DataFrame:
+    """The most frequent units of at most ``LATTICE_LETTERS`` letters (ties: the smaller string).
 
-
-def units(text: Column) -> Column:
-    return F.regexp_extract_all(marked(text), F.lit(UNIT), F.lit(0))
+    Counted over all texts as what lies between two spaces, with the line feed kept in front of a word
+    that follows it; a word after several spaces counts as after one.
+    """
+    between = F.explode(F.split(F.replace(text, F.lit("\n"), F.lit(" \n")), " ")).alias("word")
+    counted = texts.select(between).groupBy("word").count()
+    word = F.col("word")
+    unit = F.when(word.startswith("\n"), F.expr("substring(word, 2)")).when(word != "", F.concat(F.lit(MARK), word))
+    whole = F.char_length("unit").between(1, LATTICE_LETTERS) & ~F.substring("unit", 2, LATTICE_LETTERS).contains(MARK)
+    short = counted.select(unit.alias("unit"), "count").filter(whole)
+    return short.orderBy(F.desc("count"), "unit").limit(kept).select("unit")
 
 
 def edges(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -133,28 +145,116 @@ def folded(words: DataFrame, vocabulary: Vocabulary, kind: str = "bpe") -> DataF
 
 
 def merge_unit(unit: str, table: dict[str, tuple[int, float]], first_byte: int) -> list[int]:
-    """``merge_fold`` for one unit; after a merge only the two pairs around it are looked up again."""
-
-    def score(left: str, right: str) -> float:
-        hit = table.get(left + right)
-        return hit[1] if hit else NO_PIECE
-
-    parts = list(unit)
-    scores = [score(a, b) for a, b in zip(parts, parts[1:])]
-    while scores:
-        best = max(scores)
-        if best == NO_PIECE:
-            break
-        at = scores.index(best)  # the first of equal ones
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        del scores[at]
-        if at:
-            scores[at - 1] = score(parts[at - 1], parts[at])
-        if at < len(scores):
-            scores[at] = score(parts[at], parts[at + 1])
+    """``merge_fold`` for one unit of any length: adjacent pairs wait in a heap, stale ones are passed over."""
+    n = len(unit)
+    ends, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the segment that starts at a letter
+    waiting: list[tuple[float, int, int, int]] = []
+
+    def offer(start: int, middle: int) -> None:
+        hit = table.get(unit[start : ends[middle]])
+        if hit:
+            heappush(waiting, (-hit[1], start, middle, ends[middle]))
+
+    for i in range(n - 1):
+        offer(i, i + 1)
+    while waiting:
+        _, start, middle, stop = heappop(waiting)
+        if ends[start] != middle or ends[middle] != stop:
+            continue
+        ends[start], ends[middle] = stop, 0
+        if stop < n:
+            before[stop] = start
+            offer(start, stop)
+        if before[start] >= 0:
+            offer(before[start], start)
+    parts, at = [], 0
+    while at < n:
+        parts.append(unit[at : ends[at]])
+        at = ends[at]
     return _numbered(parts, table, first_byte)
 
 
+class Merges:
+    """``merge_fold`` for many short units at once: a row of segments for each, one merge a row and step."""
+
+    def __init__(self, table: dict[str, tuple[int, float]], first_byte: int):
+        import numpy as np
+
+        letters = sorted({c for p in table for c in p})
+        names = [*table, *(c for c in letters if c not in table)]
+        place = {p: i for i, p in enumerate(names)}
+        pairs = []
+        for p, (_, score) in table.items():
+            for cut in range(1, len(p)):
+                left, right = place.get(p[:cut]), place.get(p[cut:])
+                if left is not None and right is not None:
+                    pairs.append((left * len(names) + right, score, place[p]))
+        pairs.sort()
+        self.table, self.first_byte, self.names = table, first_byte, len(names)
+        self.keys = np.array([k for k, _, _ in pairs], np.int64)
+        # The last pair stands for none.
+        self.scores = np.array([*(x for _, x, _ in pairs), -np.inf])
+        self.unions = np.array([*(u for _, _, u in pairs), -1], np.int32)
+        self.numbers = np.array([table[p][0] if p in table else -1 for p in names], np.int32)
+        self.letters = np.array([ord(c) for c in letters], np.int32)
+        self.of_letter = np.array([place[c] for c in letters], np.int32)
+
+    def _pairs(self, left, right):
+        import numpy as np
+
+        wanted = left.astype(np.int64) * self.names + right
+        at = np.searchsorted(self.keys, wanted)
+        found = (left >= 0) & (right >= 0) & (self.keys[np.minimum(at, len(self.keys) - 1)] == wanted)
+        return np.where(found, at, len(self.keys)).astype(np.int32)
+
+    def segmented(self, units: list[str]) -> list[bytes]:
+        """The ids of each unit as 32-bit integers."""
+        import numpy as np
+
+        if not len(self.keys):
+            return [array("i", merge_unit(u, self.table, self.first_byte)).tobytes() for u in units]
+        sizes, width = np.array([len(u) for u in units]), max(map(len, units)) + 1
+        points = np.array(units, f"U{width}").view(np.int32).reshape(len(units), width)
+        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
+        inside = np.arange(width) < sizes[:, None]
+        rows = np.where(inside & (self.letters[at] == points), self.of_letter[at], -1)
+        pairs = np.full(rows.shape, len(self.keys), np.int32)
+        pairs[:, :-1] = self._pairs(rows[:, :-1], rows[:, 1:])
+        # The letters that segments of one letter began as are found again by where segments start.
+        starts = np.broadcast_to(np.arange(width, dtype=np.int32), rows.shape).copy()
+        done_rows, done_starts, left = np.empty_like(rows), np.empty_like(starts), sizes.copy()
+        live = np.arange(len(units))
+        while len(live):
+            scores = self.scores[pairs]
+            best = scores.argmax(1)
+            more = scores[np.arange(len(live)), best] > -np.inf
+            if not more.all():
+                over = ~more
+                done_rows[live[over]], done_starts[live[over]] = rows[over], starts[over]
+                live, rows, starts, pairs, best = live[more], rows[more], starts[more], pairs[more], best[more]
+            if not len(live):
+                break
+            here = np.arange(len(live))
+            rows[here, best] = self.unions[pairs[here, best]]
+            rest = np.arange(width)[None, :]
+            rest = np.minimum(rest + (rest > best[:, None]), width - 1)
+            rows, starts, pairs = (np.take_along_axis(m, rest, 1) for m in (rows, starts, pairs))
+            left[live] -= 1
+            pairs[here, best] = self._pairs(rows[here, best], rows[here, best + 1])
+            inner = np.flatnonzero(best)
+            first = best[inner] - 1
+            pairs[inner, first] = self._pairs(rows[inner, first], rows[inner, first + 1])
+        numbers = np.where(done_rows >= 0, self.numbers[done_rows], -1)
+        kept = np.arange(width) < left[:, None]
+        spelled = set(np.flatnonzero(((numbers < 0) & kept).any(1)).tolist())
+        flat, ends = numbers[kept].tobytes(), (np.cumsum(left) * 4).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        for i in spelled:
+            cuts = [*done_starts[i, : left[i]].tolist(), len(units[i])]
+            out[i] = array("i", _numbered([units[i][a:b] for a, b in zip(cuts, cuts[1:])], self.table, self.first_byte)).tobytes()
+        return out
+
+
 def viterbi_unit(unit: str, table: dict[str, tuple[int, float]], first_byte: int, longest: int) -> list[int]:
     """``viterbi_fold`` for one unit."""
     best: list[tuple[float, int]] = [(0.0, 0)]
@@ -167,8 +267,9 @@ def viterbi_unit(unit: str, table: dict[str, tuple[int, float]], first_byte: int
         cost, start = min(ways)
         best.append((-cost, start))
     cuts = [len(unit)]
-    while cuts[0]:
-        cuts.insert(0, best[cuts[0]][1])
+    while cuts[-1]:
+        cuts.append(best[cuts[-1]][1])
+    cuts.reverse()
     return _numbered([unit[a:b] for a, b in zip(cuts, cuts[1:])], table, first_byte)
 
 
@@ -185,25 +286,39 @@ _KNOWN: dict[str, dict[str, bytes]] = {}
 
 def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe", kept: int = KEPT_UNITS) -> DataFrame:
     """The rows with ``ids``."""
-    from array import array
     from uuid import uuid4
 
     spark = docs.sparkSession
     vocabulary = Vocabulary(model)
     text = F.coalesce(F.col(text_col), F.lit(""))
     stage = Stage(spark, "lattice")
-    counted = docs.select(F.explode(units(text)).alias("unit")).groupBy("unit").count()
-    common = stage.keep("common", counted.orderBy(F.desc("count"), "unit").limit(kept).select("unit"))
-    # A table of at most ``kept`` units. They are few bytes and much work, so their number of partitions is fixed.
+    common = stage.keep("common", common_units(docs, text, kept))
+    # A table of at most ``kept`` short units. They are few bytes and much work, so their number of partitions is fixed.
     tasks = max(8, spark.sparkContext.defaultParallelism)
     found = folded(common.repartition(tasks, "unit"), vocabulary, kind).toArrow()
+    stage.drop("common")
     share = spark.sparkContext.broadcast(
         {u: array("i", ids).tobytes() for u, ids in zip(found.column("unit").to_pylist(), found.column("ids").to_pylist())}
     )
     table, first_byte, longest, key = vocabulary.table, vocabulary.first_byte, vocabulary.longest, uuid4().hex
-    pieces = spark.sparkContext.broadcast(table)
+    rules = spark.sparkContext.broadcast(Merges(table, first_byte))
     unit_of = re.compile(UNIT)
 
+    def segmented(units: list[str]) -> list[bytes]:
+        """Units of like length, so that the matrix of the short ones has little padding."""
+        table = rules.value.table
+        if kind != "bpe":
+            return [array("i", viterbi_unit(u, table, first_byte, longest)).tobytes() for u in units]
+        out, start = [], 0
+        while start < len(units) and len(units[start]) <= LATTICE_LETTERS:
+            stop = start
+            most = min(LATTICE_LETTERS, len(units[start]) + 3)
+            while stop < min(len(units), start + ROWS_AT_ONCE) and len(units[stop]) <= most:
+                stop += 1
+            out += rules.value.segmented(units[start:stop])
+            start = stop
+        return out + [array("i", merge_unit(u, table, first_byte)).tobytes() for u in units[start:]]
+
     @F.pandas_udf("array<int>")
     def run(texts):
         import numpy as np
@@ -212,24 +327,27 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe
         known = _KNOWN.setdefault(key, {})
         if not known:
             known.update(share.value)
-        get, most = known.get, len(share.value) + CACHED_UNITS
-
-        def segmented(unit: str) -> bytes:
-            if kind == "bpe":
-                ids = merge_unit(unit, pieces.value, first_byte)
-            else:
-                ids = viterbi_unit(unit, pieces.value, first_byte, longest)
-            out = array("i", ids).tobytes()
-            if len(known) < most and len(unit) <= 64:
-                known[unit] = out
-            return out
-
-        def ids_of(t):
-            if not t:
-                return np.empty(0, np.int32)
-            return np.frombuffer(b"".join([get(u) or segmented(u) for u in unit_of.findall(MARK + t.replace(" ", MARK))]), np.int32)
-
-        return pd.Series([ids_of(t) for t in texts])
+        most, out, held, letters = len(share.value) + CACHED_UNITS, [], [], 0
+
+        def flush():
+            missing = sorted(set().union(*held).difference(known), key=len)
+            new = dict(zip(missing, segmented(missing))) if missing else {}
+            # Short units stay as long as there is room; the others serve these texts only.
+            lasting = [u for u in missing if len(u) <= LATTICE_LETTERS][: max(0, most - len(known))]
+            known.update((u, new.pop(u)) for u in lasting)
+            get = known.__getitem__ if not new else lambda u: known.get(u) or new[u]
+            for found in held:
+                out.append(np.frombuffer(b"".join(map(get, found)), np.int32))
+            held.clear()
+
+        for t in texts:
+            held.append(unit_of.findall(MARK + t.replace(" ", MARK)) if t else [])
+            letters += len(t or "")
+            if letters >= LETTERS_AT_ONCE:
+                flush()
+                letters = 0
+        flush()
+        return pd.Series(out)
 
     return docs.withColumn(free_name(docs.columns, "ids"), run(F.col(text_col)))
 
@@ -237,10 +355,15 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe
 def decode(encoded: DataFrame, model: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """The rows with the text of the ids; control ids are passed over, null ids give the empty text."""
     vocabulary = Vocabulary(model)
-    spelled = []
+    plain, spelled = [], []
     for i, p in enumerate(vocabulary.pieces):
         byte = re.fullmatch(r"<0x([0-9A-F]{2})>", p)
-        spelled.append(byte[1] if byte else "" if vocabulary.odd[i] else p.replace(MARK, " ").encode().hex())
-    hexed = F.array_join(F.transform(F.coalesce(ids_col, F.array().cast("array<int>")), lambda i: F.element_at(F.lit(spelled), i + 1)), "")
-    text = F.decode(F.unhex(hexed), "utf-8")
+        own = "" if vocabulary.odd[i] else p.replace(MARK, " ")
+        spelled.append(byte[1] if byte else own.encode().hex())
+        plain.append(chr(int(byte[1], 16)) if byte else own)
+    ids = F.coalesce(ids_col, F.array().cast("array<int>"))
+    joined = lambda table: F.array_join(F.transform(ids, lambda i: F.element_at(F.lit(table), i + 1)), "")
+    # Bytes beyond ASCII are parts of letters, so such texts are put together byte by byte.
+    parts = F.exists(ids, lambda i: i.between(vocabulary.first_byte + 128, vocabulary.first_byte + 255))
+    text = F.when(parts, F.decode(F.unhex(joined(spelled)), "utf-8")).otherwise(joined(plain))
     return encoded.withColumn(to, F.when(text.startswith(" "), F.substring(text, 2, 2**31 - 1)).otherwise(text))

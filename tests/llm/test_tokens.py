@@ -134,6 +134,38 @@ def test_both_folds_equal_brute_force(spark, vocabulary):
     assert all(merged[u] == lattice.merge_unit(u, vocabulary.table, vocabulary.first_byte) for u in units)
 
 
+def test_short_units_in_a_matrix_equal_the_heap_and_plain_merging(vocabulary):
+    rng = random.Random(9)
+    units = sorted({"".join(rng.choices("▁aabeinrt日é\0😀 x", k=rng.randint(1, 20))) for _ in range(2000)} | {"▁" * 7, "x" * 32, "\n"}, key=len)
+
+    def plain(u):
+        parts = list(u)
+        while True:
+            ways = [(-vocabulary.table[a + b][1], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in vocabulary.table]
+            if not ways:
+                return lattice._numbered(parts, vocabulary.table, vocabulary.first_byte)
+            at = min(ways)[1]
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    wanted = [plain(u) for u in units]
+    rows = lattice.Merges(vocabulary.table, vocabulary.first_byte).segmented(units)
+    assert [list(array("i", r)) for r in rows] == wanted
+    assert [lattice.merge_unit(u, vocabulary.table, vocabulary.first_byte) for u in units] == wanted
+
+
+def test_a_long_text_without_spaces_ends(spark, vocabulary):
+    rng = random.Random(3)
+    long = ["x" * 1_000_000, "".join(rng.choices("abeinrt,é\n", k=300_000))]
+    rows = lattice.decode(lattice.encode(table(spark, long).drop("ids"), piece_bpe()), piece_bpe()).orderBy("doc_id").collect()
+    assert [r.decoded for r in rows] == long and all(len(r.ids) < len(r.text) for r in rows)
+
+
+def test_common_units_count_all_texts(spark):
+    frame = spark.createDataFrame([("a b\nb a",), ("b  c\n\nc",), (None,), ("y" * 40 + " y",)], "text string")
+    kept = lattice.common_units(frame, F.coalesce("text", F.lit("")), 4)
+    assert [r.unit for r in kept.collect()] == ["▁b", "▁a", "b", "c"]
+
+
 def test_units_cover_the_text():
     for t in ["▁a▁b", "▁▁▁a\nb▁", "▁", "▁a\n\n▁"]:
         assert "".join(re.findall(lattice.UNIT, t)) == t
