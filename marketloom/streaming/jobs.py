@@ -6,7 +6,7 @@ A topic connector is not bundled; its options are the documented ones.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,7 @@ from marketloom.operators.latest import newest_per_key
 from marketloom.operators.merge import create_if_missing, upsert
 from marketloom.plans.features import REACH
 from marketloom.plans.forecast import accuracy_of_sums, accuracy_sums, prediction_errors
-from marketloom.session import staged, unstage
+from marketloom.session import drop_beside, path_exists, staged, unstage
 from marketloom.sources.ingest import stamp
 from marketloom.sources.trades import from_topic
 
@@ -122,6 +122,30 @@ def upsert_sink(
     return writer.start()
 
 
+TAIL = "__tail"
+
+
+def bars_before(new: DataFrame, tail: DataFrame, past: Callable[[], DataFrame], lookback_rows: int) -> DataFrame:
+    """The rows that new bars of a micro-batch need beside themselves: the tail of their assets, or ``past()``.
+
+    ``tail`` holds the newest ``2 * lookback_rows`` bars of each asset met so far. That is enough unless an
+    asset is not in it yet, or a bar is so late that a full tail has fewer than ``lookback_rows`` bars before
+    it. Only for such assets ``past()``, the whole history, is read, so every bar has all its rows before it.
+    """
+    first = new.groupBy("coin_id").agg(F.min("window_start").alias("_first"))
+    earlier = F.count_if(F.col("window_start") < F.col("_first"))
+    of_tail = tail.join(first, "coin_id").groupBy("coin_id").agg(F.count("*").alias("_kept"), earlier.alias("_earlier"))
+    state = first.join(of_tail, "coin_id", "left")
+    enough = (F.col("_earlier") >= lookback_rows) | (F.col("_kept") < 2 * lookback_rows)
+    short = state.filter(~F.coalesce(enough, F.lit(False))).select("coin_id", "_first")
+    rows = tail.join(state.select("coin_id"), "coin_id", "left_semi")
+    if not short.isEmpty():
+        older = past().join(short, "coin_id").filter(F.col("window_start") < F.col("_first")).select(*tail.columns)
+        newest = newest_per_key(older, ["coin_id"], [F.col("window_start").desc()], 2 * lookback_rows)
+        rows = rows.unionByName(newest).dropDuplicates(["coin_id", "window_start"])
+    return rows.join(new.select("coin_id", "window_start"), ["coin_id", "window_start"], "left_anti")
+
+
 def score_sink(
     bars: DataFrame,
     history: str,
@@ -132,27 +156,38 @@ def score_sink(
     available_now: bool = False,
     trigger: str = "30 seconds",
 ) -> StreamingQuery:
-    """Start a job that scores every new bar with the ``lookback_rows`` bars of its asset before it.
+    """Start a job that scores every new bar with at least the ``lookback_rows`` bars of its asset before it.
 
-    However far apart these bars are, they are found, and an asset with fewer has what it has, so
-    no bar stays unscored; the rank keeps ``lookback_rows`` rows per asset and task before the
-    shuffle. ``score(window, new)`` maps the bars needed and the keys of the new ones to predictions.
+    A bounded table beside the output carries the newest bars of every asset from micro-batch to
+    micro-batch, so the bars table ``history`` is not read again but for assets that are new and bars
+    that are very late (``bars_before``). However far apart the bars are, they are found, and an asset
+    with fewer has what it has, so no bar stays unscored. ``score(window, new)`` maps the bars needed,
+    later ones of a late bar included, and the keys of the new ones to predictions.
     With features that look back a bounded number of rows (``macd_scale="price"``) it gives the same
-    as one batch over all bars. The output is partitioned by micro-batch and overwritten on a
-    repeat, so no bar is scored twice.
+    as one batch over all bars. Scores and tail are partitioned by micro-batch and overwritten on a
+    repeat, which reads the tail of the batch before it again, so no bar is scored twice.
     """
+    columns = ["coin_id", "window_start", "close", "total_volume"]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = staged(batch.select("coin_id", "window_start", "close", "total_volume"), "new-bars")
-        if new.isEmpty():
-            return
-        assets = new.groupBy("coin_id").agg(F.min("window_start").alias("_first"))
-        past = spark.read.parquet(history).select("coin_id", "window_start", "close", "total_volume")
-        before = past.join(assets, "coin_id").filter(F.col("window_start") < F.col("_first")).drop("_first")
-        window = newest_per_key(before, ["coin_id"], [F.col("window_start").desc()], lookback_rows).unionByName(new)
-        scored = score(window, new.select("coin_id", "window_start"))
-        scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        new = staged(batch.select(*columns), "new-bars")
+        before = f"{path}{TAIL}/batch={batch_id - 1}"
+        if path_exists(spark, f"{before}/_SUCCESS"):
+            tail = spark.read.schema(new.schema).parquet(before)
+        else:
+            tail = spark.createDataFrame([], new.schema)
+        rows = bars_before(new, tail, lambda: spark.read.parquet(history).select(*columns), lookback_rows)
+        window = staged(rows.unionByName(new), "scoring-window")
+        untouched = tail.join(new.select("coin_id").distinct(), "coin_id", "left_anti")
+        newest = newest_per_key(window, ["coin_id"], [F.col("window_start").desc()], 2 * lookback_rows)
+        untouched.unionByName(newest).write.mode("overwrite").parquet(f"{path}{TAIL}/batch={batch_id}")
+        if not new.isEmpty():
+            scored = score(window, new.select("coin_id", "window_start"))
+            scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if batch_id > 1:  # a repeat of this batch needs the tail before it, nothing needs older ones
+            drop_beside(spark, path, f"{TAIL}/batch={batch_id - 2}")
+        unstage(window)
         unstage(new)
 
     writer = bars.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(run)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marketloom.operators.bars import trade_ticks, vwap_bars
@@ -114,3 +115,49 @@ def test_running_accuracy_counts_each_prediction_once_and_forgets(spark):
     assert totals[0] == 0 and totals == sorted(totals)
     got = {r.model: (r.total_evaluated, r.mae, r.direction_accuracy, r.correct_direction) for r in jobs.running_accuracy(spark, out).collect()}
     assert got == {"m": (2, 1.0, 100.0, 2), "n": (1, 3.0, 0.0, 0)}
+
+
+def _bars(spark, rows):
+    made = spark.createDataFrame(rows, "coin_id string, second long, close double")
+    return made.select("coin_id", F.timestamp_seconds("second").alias("window_start"), "close", F.lit(1.0).alias("total_volume"))
+
+
+def test_rows_before_new_bars_come_from_the_tail(spark):
+    tail = _bars(spark, [("a", s, float(s)) for s in range(10, 50, 10)] + [("b", 10, 1.0)])
+    past = _bars(spark, [(c, s, float(s)) for c in "abc" for s in range(1, 50)])
+
+    def seconds(new, read=lambda: past):
+        rows = jobs.bars_before(_bars(spark, new), tail, read, 2)
+        return sorted((r.coin_id, r.window_start.timestamp()) for r in rows.collect())
+
+    def never():
+        raise AssertionError("the history was read")
+
+    in_tail = [("a", float(s)) for s in range(10, 50, 10)]
+    assert seconds([("a", 60, 1.0)], never) == in_tail
+    assert seconds([("a", 35, 1.0), ("b", 20, 1.0)], never) == in_tail + [("b", 10.0)]  # late, and a short tail that is whole
+    assert seconds([("a", 40, 9.0)], never) == in_tail[:3]  # a bar that comes again replaces its copy
+    late = [("a", float(s)) for s in (11, 12, 13, 14)]
+    assert seconds([("a", 15, 1.0)]) == sorted(late + in_tail)
+    assert seconds([("c", 4, 1.0)]) == [("c", 1.0), ("c", 2.0), ("c", 3.0)]
+    assert seconds([]) == []
+
+
+def test_scores_carry_a_bounded_tail(spark, tmp_path):
+    history, out = str(tmp_path / "bars"), str(tmp_path / "scores")
+    files = [[("a", s, float(s)) for s in range(i * 5, i * 5 + 5) if s != 7] for i in range(3)] + [[("a", 7, 7.0), ("b", 1, 1.0)]]
+
+    def score(window, new):
+        w = Window.partitionBy("coin_id").orderBy("window_start").rowsBetween(-3, 0)
+        return window.withColumn("total", F.sum("close").over(w)).join(new, ["coin_id", "window_start"], "left_semi")
+
+    for part in files:
+        _bars(spark, part).coalesce(1).write.mode("append").parquet(history)
+        bars = jobs.file_source(spark, history, spark.read.parquet(history).schema)
+        jobs.score_sink(bars, history, out, str(tmp_path / "marks"), score, 3, available_now=True).awaitTermination()
+    got = {(r.coin_id, r.window_start.timestamp()): r.total for r in spark.read.parquet(out).collect()}
+    seen = [s for s in range(15) if s != 7]
+    wanted = {("a", float(s)): float(sum(seen[max(0, i - 3) : i + 1])) for i, s in enumerate(seen)}
+    assert got == wanted | {("a", 7.0): 4.0 + 5 + 6 + 7, ("b", 1.0): 1.0}
+    tails = sorted(p.name for p in (tmp_path / "scores__tail").iterdir())
+    assert tails == ["batch=2", "batch=3"] and spark.read.parquet(f"{out}__tail/batch=3").count() == 7
