@@ -101,9 +101,9 @@ def trend_forecast(spark, sf):
 
 
 # Decimal rounding of the printed value, as Spark rounds doubles.
-_CURVE_PRICE = "CAST(round(CAST(CAST(curve_price AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
+CURVE_PRICE = "CAST(round(CAST(CAST(curve_price AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
-_CURVE = """(WITH steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+CURVE = """(WITH steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
  c1 AS (SELECT *, greatest(-0.008, least(0.008, predicted_return)) AS c1 FROM forecasted),
  c2 AS (SELECT *, greatest(-0.008, least(0.008, c1 + predicted_return * 0.8)) AS c2 FROM c1),
  c3 AS (SELECT *, greatest(-0.008, least(0.008, c2 + predicted_return * 0.64)) AS c3 FROM c2),
@@ -115,8 +115,8 @@ _CURVE = """(WITH steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
 
 @query(
     "l9_forecast_curve",
-    f"""SELECT coin_id, ts, horizon_seconds, {_CURVE_PRICE} AS predicted_price, round(curve_confidence, 4) AS confidence,
- round(direction_prob, 4) AS direction_prob FROM {_CURVE}""",
+    f"""SELECT coin_id, ts, horizon_seconds, {CURVE_PRICE} AS predicted_price, round(curve_confidence, 4) AS confidence,
+ round(direction_prob, 4) AS direction_prob FROM {CURVE}""",
 )
 def forecast_curve(spark, sf):
     return fc.forecast_curve(common.forecasts(spark, sf), ["coin_id", "ts"])
@@ -124,7 +124,7 @@ def forecast_curve(spark, sf):
 
 @query(
     "d9_forecast_line",
-    f"""SELECT coin_id, horizon_seconds, ts + to_seconds(horizon_seconds) AS ts, {_CURVE_PRICE} AS price FROM {_CURVE}
+    f"""SELECT coin_id, horizon_seconds, ts + to_seconds(horizon_seconds) AS ts, {CURVE_PRICE} AS price FROM {CURVE}
  WHERE (coin_id, ts) IN (SELECT coin_id, max(window_start) FROM bars30 GROUP BY 1)
  UNION ALL SELECT coin_id, 0, max(window_start), arg_max("close", window_start) FROM bars30 GROUP BY 1""",
 )

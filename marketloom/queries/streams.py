@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketloom.plans import features as feat
 from marketloom.plans import forecast as fc
 from marketloom.queries import common
+from marketloom.queries.forecasts import CURVE, CURVE_PRICE
 from marketloom.queries.registry import query
 from marketloom.session import scratch_path, staged
 from marketloom.sources import stand_ins, trades
@@ -104,6 +105,37 @@ def stream_scoring(spark, sf):
     return common.rounded(spark.read.parquet(out).drop("batch"), 8, "predicted_return")
 
 
+@query(
+    "t8_curve",
+    f"""SELECT coin_id, ts, horizon_seconds, {CURVE_PRICE} AS predicted_price, round(curve_confidence, 4) AS confidence,
+ round(direction_prob, 4) AS direction_prob FROM {CURVE} WHERE (coin_id, ts) IN (SELECT coin_id, max(window_start) FROM bars30 GROUP BY 1)""",
+)
+def stream_curve(spark, sf):
+    """The curve refreshed in every fifth micro-batch: six parts by time, the job started anew for each."""
+    made = staged(common.silver_bars(spark, sf), "curve-bars")
+    lasts = made.groupBy("coin_id").agg(F.min("window_start").alias("_first"), F.max("window_start").alias("_last"))
+    at, start, end = (F.unix_seconds(c) for c in ("window_start", "_first", "_last"))
+    parts = made.join(lasts, "coin_id").withColumn("_part", F.floor((at - start) * 6 / (end - start + 1))).drop("_first", "_last")
+    history, out, marks = (scratch_path(spark, n) for n in ("silver-bars", "scores", "marks"))
+    sentiment = common.sentiment(spark, sf)
+
+    def forecast(window: DataFrame, wanted: DataFrame) -> DataFrame:
+        rows = fc.trend_forecast(fc.blend(common.rule_votes(feat.build_features(window, sentiment))))
+        return rows.join(wanted.withColumnRenamed("window_start", "ts"), ["coin_id", "ts"], "left_semi")
+
+    def score(window: DataFrame, new: DataFrame) -> DataFrame:
+        return forecast(window, new).select("coin_id", "ts", "predicted_return")
+
+    def curve(window: DataFrame, latest: DataFrame) -> DataFrame:
+        return fc.forecast_curve(forecast(window, latest), ["coin_id", "ts"])
+
+    for part in range(6):
+        parts.filter(F.col("_part") == part).drop("_part").write.mode("append").parquet(history)
+        bars = jobs.file_source(spark, history, made.schema)
+        drain(spark, lambda: jobs.score_sink(bars, history, out, marks, score, available_now=True, curve=curve))
+    return jobs.latest_curve(spark, out)
+
+
 @query(
     "t9_stream_match",
     """SELECT model, coin_id, ts, matched_ts, matched_close FROM errs""",

@@ -122,7 +122,7 @@ def upsert_sink(
     return writer.start()
 
 
-TAIL = "__tail"
+TAIL, CURVE = "__tail", "__curve"
 
 
 def bars_before(new: DataFrame, tail: DataFrame, past: Callable[[], DataFrame], lookback_rows: int) -> DataFrame:
@@ -155,6 +155,8 @@ def score_sink(
     lookback_rows: int = LOOKBACK_ROWS,
     available_now: bool = False,
     trigger: str = "30 seconds",
+    curve: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    curve_every: int = 5,
 ) -> StreamingQuery:
     """Start a job that scores every new bar with at least the ``lookback_rows`` bars of its asset before it.
 
@@ -166,6 +168,9 @@ def score_sink(
     With features that look back a bounded number of rows (``macd_scale="price"``) it gives the same
     as one batch over all bars. Scores and tail are partitioned by micro-batch and overwritten on a
     repeat, which reads the tail of the batch before it again, so no bar is scored twice.
+
+    ``curve(window, latest)`` maps the tail and the keys of the newest bar of every asset to future points.
+    It is called in every ``curve_every``-th micro-batch, the first one included; ``latest_curve`` reads the result.
     """
     columns = ["coin_id", "window_start", "close", "total_volume"]
 
@@ -185,6 +190,10 @@ def score_sink(
         if not new.isEmpty():
             scored = score(window, new.select("coin_id", "window_start"))
             scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if curve and batch_id % curve_every == 0:
+            kept = spark.read.schema(new.schema).parquet(f"{path}{TAIL}/batch={batch_id}")
+            latest = kept.groupBy("coin_id").agg(F.max("window_start").alias("window_start"))
+            curve(kept, latest).write.mode("overwrite").parquet(f"{path}{CURVE}/batch={batch_id}")
         if batch_id > 1:  # a repeat of this batch needs the tail before it, nothing needs older ones
             drop_beside(spark, path, f"{TAIL}/batch={batch_id - 2}")
         unstage(window)
@@ -195,6 +204,13 @@ def score_sink(
     return writer.start()
 
 
+def latest_curve(spark: SparkSession, path: str) -> DataFrame:
+    """The curve that was refreshed last, as one whole: partitions of the others are not read."""
+    made = spark.read.parquet(f"{path}{CURVE}")
+    newest = made.agg(F.max("batch").alias("batch"))
+    return made.join(newest, "batch").drop("batch")
+
+
 def match_stream(
     predictions: DataFrame, bars: DataFrame, min_age_s: int = 60, max_age_s: int = 300, watermark: str = WATERMARK
 ) -> DataFrame:
