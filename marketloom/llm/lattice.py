@@ -42,6 +42,7 @@ LETTERS_AT_ONCE = 1 << 20  # letters of texts whose units are segmented together
 # A line feed has no piece of its own, so units end there too.
 UNIT = f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
 UNKNOWN_SCORE = -1e6
+PIECE_END = "\ue000"
 
 
 class Vocabulary:
@@ -362,7 +363,11 @@ def decode(encoded: DataFrame, model: str, ids_col: str = "ids", to: str = "deco
         spelled.append(byte[1] if byte else own.encode().hex())
         plain.append(chr(int(byte[1], 16)) if byte else own)
     ids = F.coalesce(ids_col, F.array().cast("array<int>"))
-    joined = lambda table: F.array_join(F.transform(ids, lambda i: F.element_at(F.lit(table), i + 1)), "")
+    # One string, cut once when the plan is made; an array literal would cost a call for each piece.
+    if any(PIECE_END in p for p in plain):
+        raise ValueError("a piece holds the sign that ends pieces")
+    listed = lambda table: F.split(F.lit(PIECE_END.join(table)), PIECE_END, -1)
+    joined = lambda table: F.array_join(F.transform(ids, lambda i: F.element_at(listed(table), i + 1)), "")
     # Bytes beyond ASCII are parts of letters, so such texts are put together byte by byte.
     parts = F.exists(ids, lambda i: i.between(vocabulary.first_byte + 128, vocabulary.first_byte + 255))
     text = F.when(parts, F.decode(F.unhex(joined(spelled)), "utf-8")).otherwise(joined(plain))
