@@ -3,8 +3,7 @@
 The patterns find emails, addresses of machines, payment cards and phone numbers anywhere. The field adds
 what needs context: names, numbers and written-out addresses behind words that announce them. It is
 trained on a small labelled table (``labelled_table``, or rows of the caller), its features are the shape
-classes of the words around a word, and whole lines are decoded by Viterbi in numpy batches. A line
-without any announcing word, digit or @ holds nothing for the field.
+classes of the words around a word, and every line is decoded whole by Viterbi in numpy batches.
 
 Defined results
     null or empty text: no spans. Repeated rows: the same spans. Ties between labels: the first of
@@ -91,9 +90,9 @@ CHUNK = re.compile(r"[^\s:]+|:")
 EDGES = ".,;!?()[]{}\"'<>*#$%&|"
 SLAB = 512  # words of a line whose emissions are held at once
 CELLS = 1 << 18  # words that are decoded together
+LINES = 1 << 12  # lines that are decoded together, at most
 
 
-@lru_cache(maxsize=30_000)
 def shape(word: str) -> int:
     """The class of a word without the marks around it."""
     low = word.lower()
@@ -103,7 +102,7 @@ def shape(word: str) -> int:
         return CLASS["colon"]
     if "@" in word:
         return CLASS["at"]
-    digits = sum(c.isdigit() for c in word)
+    digits = 0 if word.isalpha() else sum(c.isdigit() for c in word)
     if word.startswith("+") and digits:
         return CLASS["plus"]
     if digits and digits == len(word):
@@ -112,7 +111,7 @@ def shape(word: str) -> int:
         return CLASS["grouped"]
     if digits:
         return CLASS["coded"]
-    if not any(c.isalpha() for c in word):
+    if not word.isalpha() and not any(c.isalpha() for c in word):
         return CLASS["mark"]
     if word.islower():
         return CLASS["small"]
@@ -129,6 +128,11 @@ def _within(chunk: str) -> tuple[int, int, int]:
     return at, at + len(word), shape(word)
 
 
+@lru_cache(maxsize=30_000)
+def _class_of(chunk: str) -> int:
+    return shape(chunk.strip(EDGES) or chunk)
+
+
 def chunks(line: str, base: int = 0) -> list[tuple[int, int, int]]:
     """(start, end, class) of each word of a line."""
     out = []
@@ -199,31 +203,40 @@ class Field:
         return sum(self.states[k][wide[:, left + o : left + o + n]] for k, o in enumerate(OFFSETS))
 
     def decode(self, classes, lengths):
-        """The best labels of each sentence of a padded batch, by Viterbi; emissions are made in overlapping pieces."""
+        """The best labels of each sentence of a padded batch, by Viterbi; emissions are made in overlapping pieces.
+
+        Sentences lie along the last axis, so that each step works on long contiguous rows.
+        """
         import numpy as np
 
         count, n = classes.shape
         left, right = -min(OFFSETS), max(OFFSETS)
-        wide = np.pad(classes, ((0, 0), (left, right)))
-        back, best = np.zeros((count, n, len(LABELS)), np.int8), None
+        wide = np.pad(classes, ((0, 0), (left, right))).T
+        states = [np.ascontiguousarray(w.T) for w in self.states]
+        back, best = np.zeros((n, len(LABELS), count), np.int8), None
         for start in range(0, n, SLAB):
             stop = min(n, start + SLAB)
-            e = sum(self.states[k][wide[:, left + o + start : left + o + stop]] for k, o in enumerate(OFFSETS))
+            e = sum(states[k].take(wide[left + o + start : left + o + stop], axis=1) for k, o in enumerate(OFFSETS))
             for t in range(start, stop):
                 if best is None:
                     best = e[:, 0].copy()
                     continue
-                steps = best[:, :, None] + self.steps
-                arg = steps.argmax(1)
-                new = np.take_along_axis(steps, arg[:, None], 1)[:, 0] + e[:, t - start]
-                live = (t < lengths)[:, None]
-                back[:, t] = np.where(live, arg, np.arange(len(LABELS)))
-                best = np.where(live, new, best)
-        path = np.zeros((count, n), np.int8)
-        path[:, -1] = best.argmax(1)
+                new, arg = best[0] + self.steps[0][:, None], back[t]
+                for y in range(1, len(LABELS)):
+                    step = best[y] + self.steps[y][:, None]
+                    np.copyto(arg, y, where=step > new)
+                    np.maximum(new, step, out=new)
+                new += e[:, t - start]
+                ended = t >= lengths
+                if ended.any():
+                    arg[:, ended] = np.arange(len(LABELS))[:, None]
+                    new[:, ended] = best[:, ended]
+                best = new
+        path, every = np.zeros((n, count), np.int8), np.arange(count)
+        path[-1] = best.argmax(0)
         for t in range(n - 1, 0, -1):
-            path[:, t - 1] = np.take_along_axis(back[:, t], path[:, t][:, None].astype(np.int64), 1)[:, 0]
-        return path
+            path[t - 1] = back[t, path[t], every]
+        return path.T
 
 
 def fit(rows: list[tuple[str, str]] | None = None, rounds: int = 150, rate: float = 0.3, decay: float = 0.002) -> Field:
@@ -273,37 +286,38 @@ def fit(rows: list[tuple[str, str]] | None = None, rounds: int = 150, rate: floa
 
 
 def announces(text: str) -> bool:
-    """Whether any word of ``chunks`` is announcing or structured: nothing else is decided here."""
+    """Whether any word of ``chunks`` is announcing or structured."""
     if any(c == "@" or c.isdigit() for c in set(text)):
         return True
     return not ANNOUNCING.isdisjoint(w.strip(EDGES) for w in set(text.lower().replace(":", " ").split()))
 
 
-def sentences(text: str) -> Iterator[list[tuple[int, int, int]]]:
-    """The words of each line that has an announcing or structured one."""
+def sentences(text: str) -> Iterator[tuple[int, str, list[int]]]:
+    """Start, text and the classes of the words of every line that has words."""
     at = 0
-    for line in text.split("\n") if announces(text) else ():
-        if announces(line):
-            yield chunks(line, at)
+    for line in text.split("\n"):
+        classes = list(map(_class_of, CHUNK.findall(line)))
+        if classes:
+            yield at, line, classes
         at += len(line) + 1
 
 
-def _batches(texts: list[str | None]) -> Iterator[list[tuple[int, list[tuple[int, int, int]]]]]:
+def _batches(texts: list[str | None]) -> Iterator[list[tuple[int, int, str, list[int]]]]:
     """Lines of similar length with the number of their text, of about ``CELLS`` words together."""
     held, size = [], 0
 
     def parts():
-        held.sort(key=lambda x: -len(x[1]))
+        held.sort(key=lambda x: -len(x[3]))
         at = 0
         while at < len(held):
-            count = max(1, CELLS // len(held[at][1]))
-            yield held[at : at + min(count, 512)]
-            at += min(count, 512)
+            count = max(1, CELLS // len(held[at][3]))
+            yield held[at : at + min(count, LINES)]
+            at += min(count, LINES)
 
     for i, text in enumerate(texts):
-        for words in sentences(text or ""):
-            held.append((i, words))
-            size += len(words)
+        for sentence in sentences(text or ""):
+            held.append((i, *sentence))
+            size += len(sentence[2])
             if size >= CELLS:
                 yield from parts()
                 held, size = [], 0
@@ -317,14 +331,14 @@ def find_in(texts: list[str | None], field: Field) -> list[list[tuple[str, int,
     found = [[(k, a, b, True) for k, a, b in patterns(t or "")] for t in texts]
     fixed = [[(a, b) for _, a, b, _ in s] for s in found]
     for part in _batches(texts):
-        lengths = np.array([len(w) for _, w in part])
+        lengths = np.array([len(c) for *_, c in part])
         classes = np.zeros((len(part), lengths.max()), np.int64)
-        for j, (_, w) in enumerate(part):
-            classes[j, : len(w)] = [c for _, _, c in w]
+        for j, (*_, c) in enumerate(part):
+            classes[j, : len(c)] = c
         paths = field.decode(classes, lengths)
         for j in np.flatnonzero(paths.any(1)):
-            (i, w), path = part[j], paths[j].tolist()
-            start = None
+            (i, base, line, _), path = part[j], paths[j].tolist()
+            w, start = chunks(line, base), None
             for t in range(len(w) + 1):
                 label = path[t] if t < len(w) else 0
                 if start is not None and label != path[start]:

@@ -128,6 +128,23 @@ def test_field_reads_whole_lines_and_every_line_with_a_cue():
     assert pii.announces("x²") and not pii.announces("of the named-thing: plain")
 
 
+def test_field_decides_every_line_also_without_a_cue():
+    states, name = np.zeros((len(pii.OFFSETS), len(pii.CLASSES), len(pii.LABELS))), pii.LABELS.index("name")
+    states[pii.OFFSETS.index(0), pii.CLASS["capital"], name] = 1
+    field = pii.Field(states, np.zeros((len(pii.LABELS),) * 2))
+    text = "of the (Rosa Lopez) here\n\n \nplain\r\nan Otto " + "x " * 20 + "Ada:"
+    spans = [(k, text[a:b]) for k, a, b, _ in pii.find_in([None, text], field)[1]]
+    assert spans == [("name", "Rosa Lopez"), ("name", "Otto"), ("name", "Ada")]
+    # Lines of one batch are decided as they are alone.
+    lines = ["is is is is of it", "Ada wrote", "At At At At", "x " * 300 + "Mr Jan Novak"]
+    field, alone = pii.fit(), []
+    for line in lines:
+        alone += [s[:3] for s in pii.find_in([line], field)[0]]
+    at = np.cumsum([0, *[len(x) + 1 for x in lines]])
+    whole = [(k, a - at[np.searchsorted(at, a, "right") - 1], b - a) for k, a, b, _ in pii.find_in(["\n".join(lines)], field)[0]]
+    assert whole == [(k, a, b - a) for k, a, b in alone] and alone
+
+
 def test_long_lines_decode_as_one_piece(monkeypatch):
     field = pii.fit(rounds=30)
     classes = np.random.default_rng(3).integers(1, len(pii.CLASSES), (3, 700))
