@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.session import staged
+
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
     """The ``n`` newest rows of each key; ``order`` lists descending sort columns, tie-breakers included.
@@ -27,19 +29,29 @@ def dedup_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in rest])
 
 
+def _at_top(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The rows of each key with the greatest ``order`` (null where a key has no other); keys may be null."""
+    tops = staged(df.groupBy(*keys).agg(F.max(order).alias("_top")), "tops")
+    tops = tops.withColumnsRenamed({k: f"_top_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_top_{k}")) for k in keys] + [F.col(order).eqNullSafe(F.col("_top"))]
+    return df.join(tops, same, "left_semi")
+
+
 def dedup_latest_fixed(df: DataFrame, keys: list[str], order: Column, tie: str, columns: list[str]) -> DataFrame:
     """The row of each key with the greatest ``order``, then the greatest ``tie``, by hash aggregates alone.
 
     ``order`` is one number; ``tie`` and ``columns`` have fixed width, so no input or partial result is
-    sorted. Rows are narrowed from the last criterion to the first: of equal order and tie the one with
-    the greatest hash of its columns, of equal order the one with the greatest tie (a null one is
-    least), of all the one with the greatest order. The result does not depend on the order of the
-    rows. One exchange on key and order serves the first two steps, and spreads the rows of a hot key;
-    the last one sends a row per key and task.
+    sorted. Of equal order and tie the row with the greatest hash of its columns counts; a null tie is
+    least. The result does not depend on the order of the rows.
+
+    The rows are first narrowed to those of the greatest order, then to those of the greatest tie, each time by
+    a join with one number per key. So every aggregate holds one group per key, however many rows a key has,
+    and only the rows at the top are written or exchanged.
     """
     hashed = F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
     by_order = [*keys, "_order"]
-    rows = df.withColumns({"_order": order, "_hash": hashed}).repartition(*by_order)
+    rows = df.select(*keys, tie, *columns, order.alias("_order"), hashed.alias("_hash"))
+    rows = _at_top(staged(_at_top(rows, keys, "_order"), "latest"), keys, tie)
     distinct = rows.groupBy(*by_order, tie).agg(*[F.max_by(c, "_hash").alias(c) for c in columns])
     # Where no row has a tie-breaker there is one row left, so any aggregate gives it.
     of_tie = lambda c: F.coalesce(F.max_by(c, tie), F.when(F.max(tie).isNull(), F.max(c))).alias(c)

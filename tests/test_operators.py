@@ -13,6 +13,26 @@ from marketloom.session import scratch_path
 T0 = dt.datetime(2024, 1, 1)
 
 
+def test_latest_fixed_groups_by_key_and_not_by_row(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(400), rng.choice([1.0, 2.0, float("nan"), None]), i) for i in range(3000)]
+    rows += [("late", 900, t, i) for i, t in enumerate([None, 1.0, 3.0, 3.0])] + [("none", 1, None, 5), ("unset", None, 4.0, 6)]
+    df = spark.createDataFrame(rows, "k string, at long, tie double, v long").repartition(5)
+    out = latest.dedup_latest_fixed(df, ["k"], F.col("at"), "tie", ["v"])
+    # What is aggregated at the end are rows at the top of their key.
+    kept = [r for r in rows if r[1] == max((x[1] for x in rows if x[0] == r[0] and x[1] is not None), default=None)]
+    read = [f for f in out.inputFiles() if "/latest-" in f]
+    assert read and spark.read.parquet(*read).count() == len(kept) < 40
+    got = {r.k: r for r in out.collect()}
+    assert set(got) == {"a", "b", None, "late", "none", "unset"}
+    rank = lambda t: -1.0 if t is None else np.inf if t != t else t
+    for k in ("a", "b", None, "late", "none"):
+        ties = [r for r in kept if r[0] == k]
+        top = max(rank(r[2]) for r in ties)
+        assert rank(got[k].tie) == top and got[k].v in {r[3] for r in ties if rank(r[2]) == top} and got[k]._order == ties[0][1]
+    assert tuple(got["unset"]) == ("unset", None, None, None)
+
+
 def walk(spark, n, seed=1, keys=("a", "b"), gap_minutes=7):
     """Irregular series per key as (k, ts, x)."""
     rng = random.Random(seed)
