@@ -81,8 +81,17 @@ def grams(w: Column, n: int) -> Column:
     return F.transform(at, lambda i: F.concat_ws(" ", F.slice(w, i, F.lit(n))))
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row.
+
+    A plain column would be copied by the optimizer into every place that uses it when a filter on what follows is
+    pushed down: the words of a paragraph would be cut again for each of its n-grams.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def featured(df: DataFrame, paragraph: str) -> DataFrame:
-    w = df.withColumn("words", words(F.col(paragraph)))
+    w = once(df, "words", words(F.col(paragraph)))
     counted = w.withColumn("grams", F.concat(*[grams(F.col("words"), n) for n in SIZES]))
     return HashingTF(inputCol="grams", outputCol="features", numFeatures=DIMENSIONS).transform(counted)
 
@@ -103,7 +112,7 @@ class Model:
 
     def classify(self, df: DataFrame, paragraph: str) -> DataFrame:
         """Adds ``family`` and ``probability``; a family the model is not sure of is unknown."""
-        scored = self.regression.transform(featured(df, paragraph)).withColumn("p", vector_to_array("probability"))
+        scored = once(self.regression.transform(featured(df, paragraph)), "p", vector_to_array("probability"))
         best = F.array_max("p")
         family = F.element_at(F.lit(self.names), F.array_position("p", best).cast("int"))
         return scored.withColumn("probability", best).withColumn("family", F.when(best >= self.least, family).otherwise(F.lit(UNKNOWN)))

@@ -245,6 +245,14 @@ def model(spark):
     return licences.fit(spark)
 
 
+def test_words_of_a_paragraph_are_cut_once(spark, model):
+    long = "Licensed under the MIT License. " + "word " * 5000
+    scored = model.classify(table(spark, [long]).select("doc_id", "text"), "text").filter(F.col("family") != licences.UNKNOWN)
+    # A filter on the family must not carry the cutting of words into the loop over n-grams.
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") <= 2
+    assert licences.scan(table(spark, [long, long[:31]]), model=model).filter("id = 1 and family = 'MIT'").count() == 1
+
+
 def test_licences_are_named_and_confirmed(spark, model):
     texts = [
         "Some prose.\nLicensed under CC BY-NC 4.0.\nMore", "This work is licensed under the GNU General Public License, version 3.", "Released under the MIT License.",
