@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from array import array
 from heapq import heappop, heappush
+from itertools import filterfalse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ ROWS_AT_ONCE = 4096  # units in one matrix
 LETTERS_AT_ONCE = 1 << 20  # letters of texts whose units are segmented together
 # A line feed has no piece of its own, so units end there too.
 UNIT = f"\n|{MARK}*[^{MARK}\n]+|{MARK}+"
+# Units as they are looked up: with a line feed goes the unit behind it.
+_LOOKED_UP = re.compile(f"\n[^{MARK}\n]*|{MARK}*[^{MARK}\n]+|{MARK}+")
 UNKNOWN_SCORE = -1e6
 PIECE_END = "\ue000"
 
@@ -176,7 +179,10 @@ def merge_unit(unit: str, table: dict[str, tuple[int, float]], first_byte: int)
 
 
 class Merges:
-    """``merge_fold`` for many short units at once: a row of segments for each, one merge a row and step."""
+    """``merge_fold`` for many short units at once: a row of segments for each, one merge a row and step.
+
+    A segment stays in the column it starts in and knows its neighbours, so a merge touches three places of a row.
+    """
 
     def __init__(self, table: dict[str, tuple[int, float]], first_byte: int):
         import numpy as np
@@ -193,12 +199,14 @@ class Merges:
         pairs.sort()
         self.table, self.first_byte, self.names = table, first_byte, len(names)
         self.keys = np.array([k for k, _, _ in pairs], np.int64)
-        # The last pair stands for none.
-        self.scores = np.array([*(x for _, x, _ in pairs), -np.inf])
+        # Equal scores have the same rank, the best one 0. The last pair stands for none.
+        rank = {x: i for i, x in enumerate(sorted({x for _, x, _ in pairs}, reverse=True))}
+        self.none = len(rank)
+        self.ranks = np.array([*(rank[x] for _, x, _ in pairs), self.none], np.int32)
         self.unions = np.array([*(u for _, _, u in pairs), -1], np.int32)
         self.numbers = np.array([table[p][0] if p in table else -1 for p in names], np.int32)
-        self.letters = np.array([ord(c) for c in letters], np.int32)
-        self.of_letter = np.array([place[c] for c in letters], np.int32)
+        self.of_letter = np.full(max(map(ord, letters), default=0) + 2, -1, np.int32)
+        self.of_letter[[ord(c) for c in letters]] = [place[c] for c in letters]
 
     def _pairs(self, left, right):
         import numpy as np
@@ -206,7 +214,8 @@ class Merges:
         wanted = left.astype(np.int64) * self.names + right
         at = np.searchsorted(self.keys, wanted)
         found = (left >= 0) & (right >= 0) & (self.keys[np.minimum(at, len(self.keys) - 1)] == wanted)
-        return np.where(found, at, len(self.keys)).astype(np.int32)
+        at = np.where(found, at, len(self.keys))
+        return self.ranks[at], self.unions[at]
 
     def segmented(self, units: list[str]) -> list[bytes]:
         """The ids of each unit as 32-bit integers."""
@@ -214,44 +223,39 @@ class Merges:
 
         if not len(self.keys):
             return [array("i", merge_unit(u, self.table, self.first_byte)).tobytes() for u in units]
-        sizes, width = np.array([len(u) for u in units]), max(map(len, units)) + 1
-        points = np.array(units, f"U{width}").view(np.int32).reshape(len(units), width)
-        at = np.minimum(np.searchsorted(self.letters, points), len(self.letters) - 1)
-        inside = np.arange(width) < sizes[:, None]
-        rows = np.where(inside & (self.letters[at] == points), self.of_letter[at], -1)
-        pairs = np.full(rows.shape, len(self.keys), np.int32)
-        pairs[:, :-1] = self._pairs(rows[:, :-1], rows[:, 1:])
-        # The letters that segments of one letter began as are found again by where segments start.
-        starts = np.broadcast_to(np.arange(width, dtype=np.int32), rows.shape).copy()
-        done_rows, done_starts, left = np.empty_like(rows), np.empty_like(starts), sizes.copy()
+        # A column without a letter on either side.
+        sizes, longest = np.array([len(u) for u in units]), max(map(len, units))
+        width, shape = longest + 2, (len(units), longest + 2)
+        points = np.array(units, f"U{longest}").view(np.int32).reshape(len(units), longest)
+        alive = np.zeros(shape, bool)
+        alive[:, 1:-1] = np.arange(longest) < sizes[:, None]
+        rows = np.full(shape, -1, np.int32)
+        rows[:, 1:-1] = np.where(alive[:, 1:-1], self.of_letter[np.minimum(points, len(self.of_letter) - 1)], -1)
+        ranks, unions = np.full(shape, self.none, np.int32), np.full(shape, -1, np.int32)
+        ranks[:, :-1], unions[:, :-1] = self._pairs(rows[:, :-1], rows[:, 1:])
+        after = np.arange(1, rows.size + 1)
+        before = after - 2
+        by_row, kept = ranks, alive
+        rows, ranks, unions, alive = rows.ravel(), ranks.ravel(), unions.ravel(), alive.ravel()
         live = np.arange(len(units))
         while len(live):
-            scores = self.scores[pairs]
-            best = scores.argmax(1)
-            more = scores[np.arange(len(live)), best] > -np.inf
-            if not more.all():
-                over = ~more
-                done_rows[live[over]], done_starts[live[over]] = rows[over], starts[over]
-                live, rows, starts, pairs, best = live[more], rows[more], starts[more], pairs[more], best[more]
-            if not len(live):
-                break
-            here = np.arange(len(live))
-            rows[here, best] = self.unions[pairs[here, best]]
-            rest = np.arange(width)[None, :]
-            rest = np.minimum(rest + (rest > best[:, None]), width - 1)
-            rows, starts, pairs = (np.take_along_axis(m, rest, 1) for m in (rows, starts, pairs))
-            left[live] -= 1
-            pairs[here, best] = self._pairs(rows[here, best], rows[here, best + 1])
-            inner = np.flatnonzero(best)
-            first = best[inner] - 1
-            pairs[inner, first] = self._pairs(rows[inner, first], rows[inner, first + 1])
-        numbers = np.where(done_rows >= 0, self.numbers[done_rows], -1)
-        kept = np.arange(width) < left[:, None]
-        spelled = set(np.flatnonzero(((numbers < 0) & kept).any(1)).tolist())
-        flat, ends = numbers[kept].tobytes(), (np.cumsum(left) * 4).tolist()
+            at = live * width + by_row[live].argmin(1)
+            more = ranks[at] < self.none
+            live, at = live[more], at[more]
+            gone = after[at]
+            behind = after[gone]
+            rows[at] = unions[at]
+            after[at], before[behind] = behind, at
+            ranks[gone], alive[gone] = self.none, False
+            ranks[at], unions[at] = self._pairs(rows[at], rows[behind])
+            first = before[at]
+            ranks[first], unions[first] = self._pairs(rows[first], rows[at])
+        numbers = np.where(rows >= 0, self.numbers[rows], -1).reshape(shape)
+        spelled = np.flatnonzero(((numbers < 0) & kept).any(1)).tolist()
+        flat, ends = numbers[kept].tobytes(), (np.cumsum(kept.sum(1)) * 4).tolist()
         out = [flat[a:b] for a, b in zip([0, *ends], ends)]
         for i in spelled:
-            cuts = [*done_starts[i, : left[i]].tolist(), len(units[i])]
+            cuts = [*(np.flatnonzero(kept[i]) - 1).tolist(), len(units[i])]
             out[i] = array("i", _numbered([units[i][a:b] for a, b in zip(cuts, cuts[1:])], self.table, self.first_byte)).tobytes()
         return out
 
@@ -282,9 +286,38 @@ def _numbered(parts: list[str], table, first_byte: int) -> list[int]:
     return ids
 
 
+def words(text: str) -> list[str]:
+    """The units of a text as they are looked up: a word mark that is the only one of its unit is left out, and a
+    line feed is joined to the unit behind it, if that has no mark."""
+    spaced = text.replace("\n", " \n")
+    if spaced and MARK not in text and "  " not in spaced and spaced[0] != " " and spaced[-1] != " ":
+        return spaced.split(" ")
+    return list(map(_unmarked, _LOOKED_UP.findall(MARK + text.replace(" ", MARK)))) if text else []
+
+
+def _unmarked(unit: str) -> str:
+    return unit[1:] if unit[0] == MARK and unit[1:2] not in ("", MARK) else unit
+
+
+def _marked(word: str) -> str:
+    """The unit of a word; of one with a line feed in front the unit behind it, which may be empty."""
+    return word[1:] if word[0] == "\n" else word if word[0] == MARK else MARK + word
+
+
 _KNOWN: dict[str, dict[str, bytes]] = {}
 
 
+def _known(key: str, common: dict[str, bytes], feed: bytes) -> dict[str, bytes]:
+    """The ids of the words that this worker remembers, from task to task; those of another table are given up.
+
+    A function that a task carries along gets a copy of the variables around it, so only one of the module sees these.
+    """
+    if key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[key] = {_unmarked(u) if u[0] == MARK else "\n" + u: ids if u[0] == MARK else feed + ids for u, ids in common.items()}
+    return _KNOWN[key]
+
+
 def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe", kept: int = KEPT_UNITS) -> DataFrame:
     """The rows with ``ids``."""
     from uuid import uuid4
@@ -303,11 +336,11 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe
     )
     table, first_byte, longest, key = vocabulary.table, vocabulary.first_byte, vocabulary.longest, uuid4().hex
     rules = spark.sparkContext.broadcast(Merges(table, first_byte))
-    unit_of = re.compile(UNIT)
+    feed = array("i", _numbered(["\n"], table, first_byte)).tobytes()
 
     def segmented(units: list[str]) -> list[bytes]:
         """Units of like length, so that the matrix of the short ones has little padding."""
-        table = rules.value.table
+        merges = rules.value
         if kind != "bpe":
             return [array("i", viterbi_unit(u, table, first_byte, longest)).tobytes() for u in units]
         out, start = [], 0
@@ -316,33 +349,36 @@ def encode(docs: DataFrame, model: str, text_col: str = "text", kind: str = "bpe
             most = min(LATTICE_LETTERS, len(units[start]) + 3)
             while stop < min(len(units), start + ROWS_AT_ONCE) and len(units[stop]) <= most:
                 stop += 1
-            out += rules.value.segmented(units[start:stop])
+            out += merges.segmented(units[start:stop])
             start = stop
-        return out + [array("i", merge_unit(u, table, first_byte)).tobytes() for u in units[start:]]
+        return out + [array("i", merge_unit(u, merges.table, first_byte)).tobytes() for u in units[start:]]
 
     @F.pandas_udf("array<int>")
     def run(texts):
         import numpy as np
         import pandas as pd
 
-        known = _KNOWN.setdefault(key, {})
-        if not known:
-            known.update(share.value)
+        known = _known(key, share.value, feed)
         most, out, held, letters = len(share.value) + CACHED_UNITS, [], [], 0
 
         def flush():
-            missing = sorted(set().union(*held).difference(known), key=len)
-            new = dict(zip(missing, segmented(missing))) if missing else {}
-            # Short units stay as long as there is room; the others serve these texts only.
-            lasting = [u for u in missing if len(u) <= LATTICE_LETTERS][: max(0, most - len(known))]
-            known.update((u, new.pop(u)) for u in lasting)
-            get = known.__getitem__ if not new else lambda u: known.get(u) or new[u]
+            missing = set()
+            for found in held:
+                missing.update(filterfalse(known.__contains__, found))
+            units = sorted({_marked(w) for w in missing} - {""}, key=len)
+            ids = dict(zip(units, segmented(units))) if units else {}
+            # Short words stay as long as there is room; the others serve these texts only.
+            short = [w for w in missing if len(w) <= LATTICE_LETTERS]
+            passing = missing.difference(short[: max(0, most - len(known))])
+            known.update((w, feed + ids.get(_marked(w), b"") if w[0] == "\n" else ids[_marked(w)]) for w in missing)
             for found in held:
-                out.append(np.frombuffer(b"".join(map(get, found)), np.int32))
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, found)), np.int32))
+            for w in passing:
+                del known[w]
             held.clear()
 
         for t in texts:
-            held.append(unit_of.findall(MARK + t.replace(" ", MARK)) if t else [])
+            held.append(words(t or ""))
             letters += len(t or "")
             if letters >= LETTERS_AT_ONCE:
                 flush()

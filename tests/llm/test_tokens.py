@@ -169,3 +169,52 @@ def test_common_units_count_all_texts(spark):
 def test_units_cover_the_text():
     for t in ["▁a▁b", "▁▁▁a\nb▁", "▁", "▁a\n\n▁"]:
         assert "".join(re.findall(lattice.UNIT, t)) == t
+
+
+def test_words_are_the_units_of_a_text():
+    rng = random.Random(5)
+    texts = ["", " ", "\n", "a b\nc \n d", "▁a", "a▁ b", "a  b", " a", "a "]
+    for t in texts + ["".join(rng.choices("ab \n▁é", k=rng.randint(0, 9))) for _ in range(20000)]:
+        found = lattice.words(t)
+        units = [u for w in found for u in (["\n"] if w[0] == "\n" else []) + [lattice._marked(w)] if u]
+        assert units == (re.findall(lattice.UNIT, lattice.MARK + t.replace(" ", lattice.MARK)) if t else []), repr(t)
+    assert lattice.words("plain words\nand lines") == ["plain", "words", "\nand", "lines"]
+
+
+def test_merges_of_equal_scores_start_on_the_left():
+    rng = random.Random(6)
+    for _ in range(30):
+        pieces = {"".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(12)}
+        table = {p: (i, -float(rng.randint(0, 3))) for i, p in enumerate(sorted(pieces))}
+        units = ["".join(rng.choices("abcx\0", k=rng.randint(1, 12))) for _ in range(200)]
+        rows = lattice.Merges(table, 100).segmented(units)
+        assert [list(array("i", r)) for r in rows] == [lattice.merge_unit(u, table, 100) for u in units]
+
+
+def test_words_beyond_the_cache_have_the_same_ids(spark, monkeypatch):
+    import sentencepiece
+
+    monkeypatch.setattr(lattice, "CACHED_UNITS", 3)
+    monkeypatch.setattr(lattice, "LETTERS_AT_ONCE", 40)
+    rng = random.Random(7)
+    texts = TEXTS + [" ".join("".join(rng.choices("abcé\n▁", k=rng.randint(1, 40))) for _ in range(8)) for _ in range(60)]
+    whole = sentencepiece.SentencePieceProcessor(model_file=piece_bpe())
+    for r in lattice.encode(table(spark, texts).drop("ids").coalesce(1), piece_bpe(), kept=5).collect():
+        assert list(r.ids) == (whole.encode(r.text) if r.text else []), repr(r.text)
+
+
+def test_workers_remember_words_from_task_to_task(spark):
+    def remembered(batches):
+        import pyarrow as pa
+
+        from marketloom.llm import lattice as there
+
+        for b in batches:
+            sizes = [len(known) for known in there._KNOWN.values()]
+            yield pa.RecordBatch.from_pydict({"tables": [len(sizes)] * b.num_rows, "words": [sum(sizes)] * b.num_rows})
+
+    texts = ["one two three", "four five", "six\nseven"]
+    for _ in range(2):
+        assert lattice.encode(table(spark, texts).drop("ids").repartition(3), piece_bpe(), kept=2).select(F.sum(F.size("ids"))).first()[0]
+    left = spark.range(0, 64, 1, 8).mapInArrow(remembered, "tables long, words long").agg(F.max("tables"), F.max("words")).first()
+    assert left[0] == 1 and left[1] > 2
