@@ -162,6 +162,18 @@ def test_family_grows_geometrically(spark):
     assert {r.core for f in family.repeated for r in f.collect()} == {1, 2, 3, 4, 5}
 
 
+def test_members_of_a_large_class_stay_in_their_tasks(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "GROUP_ROWS", 100)
+    rows = [(1, 7, k, 500, k) for k in range(800)] + [(c, 7, k, 500, c) for c in (2, 3, 3, 4) for k in range(2)]
+    held = spark.createDataFrame(rows, suffixes.ENTRY).repartition(8)
+    repeated = spark.createDataFrame([(1, 7, 300), (1, 7, 800), (2, 7, 2), (3, 7, 4), (3, 7, 2), (1, 8, 900)], "core long, full long, copies long")
+    for found, cores in ((repeated, (1, 2, 3)), (repeated.filter("core = 3"), (3,)), (repeated.filter("core = 9"), ())):
+        got = suffixes.members(held, found).collect()
+        assert sorted(map(tuple, got)) == sorted(r for r in rows if r[0] in cores)
+    tasks = suffixes.members(held, repeated).filter("core = 1").groupBy(F.spark_partition_id()).count()
+    assert max(r["count"] for r in tasks.collect()) < 200
+
+
 def test_runs_must_divide(spark):
     with pytest.raises(ValueError):
         suffixes.repeated_spans(documents(spark, []), runs=(50, 1))
